@@ -78,7 +78,9 @@ def _search(questions: dict, k: int, filters: Sequence[str], by_cell: bool) -> C
             id_type = whole.column("id").type
             for begin in range(0, whole.num_rows, _DOCS_PER_STEP):
                 batch = whole.slice(begin, _DOCS_PER_STEP)
-                distance = np.round(1.0 - _matrix(batch.column("vector")) @ targets.T, _DECIMALS)
+                similarity = _matrix(batch.column("vector")) @ targets.T
+                # Adding zero turns a rounded -0.0 into 0.0.
+                distance = np.round(1.0 - similarity, _DECIMALS) + 0.0
                 mask = allowed(batch)
                 if mask is not None:
                     distance[~mask] = np.inf

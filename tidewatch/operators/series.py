@@ -159,7 +159,7 @@ def busy_by_instance(
     )
     return rates.groupBy("_frame", instance).agg(
         (F.lit(100.0) - F.avg("_rate") * 100).alias("busy_percent")
-    ).select(F.col("_frame.end").alias("at"), instance, "busy_percent")
+    ).select(F.col("_frame.end").alias("at_time"), instance, "busy_percent")
 
 
 def gauge_latest(

@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed value: the topic producers write to.
-TOPIC = "urban-safety-alerts"
-
 
 def alert_stream(
-    spark: SparkSession, format: str = "kafka", topic: str = TOPIC, **options: str
+    spark: SparkSession, format: str = "kafka", topic: str | None = None, **options: str
 ) -> DataFrame:
     """Stream of messages with a ``value`` column.
 
@@ -18,7 +15,7 @@ def alert_stream(
     among the options; it starts at the latest offsets. ``text`` reads message
     files below ``path``.
     """
-    defaults = {"subscribe": topic, "startingOffsets": "latest"} if format == "kafka" else {}
+    defaults = {"subscribe": topic, "startingOffsets": "latest"} if topic else {}
     renamed = {k.replace("__", "."): v for k, v in options.items()}
     return spark.readStream.format(format).options(**{**defaults, **renamed}).load()
 
@@ -29,8 +26,10 @@ def as_messages(alerts: DataFrame) -> DataFrame:
     return alerts.select(F.to_json(record, {"ignoreNullFields": "false"}).alias("value"))
 
 
-def write_alert_json(alerts: DataFrame, format: str = "kafka", topic: str = TOPIC, **options: str) -> None:
+def write_alert_json(
+    alerts: DataFrame, format: str = "kafka", topic: str | None = None, **options: str
+) -> None:
     """Publish alerts as UTF-8 JSON to the topic, or to text files below ``path``."""
-    target = {"topic": topic} if format == "kafka" else {}
+    target = {"topic": topic} if topic else {}
     renamed = {k.replace("__", "."): v for k, v in options.items()}
     as_messages(alerts).write.format(format).options(**{**target, **renamed}).mode("append").save()
