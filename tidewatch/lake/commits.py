@@ -11,9 +11,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.functions.times import moment
 from tidewatch.sources import tables
 
 # Snapshots kept, and how often older ones are expired.
@@ -42,7 +43,10 @@ def create(
 
 
 def commit(
-    df: DataFrame, table: str, commit_id: int, committed_at: dt.datetime | None = None
+    df: DataFrame,
+    table: str,
+    commit_id: int,
+    committed_at: str | dt.datetime | Column | None = None,
 ) -> int:
     """Write ``df`` as one commit and return its row count, taken while writing."""
     spark = df.sparkSession
@@ -51,9 +55,7 @@ def commit(
     tables.overwrite_partitions(counted.withColumn("commit_id", F.lit(commit_id)), table)
     rows = int(seen.get["rows"])
     entry = spark.range(1).select(
-        (F.lit(committed_at) if committed_at else F.current_timestamp())
-        .cast("timestamp")
-        .alias("committed_at"),
+        moment(committed_at).alias("committed_at"),
         F.lit(rows).cast("long").alias("rows"),
         F.lit(commit_id).cast("long").alias("commit_id"),
     )

@@ -74,10 +74,15 @@ def create_or_append(
 
 def overwrite_partitions(df: DataFrame, name: str) -> None:
     """Replace exactly the partitions that occur in ``df``."""
-    target = df.sparkSession.table(name).columns
-    df.select(*target).write.option("partitionOverwriteMode", "dynamic").mode(
-        "overwrite"
-    ).insertInto(name)
+    spark = df.sparkSession
+    target = spark.table(name).columns
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*target).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def add_missing_columns(df: DataFrame, name: str) -> None:
