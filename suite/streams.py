@@ -108,15 +108,15 @@ def stream_metrics(spark, sf_dir):
 
 
 _THROTTLE_SQL = """WITH RECURSIVE numbered AS (
-  SELECT event_id, user_id, epoch_us(ts) AS at,
+  SELECT event_id, user_id, epoch_us(ts) AS us,
     CASE WHEN event_type = 'error' THEN 3600000000 ELSE 21600000000 END AS gap,
     row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n
   FROM events
 ), walk AS (
-  SELECT user_id, n, event_id, true AS kept, at AS last FROM numbered WHERE n = 1
+  SELECT user_id, n, event_id, true AS kept, us AS last FROM numbered WHERE n = 1
   UNION ALL
-  SELECT e.user_id, e.n, e.event_id, e.at - w.last >= e.gap,
-    CASE WHEN e.at - w.last >= e.gap THEN e.at ELSE w.last END
+  SELECT e.user_id, e.n, e.event_id, e.us - w.last >= e.gap,
+    CASE WHEN e.us - w.last >= e.gap THEN e.us ELSE w.last END
   FROM walk w JOIN numbered e ON e.user_id = w.user_id AND e.n = w.n + 1
 ) SELECT event_id, concat('cam', lpad(CAST(user_id AS VARCHAR), 4, '0')) AS camera_id
 FROM walk WHERE kept"""
