@@ -48,7 +48,7 @@ def avg_over_time(spark, sf_dir):
       SELECT time_bucket(INTERVAL '1 day', ts - INTERVAL '1 microsecond') + INTERVAL '1 day' AS at_time,
         instance, series, sum(increase) / 86400 AS rate FROM increases GROUP BY 1, 2, 3)
     SELECT at_time, instance, round(100 - avg(rate) * 100, 6) AS busy_percent
-    FROM rates GROUP BY at_time, instance""",
+    FROM rates WHERE rate IS NOT NULL GROUP BY at_time, instance""",
 )
 def avg_by_instance(spark, sf_dir):
     busy = series.busy_by_instance(samples(spark, sf_dir), width="1 day", block="1 day")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from suite.catalog import query, rounded
-from suite.views import alerts, rollup_sql
+from suite.views import alerts, rollup_sql, table
 from tidewatch import schemas
 from tidewatch.operators import rollup, star
 
@@ -105,7 +105,7 @@ def agg_avg(spark, sf_dir):
 )
 def agg_conditional_sum(spark, sf_dir):
     kind = F.col("event_type")
-    flagged = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn(
+    flagged = table(spark, sf_dir, "events").withColumn(
         "is_violent", F.when(kind == "error", True).when(kind == "view", False)
     )
     return flagged.groupBy("user_id").agg(rollup.violent_count().alias("alert_count"))
@@ -124,7 +124,7 @@ def agg_conditional_sum(spark, sf_dir):
 def agg_argmax_struct(spark, sf_dir):
     """Coarse scores make ties, and both columns have NULLs."""
     kind = F.col("event_type")
-    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    rows = table(spark, sf_dir, "events").select(
         "user_id",
         F.when(kind != "view", F.floor(F.col("value") / 40).cast("double")).alias("score"),
         F.when(kind != "click", F.col("event_id").cast("string")).alias("evidence_url"),

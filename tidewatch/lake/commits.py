@@ -48,12 +48,17 @@ def commit(
     commit_id: int,
     committed_at: str | dt.datetime | Column | None = None,
 ) -> int:
-    """Write ``df`` as one commit and return its row count, taken while writing."""
+    """Write ``df`` as one commit and return its row count, taken while writing.
+
+    Without rows there is no commit.
+    """
     spark = df.sparkSession
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     tables.overwrite_partitions(counted.withColumn("commit_id", F.lit(commit_id)), table)
     rows = int(seen.get["rows"])
+    if not rows:
+        return 0
     entry = spark.range(1).select(
         moment(committed_at).alias("committed_at"),
         F.lit(rows).cast("long").alias("rows"),

@@ -31,17 +31,22 @@ def rollup_tumbling(alerts: DataFrame, width: str = "5 minutes") -> DataFrame:
     Coordinates are constant within a group in practice; ``min`` makes the
     result repeatable where they are not.
     """
-    totals = alerts.groupBy(F.window("event_time", width).alias("span"), *GRAIN).agg(
+    span = F.window("event_time", width)
+    # Grouping by the start alone sorts on a long instead of a struct; a stream
+    # needs the whole window, which carries the watermark.
+    window = span if alerts.isStreaming else span["start"]
+    start = F.col("_window")["start"] if alerts.isStreaming else F.col("_window")
+    totals = alerts.groupBy(window.alias("_window"), *GRAIN).agg(
         F.min("latitude").alias("latitude"),
         F.min("longitude").alias("longitude"),
         F.avg("latency_ms").alias("avg_latency_ms"),
         F.avg("fps").alias("avg_fps"),
         violent_count().alias("alert_count"),
-        riskiest().alias("riskiest"),
+        riskiest().alias("_riskiest"),
     )
     return totals.select(
-        F.col("span.start").alias("window_start"),
-        F.col("span.end").alias("window_end"),
+        start.alias("window_start"),
+        (start + F.expr(f"INTERVAL {width}")).alias("window_end"),
         *GRAIN,
         "latitude",
         "longitude",
@@ -49,6 +54,6 @@ def rollup_tumbling(alerts: DataFrame, width: str = "5 minutes") -> DataFrame:
         "avg_fps",
         "alert_count",
         (F.col("alert_count") > 0).alias("is_violent_window"),
-        F.col("riskiest.score").alias("max_risk_score"),
-        F.col("riskiest.evidence_url").alias("evidence_url"),
+        F.col("_riskiest.score").alias("max_risk_score"),
+        F.col("_riskiest.evidence_url").alias("evidence_url"),
     )

@@ -157,6 +157,8 @@ def busy_by_instance(
     rates = rising.groupBy(frame.alias("_frame"), instance, series).agg(
         (F.sum("increase") / (micros_of(width) / 1_000_000)).alias("_rate")
     )
+    # A series' first sample has no rate; an instance with none has no row.
+    rates = rates.where("_rate IS NOT NULL")
     return rates.groupBy("_frame", instance).agg(
         (F.lit(100.0) - F.avg("_rate") * 100).alias("busy_percent")
     ).select(F.col("_frame.end").alias("at_time"), instance, "busy_percent")

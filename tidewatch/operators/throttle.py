@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 ALERT_SECONDS = 0.5
 IDLE_SECONDS = 5.0
 
-_NEVER = np.iinfo(np.int64).min // 2
+_NEVER = int(np.iinfo(np.int64).min // 2)
 
 
 def next_kept(
@@ -206,11 +206,14 @@ def throttle(
     alert_seconds: float = ALERT_SECONDS,
     idle_seconds: float = IDLE_SECONDS,
     chunk_seconds: float | None = None,
+    kept_before: DataFrame | None = None,
 ) -> DataFrame:
     """Kept rows of ``events``; rows without a time are dropped.
 
     Rows of one camera at one instant are taken in the order of ``tie``. Chunks
     default to 24 idle intervals; a chunk's rows have to fit a task's memory.
+    ``kept_before`` continues an earlier run: per camera the ``time`` of the last
+    row that was kept.
     """
     short, long = round(alert_seconds * 1e6), round(idle_seconds * 1e6)
     if min(short, long) <= 0:
@@ -236,10 +239,21 @@ def throttle(
             "_key string, _chunk long, limits array<long>, exits array<long>",
         )
     )
+    if kept_before is not None:
+        # An earlier kept time is a first chunk that is always left with it.
+        summaries = summaries.unionByName(
+            kept_before.select(
+                F.col(key).cast("string").alias("_key"),
+                F.lit(_NEVER).alias("_chunk"),
+                F.array(F.lit(-_NEVER)).alias("limits"),
+                F.array(F.unix_micros(time)).alias("exits"),
+            )
+        )
     entries = (
         summaries.repartition("_key")
         .sortWithinPartitions("_key", "_chunk")
         .mapInPandas(_chain, "_key string, _chunk long, _entry long")
+        .where(F.col("_chunk") > _NEVER)
     )
     marked = placed.withColumn("_entry", F.lit(None).cast("long")).unionByName(
         entries, allowMissingColumns=True

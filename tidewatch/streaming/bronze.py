@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch import schemas
 from tidewatch.lake import commits
 from tidewatch.operators import ingest
+from tidewatch.streaming.metrics import OBSERVED
 
 # Fixed value: how often a micro-batch is started.
 TRIGGER = "60 seconds"
@@ -37,19 +39,23 @@ def batch_writer(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         bronze = ingest.bronze_derive(batch)
         if enforce:
-            if quarantine:
+            # Two writes, but the messages are fetched once.
+            bronze = bronze.persist()
+        try:
+            kept = ingest.valid_rows(bronze) if enforce else bronze
+            rows = commits.commit(kept, table, batch_id)
+            if enforce and quarantine:
                 ingest.quarantine_rows(bronze).write.mode("overwrite").json(
                     f"{quarantine}/batch={batch_id}"
                 )
-            bronze = ingest.valid_rows(bronze)
-        rows = commits.commit(bronze, table, batch_id)
-        if batch_id % expire_every == 0:
+        finally:
+            if enforce:
+                bronze.unpersist()
+        if rows and batch_id % expire_every == 0:
             commits.expire(batch.sparkSession, table, retain)
-        if on_batch:
+        if rows and on_batch:
             on_batch(batch_id, rows)
 
     return write
@@ -65,7 +71,9 @@ def start_bronze(
     **maintenance,
 ) -> StreamingQuery:
     """Start the stream; ``trigger={"availableNow": True}`` drains what is there and ends."""
-    parsed = ingest.parse_alert_json(messages, keep_raw=enforce)
+    parsed = ingest.parse_alert_json(messages, keep_raw=enforce).observe(
+        OBSERVED, F.count(F.lit(1)).alias("records")
+    )
     writer = batch_writer(table, enforce, quarantine, **maintenance)
     return (
         parsed.writeStream.queryName(f"bronze {table}")

@@ -16,6 +16,20 @@ DURATION = "bronze_batch_duration_seconds"
 THROUGHPUT = "processed_rows_per_second"
 DELAY = "end_to_end_delay_seconds"
 
+# Name under which a query counts its records; see :func:`records_of`.
+OBSERVED = "bronze"
+
+
+def records_of(progress: dict) -> int:
+    """Records of a batch: those the query observed, else the source's own count.
+
+    The source counts what was read, and a batch that is read twice counts twice.
+    """
+    observed = (progress.get("observedMetrics") or {}).get(OBSERVED)
+    if observed is None:
+        return progress.get("numInputRows") or 0
+    return observed["records"]
+
 
 def _finish(progress: dict) -> dt.datetime:
     begun = dt.datetime.fromisoformat(progress["timestamp"].replace("Z", "+00:00"))
@@ -30,7 +44,7 @@ def samples_of(reports: Iterable[dict], instance: str = "driver") -> list[tuple]
     """
     samples, total = [], 0
     for progress in reports:
-        rows = progress.get("numInputRows") or 0
+        rows = records_of(progress)
         if not rows:
             continue
         total += rows
@@ -77,7 +91,7 @@ class ProgressLog(StreamingQueryListener):
         if not rows:
             return
         key = str(event.progress.id)
-        self.totals[key] = self.totals.get(key, 0) + progress["numInputRows"]
+        self.totals[key] = self.totals.get(key, 0) + records_of(progress)
         rows = [(n, i, m, at, float(self.totals[key]) if n == RECORDS else v) for n, i, m, at, v in rows]
         frame = self.spark.createDataFrame(rows, schemas.SAMPLE)
         frame.coalesce(1).write.mode("append").parquet(self.path)

@@ -1,15 +1,24 @@
-"""Throttle on a stream: one kept time per camera as state."""
+"""Throttle on a stream: one kept time per camera as state.
+
+:func:`stream_throttle` keeps the state in Spark's state store and gives a stream
+that can be processed further; a camera's rows of one micro-batch meet in one
+task. :func:`throttle_batches` runs the chunked operator on every micro-batch and
+so also spreads a camera that sends a large share of all rows.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import warnings
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidewatch.operators.throttle import ALERT_SECONDS, IDLE_SECONDS, next_kept
+from tidewatch.operators.throttle import ALERT_SECONDS, IDLE_SECONDS, next_kept, throttle
+from tidewatch.session import materialize
 
 
 def stream_throttle(
@@ -35,6 +44,8 @@ def stream_throttle(
     def keep(
         _: tuple, parts: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
+        # Spark joins the groups' frames and pandas warns about all-NULL columns.
+        warnings.simplefilter("ignore", FutureWarning)
         rows = pd.concat(parts).dropna(subset=[time]).sort_values(order, kind="stable")
         if rows.empty:
             return
@@ -56,3 +67,36 @@ def stream_throttle(
     return events.groupBy(key).applyInPandasWithState(
         keep, events.schema, "kept long", "append", GroupStateTimeout.NoTimeout
     )
+
+
+def throttle_batches(
+    sink: Callable[[DataFrame, int], None],
+    state_path: str,
+    key: str = "camera_id",
+    time: str = "event_time",
+    **options,
+) -> Callable[[DataFrame, int], None]:
+    """Function for ``foreachBatch``: throttle each micro-batch, then ``sink`` it.
+
+    The kept times before batch ``n`` lie in one of three folders below
+    ``state_path``, by ``n`` modulo three. A batch reads its own folder and
+    writes the next, so a replayed batch starts from the same state; ``sink`` has
+    to replace what it wrote for a replayed batch, as numbered commits do.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        layout = batch.select(key, time).schema
+        before = (
+            spark.read.schema(layout).parquet(f"{state_path}/{batch_id % 3}")
+            if batch_id
+            else spark.createDataFrame([], layout)
+        )
+        kept = materialize(
+            throttle(batch, key=key, time=time, kept_before=before, **options), "kept"
+        )
+        sink(kept, batch_id)
+        after = before.unionByName(kept.select(key, time)).groupBy(key).agg(F.max(time).alias(time))
+        after.write.mode("overwrite").parquet(f"{state_path}/{(batch_id + 1) % 3}")
+
+    return write
