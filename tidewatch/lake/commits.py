@@ -114,8 +114,9 @@ def expire(spark: SparkSession, table: str, retain_last: int = RETAIN_COMMITS) -
     if len(newest) < retain_last:
         return 0
     old = [r[0] for r in log.where(F.col("commit_id") < newest[-1]).select("commit_id").collect()]
-    for commit_id in old:
-        spark.sql(f"ALTER TABLE {log_name(table)} DROP IF EXISTS PARTITION (commit_id = {commit_id})")
+    if old:
+        gone = ", ".join(f"PARTITION (commit_id = {c})" for c in old)
+        spark.sql(f"ALTER TABLE {log_name(table)} DROP IF EXISTS {gone}")
     return len(old)
 
 

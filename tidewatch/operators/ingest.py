@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import schemas
 from tidewatch.functions.times import iso_text, lenient_date, lenient_timestamp, moment
-from tidewatch.operators.joins import reference_join
+from tidewatch.operators.joins import reference_join, without
 
 
 def parse_json(
@@ -100,8 +100,7 @@ def as_alert_message(status: DataFrame, sent_at: str = "sent_at") -> DataFrame:
 
 def soft_delete(bronze: DataFrame, retractions: DataFrame) -> DataFrame:
     """Bronze rows without those retracted by camera and event time."""
-    marks = retractions.select("camera_id", "event_time").distinct()
-    return bronze.join(marks, ["camera_id", "event_time"], "left_anti")
+    return without(bronze, retractions, ["camera_id", "event_time"]).select(*bronze.columns)
 
 
 def prune_dates(bronze: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:

@@ -1,7 +1,13 @@
-"""Joins against reference tables of unknown size."""
+"""Joins against tables of unknown size.
+
+A derived table has no size estimate, so Spark would shuffle both sides of its
+join. The functions here look at up to a bound of its rows first.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,3 +44,17 @@ def reference_join(
     spread = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
     copies = reference.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return spread.join(copies, [key, "_salt"], how).drop("_salt")
+
+
+def without(
+    rows: DataFrame, known: DataFrame, on: Sequence[str], max_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Rows whose key is not among ``known`` keys; rows with a NULL key stay.
+
+    Few known keys are broadcast and ``rows`` stay where they are. Many are
+    joined by a shuffle, whose hot keys adaptive execution splits.
+    """
+    keys = known.select(*on).distinct()
+    if fits_broadcast(keys, max_rows):
+        keys = F.broadcast(keys)
+    return rows.join(keys, list(on), "left_anti")

@@ -8,7 +8,6 @@ questions and documents never become rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -17,6 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.session import shared_dir
+
 # Questions held by every task at once: 4096 vectors of 384 doubles are 12 MB.
 QUESTIONS_PER_PASS = 4096
 _DOCS_PER_STEP = 2048
@@ -117,17 +118,60 @@ def _search(questions: dict, k: int, filters: Sequence[str], by_cell: bool) -> C
     return run
 
 
-def _passes(questions: DataFrame, columns: list[str], bound: int) -> Iterator[list]:
-    """Questions in bounded lots. One lot in the usual case, hash buckets beyond it."""
+def _lots(questions: DataFrame, columns: list[str], bound: int) -> Iterator[DataFrame]:
+    """Questions in lots of about half the bound, by a hash of their id."""
     chosen = questions.select(*columns)
-    head = chosen.limit(bound + 1).collect()
-    if len(head) <= bound:
-        yield head
-        return
-    buckets = -(-2 * questions.count() // bound)
-    bucket = F.pmod(F.xxhash64(columns[0]), F.lit(buckets))
-    for number in range(buckets):
-        yield chosen.where(bucket == number).collect()
+    lots = -(-2 * questions.count() // bound)
+    lot = F.pmod(F.xxhash64(columns[0]), F.lit(lots))
+    for number in range(lots):
+        yield chosen.where(lot == number)
+
+
+def _search_lot(
+    lot: list,
+    docs: DataFrame,
+    k: int,
+    filters: Sequence[str],
+    payload: Sequence[str],
+    probe: Callable[[np.ndarray], np.ndarray] | None,
+    question: T.StructField,
+) -> DataFrame:
+    """Hits of a lot of questions: one pass over the documents, then one over the hits'."""
+    vectors = _unit(np.array([row["embedding"] for row in lot], dtype=np.float64))
+    packed = {
+        "vectors": vectors,
+        "filters": {name: [row[name] for row in lot] for name in filters},
+    }
+    columns = ["id", F.col("embedding").alias("vector"), *filters]
+    candidates = docs.where("embedding IS NOT NULL AND size(embedding) > 0")
+    for name, wanted in packed["filters"].items():
+        if all(value is not None for value in wanted):
+            candidates = candidates.where(F.col(name).isin(*set(wanted)))
+    if probe is not None:
+        packed["probes"] = probe(vectors)
+        visited = np.flatnonzero(packed["probes"].any(axis=1))
+        candidates = candidates.where(F.col("cell").isin(*visited.tolist()))
+        columns.append("cell")
+    found = (
+        T.StructType()
+        .add("_question", T.IntegerType())
+        .add("id", docs.schema["id"].dataType)
+        .add("distance", T.DoubleType())
+    )
+    local = candidates.select(*columns).mapInArrow(
+        _search(packed, k, filters, probe is not None), found
+    )
+    nearest = Window.partitionBy("_question").orderBy("distance", "id")
+    top = local.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
+    names = docs.sparkSession.createDataFrame(
+        [(i, row[question.name]) for i, row in enumerate(lot)],
+        T.StructType().add("_question", T.IntegerType()).add(question),
+    )
+    # Both broadcasts are bounded: a lot's questions, and k hits of each.
+    top = top.join(F.broadcast(names), "_question").drop("_question")
+    if payload:
+        top = docs.select("id", *payload).join(F.broadcast(top), "id")
+    return top.select(question.name, "rank", "id", *payload, "distance")
 
 
 def _knn(
@@ -140,64 +184,29 @@ def _knn(
     bound: int,
     question_id: str,
 ) -> DataFrame:
-    spark = questions.sparkSession
-    needed = ["id", F.col("embedding").alias("vector"), *filters]
-    question_type = questions.schema[question_id].dataType
-    id_type = docs.schema["id"].dataType
-    searchable = docs.where("embedding IS NOT NULL AND size(embedding) > 0")
-    answers = []
-    lots = _passes(
-        questions.where("embedding IS NOT NULL AND size(embedding) > 0"),
-        [question_id, "embedding", *filters],
-        bound,
-    )
-    for lot in lots:
-        if not lot:
-            continue
-        vectors = _unit(np.array([row["embedding"] for row in lot], dtype=np.float64))
-        packed = {
-            "vectors": vectors,
-            "filters": {name: [row[name] for row in lot] for name in filters},
-        }
-        candidates = searchable
-        for name in filters:
-            wanted = packed["filters"][name]
-            if all(value is not None for value in wanted):
-                candidates = candidates.where(F.col(name).isin(*set(wanted)))
-        columns = list(needed)
-        if probe is not None:
-            packed["probes"] = probe(vectors)
-            visited = np.flatnonzero(packed["probes"].any(axis=1))
-            candidates = candidates.where(F.col("cell").isin(*visited.tolist()))
-            columns.append("cell")
-        local = candidates.select(*columns).mapInArrow(
-            _search(packed, k, filters, probe is not None),
-            T.StructType()
-            .add("_question", T.IntegerType())
-            .add("id", id_type)
-            .add("distance", T.DoubleType()),
-        )
-        nearest = Window.partitionBy("_question").orderBy("distance", "id")
-        top = local.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
-        names = spark.createDataFrame(
-            [(i, row[question_id]) for i, row in enumerate(lot)],
-            T.StructType().add("_question", T.IntegerType()).add(question_id, question_type),
-        )
-        # Both sides are bounded: a lot has at most ``bound`` questions, each k hits.
-        top = top.join(F.broadcast(names), "_question").drop("_question")
-        if payload:
-            top = docs.select("id", *payload).join(F.broadcast(top), "id")
-        answers.append(top.select(question_id, "rank", "id", *payload, "distance"))
-    if not answers:
-        empty = docs.select("id", *payload).limit(0)
-        return empty.select(
-            F.lit(None).cast(question_type).alias(question_id),
-            F.lit(0).alias("rank"),
-            "id",
-            *payload,
-            F.lit(0.0).alias("distance"),
-        )
-    return reduce(DataFrame.unionByName, answers)
+    """One lazy pass for up to ``bound`` questions. More are searched lot by lot, each
+    lot's hits being written before the next lot is read."""
+    asked = questions.where("embedding IS NOT NULL AND size(embedding) > 0")
+    columns = [question_id, "embedding", *filters]
+
+    def search(lot: list) -> DataFrame:
+        return _search_lot(lot, docs, k, filters, payload, probe, questions.schema[question_id])
+
+    head = asked.select(*columns).limit(bound + 1).collect()
+    if 0 < len(head) <= bound:
+        return search(head)
+    out = shared_dir(questions.sparkSession, "hits")
+    layout = T.StructType([questions.schema[question_id]]).add("rank", T.IntegerType())
+    for name in ("id", *payload):
+        layout.add(docs.schema[name])
+    layout.add("distance", T.DoubleType())
+    if not head:
+        return questions.sparkSession.createDataFrame([], layout)
+    for lot in _lots(asked, columns, bound):
+        rows = lot.collect()
+        if rows:
+            search(rows).write.mode("append").parquet(out)
+    return questions.sparkSession.read.schema(layout).parquet(out)
 
 
 def knn_filtered(
@@ -213,9 +222,10 @@ def knn_filtered(
 
     ``questions`` have (question_id, embedding, filters), ``docs`` (id, embedding,
     filters, payload). A document has to equal every filter its question sets;
-    NULL sets none. The questions are read to the driver in lots of bounded size
-    and each lot is one pass over the documents. Where every question of a lot
-    sets a filter, its values are pushed into the document scan.
+    NULL sets none. Up to ``questions_per_pass`` questions are handed to all tasks
+    and take one pass over the documents; more take several, one lot in memory at
+    a time. Where every question of a lot sets a filter, its values are pushed
+    into the document scan.
     """
     return _knn(questions, docs, k, filters, payload, None, questions_per_pass, question_id)
 

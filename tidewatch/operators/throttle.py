@@ -168,19 +168,26 @@ def _chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _selection(short: int, long: int, names: list[str]):
-    """Step 3: the kept rows. Each run starts with the marker that holds its entry."""
+    """Step 3: the kept rows. Each run starts with the marker that holds its entry.
+
+    With the entry known a run needs no more than the last kept time to go on in
+    the next batch, so a batch is all that is held.
+    """
 
     def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_runs(batches):
+        carried = _NEVER
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
             starts, run = _run_ids(table)
+            marker = table["_at"].is_null().combine_chunks().to_numpy(zero_copy_only=False)
             entry = table["_entry"].combine_chunks().take(pa.array(starts))
-            entry = entry.fill_null(_NEVER).to_numpy()
-            real = np.ones(table.num_rows, dtype=bool)
-            real[starts] = False
-            rows = table.filter(pa.array(real))
-            if not rows.num_rows:
-                continue
-            run = run[real]
+            entry = entry.fill_null(_NEVER).to_numpy(zero_copy_only=False).copy()
+            if not marker[0]:
+                entry[0] = carried
+            rows = table.filter(pa.array(~marker))
+            run = run[~marker]
             at = rows["_at"].to_numpy()
             violent = rows["_violent"].to_numpy().astype(bool)
             follow = next_kept(at, violent, run, short, long)
@@ -192,6 +199,8 @@ def _selection(short: int, long: int, names: list[str]):
                 kept[path] = True
                 path = follow[path]
                 path = path[path < len(at)]
+            last = at[kept & (run == len(starts) - 1)]
+            carried = last[-1] if len(last) else entry[-1]
             yield from rows.filter(pa.array(kept)).select(names).to_batches()
 
     return run_all
@@ -211,14 +220,14 @@ def throttle(
     """Kept rows of ``events``; rows without a time are dropped.
 
     Rows of one camera at one instant are taken in the order of ``tie``. Chunks
-    default to 24 idle intervals; a chunk's rows have to fit a task's memory.
+    default to 12 idle intervals; of one chunk, a task holds the times and flags.
     ``kept_before`` continues an earlier run: per camera the ``time`` of the last
     row that was kept.
     """
     short, long = round(alert_seconds * 1e6), round(idle_seconds * 1e6)
     if min(short, long) <= 0:
         raise ValueError("intervals must be positive")
-    chunk_length = round((chunk_seconds or 24 * idle_seconds) * 1e6)
+    chunk_length = round((chunk_seconds or 12 * idle_seconds) * 1e6)
     at = F.unix_micros(time)
     placed = events.where(F.col(time).isNotNull()).withColumns(
         {
@@ -234,6 +243,7 @@ def throttle(
         placed.select("_key", "_chunk", "_at", "_violent", *tie_break)
         .repartition("_key", "_chunk")
         .sortWithinPartitions("_key", "_chunk", "_at", *tie_break)
+        .select("_key", "_chunk", "_at", "_violent")
         .mapInArrow(
             _summaries(short, long, chunk_length),
             "_key string, _chunk long, limits array<long>, exits array<long>",

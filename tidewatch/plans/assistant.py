@@ -33,8 +33,6 @@ def update_index(
     known = None if documents is None else indexed_ids(documents)
     fresh = retrieval.ingest_incremental(events, known)
     incoming = retrieval.embed_documents(fresh, load_encoder).withColumn("version", F.lit(version))
-    if documents is None:
-        return union_upsert(incoming.limit(0), incoming)
     return union_upsert(documents, incoming)
 
 
