@@ -16,10 +16,10 @@ Steps 1 and 3 run over all chunks of all cameras in parallel.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -146,24 +146,25 @@ def _summaries(short: int, long: int, chunk_length: int):
     return run_all
 
 
-def _chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Step 2: the incoming last kept time of every chunk; NULL before the first."""
+def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Step 2: the incoming last kept time of every chunk, in time order per camera."""
     camera, kept = object(), _NEVER
     for batch in batches:
+        steps = batch.column("limits")
+        ends = steps.offsets.to_pylist()
+        limits = steps.values.to_pylist()
+        exits = batch.column("exits").values.to_pylist()
         entries = []
-        for key, limits, exits in zip(batch["_key"], batch["limits"], batch["exits"]):
+        for row, key in enumerate(batch.column("_key").to_pylist()):
             if key != camera:
                 camera, kept = key, _NEVER
-            entries.append(None if kept == _NEVER else kept)
-            step = int(np.searchsorted(limits, kept))
-            if step < len(exits):
-                kept = int(exits[step])
-        yield pd.DataFrame(
-            {
-                "_key": batch["_key"],
-                "_chunk": batch["_chunk"],
-                "_entry": pd.array(entries, dtype="Int64"),
-            }
+            entries.append(kept)
+            step = bisect_left(limits, kept, ends[row], ends[row + 1])
+            if step < ends[row + 1]:
+                kept = exits[step]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("_key"), batch.column("_chunk"), pa.array(entries, pa.int64())],
+            names=["_key", "_chunk", "_entry"],
         )
 
 
@@ -262,7 +263,7 @@ def throttle(
     entries = (
         summaries.repartition("_key")
         .sortWithinPartitions("_key", "_chunk")
-        .mapInPandas(_chain, "_key string, _chunk long, _entry long")
+        .mapInArrow(_chain, "_key string, _chunk long, _entry long")
         .where(F.col("_chunk") > _NEVER)
     )
     marked = placed.withColumn("_entry", F.lit(None).cast("long")).unionByName(
