@@ -30,6 +30,32 @@ def counter_rate(spark, sf_dir):
     return rates.select("event_id", "series", "ts", F.round("rate", 9).alias("rate"))
 
 
+@query(
+    "counter_rate_extrapolated",
+    _INCREASE_SQL.format(keep="true")
+    + f""", framed AS (
+      SELECT event_id, series, ts, count(*) OVER w - 1 AS gaps, first_value(value) OVER w AS first,
+        (epoch_us(ts) - first_value(epoch_us(ts)) OVER w) / 1000000.0 AS span,
+        sum(coalesce(increase, 0)) OVER w - first_value(coalesce(increase, 0)) OVER w AS rise
+      FROM increases WINDOW w AS (PARTITION BY series ORDER BY ts {_DAY_FRAME})
+    ), started AS (
+      SELECT *, CASE WHEN 86400 - span >= span / gaps * 1.1 THEN span / gaps / 2
+        ELSE 86400 - span END AS to_start
+      FROM framed WHERE gaps > 0
+    )
+    SELECT f.event_id, f.series, f.ts, round(s.rise * (s.span + CASE
+        WHEN s.rise > 0 AND s.first >= 0 AND s.span * s.first / s.rise < s.to_start
+        THEN s.span * s.first / s.rise ELSE s.to_start END) / s.span, 5) AS per_day
+    FROM framed f LEFT JOIN started s ON s.event_id = f.event_id""",
+)
+def counter_rate_extrapolated(spark, sf_dir):
+    rates = series.counter_rate(
+        samples(spark, sf_dir), width="1 day", block="1 day", extrapolate=True
+    )
+    per_day = F.round(F.col("rate") * 86400, 5).alias("per_day")
+    return rates.select("event_id", "series", "ts", per_day)
+
+
 @query(
     "avg_over_time",
     f"""WITH {SAMPLES_SQL} SELECT event_id, series, ts,

@@ -55,6 +55,41 @@ def test_against_brute_force(spark):
             assert r.trail_count == len(here) and r.trail_sum == pytest.approx(sum(here))
 
 
+def extrapolated(samples, width):
+    """The rate at the last sample of each prefix, written out."""
+    out = {}
+    for n, (end, _) in enumerate(samples):
+        frame = [(t, v) for t, v in samples[: n + 1] if t > end - width]
+        if len(frame) < 2:
+            out[end] = None
+            continue
+        rise = sum(b - a if b >= a else b for (_, a), (_, b) in zip(frame, frame[1:]))
+        span = end - frame[0][0]
+        gap = span / (len(frame) - 1)
+        start = width - span
+        start = gap / 2 if start >= 1.1 * gap else start
+        if rise > 0 and frame[0][1] >= 0:
+            start = min(start, span * frame[0][1] / rise)
+        out[end] = rise * (span + start) / span / width
+    return out
+
+
+def test_extrapolated_rate(spark):
+    rng = random.Random(8)
+    clock, points = 0.0, []
+    for _ in range(200):
+        clock += rng.choice([5, 15, 15, 15, 40, 90])
+        points.append((clock, rng.randint(0, 30)))
+    frame = samples(spark, [("a", t, v) for t, v in points])
+    got = {
+        seconds(r): r.rate
+        for r in series.counter_rate(frame, block="1 minute", extrapolate=True).collect()
+    }
+    want = extrapolated(points, 60)
+    assert {t: v is None for t, v in got.items()} == {t: v is None for t, v in want.items()}
+    assert all(v is None or v == pytest.approx(want[t]) for t, v in got.items())
+
+
 def test_busy_by_instance(spark):
     rows = [("c1", 0, 0), ("c1", 300, 270), ("c2", 0, 0), ("c2", 300, 210)]
     (got,) = series.busy_by_instance(samples(spark, rows)).collect()

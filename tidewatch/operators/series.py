@@ -7,7 +7,7 @@ over as many tasks as it has blocks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,51 +19,58 @@ def _block(position: Column, length: int) -> Column:
     return F.floor(position / length)
 
 
-def trailing(
+def _halves(
     samples: DataFrame,
     series: Sequence[str],
-    value: str,
     width: str,
-    ts: str = "ts",
+    ts: str,
+    parts: dict[str, tuple[Callable[[Column], Column], Column]],
 ) -> DataFrame:
-    """Add ``trail_sum`` and ``trail_count`` of ``value`` over ``(ts - width, ts]``.
+    """Aggregates of the two halves of ``(ts - width, ts]``, as ``_own_*`` and ``_prev_*``.
 
     A sliding frame is recomputed for every row, which is quadratic for dense
     series. Instead time is cut into blocks of the frame's own length: a frame
     is then the start of its own block up to the row plus the end of the
     previous block. Each sample enters its own block and, moved by ``width``,
-    the next one; two running sums, one in each direction, give both parts. Only
-    sums of values are formed, so nothing cancels.
+    the next one; two running aggregates, one in each direction, give both
+    halves. Nothing is subtracted, so nothing cancels.
     """
     length = micros_of(width)
     placed = samples.withColumn("_moved", F.explode(F.array(F.lit(0), F.lit(1))))
     placed = placed.withColumn("_at", F.unix_micros(ts) + F.col("_moved") * F.lit(length))
     placed = placed.withColumn("_block", _block(F.col("_at"), length))
-    parts = Window.partitionBy(*series, "_block")
-    up_to_here = parts.orderBy(F.col("_at"), F.col("_moved").desc()).rangeBetween(
+    block = Window.partitionBy(*series, "_block")
+    up_to_here = block.orderBy(F.col("_at"), F.col("_moved").desc()).rangeBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    after_here = parts.orderBy(F.col("_at").desc(), F.col("_moved")).rangeBetween(
+    after_here = block.orderBy(F.col("_at").desc(), F.col("_moved")).rangeBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    own = F.when(F.col("_moved") == 0, F.col(value))
-    previous = F.when(F.col("_moved") == 1, F.col(value))
-    summed = placed.withColumns(
-        {
-            "_own_sum": F.sum(own).over(up_to_here),
-            "_own_count": F.count(own).over(up_to_here),
-            "_prev_sum": F.sum(previous).over(after_here),
-            "_prev_count": F.count(previous).over(after_here),
-        }
-    ).where("_moved = 0")
-    zero = F.lit(0.0)
-    return summed.select(
+    halves = {}
+    for name, (aggregate, column) in parts.items():
+        own, previous = (F.when(F.col("_moved") == n, column) for n in (0, 1))
+        halves[f"_own_{name}"] = aggregate(own).over(up_to_here)
+        halves[f"_prev_{name}"] = aggregate(previous).over(after_here)
+    return placed.withColumns(halves).where("_moved = 0")
+
+
+def _both(name: str) -> Column:
+    return F.coalesce(f"_own_{name}", F.lit(0)) + F.coalesce(f"_prev_{name}", F.lit(0))
+
+
+def trailing(
+    samples: DataFrame,
+    series: Sequence[str],
+    value: str,
+    width: str,
+    ts: str = "ts",
+) -> DataFrame:
+    """Add ``trail_sum`` and ``trail_count`` of ``value`` over ``(ts - width, ts]``."""
+    parts = {"sum": (F.sum, F.col(value)), "count": (F.count, F.col(value))}
+    return _halves(samples, series, width, ts, parts).select(
         *samples.columns,
-        (F.col("_own_count") + F.col("_prev_count")).alias("trail_count"),
-        F.when(
-            F.col("_own_count") + F.col("_prev_count") > 0,
-            F.coalesce("_own_sum", zero) + F.coalesce("_prev_sum", zero),
-        ).alias("trail_sum"),
+        _both("count").alias("trail_count"),
+        F.when(_both("count") > 0, _both("sum")).alias("trail_sum"),
     )
 
 
@@ -108,16 +115,48 @@ def counter_rate(
     block: str = "1 hour",
     ts: str = "ts",
     value: str = "value",
+    extrapolate: bool = False,
 ) -> DataFrame:
     """Add ``rate``, the counter's increase per second over ``(ts - width, ts]``.
 
-    The increase is that between samples; it is not extrapolated to the frame's
-    edges. NULL where the frame knows no increase.
+    By default all increases that end in the frame count, NULL where there is
+    none. With ``extrapolate`` only those between two samples of the frame do,
+    and they are stretched towards the frame's start the way metric servers do;
+    a frame with one sample then has no rate.
     """
     rising = counter_increase(samples, series, block, ts, value)
     seconds = micros_of(width) / 1_000_000
-    return trailing(rising, series, "increase", width, ts).select(
-        *samples.columns, (F.col("trail_sum") / seconds).alias("rate")
+    if not extrapolate:
+        return trailing(rising, series, "increase", width, ts).select(
+            *samples.columns, (F.col("trail_sum") / seconds).alias("rate")
+        )
+    rise = F.coalesce("increase", F.lit(0.0))
+    micros = F.unix_micros(ts)
+    sample = F.struct(micros.alias("at"), F.col(value).alias("value"), rise.alias("rise"))
+    parts = {"sum": (F.sum, rise), "count": (F.count, micros), "first": (F.min, sample)}
+    framed = _halves(rising, series, width, ts, parts).withColumn(
+        "_first", F.coalesce("_prev_first", "_own_first")
+    )
+    framed = framed.withColumns(
+        {
+            "_rise": _both("sum") - F.col("_first.rise"),
+            "_span": (micros - F.col("_first.at")) / 1_000_000,
+            "_gaps": _both("count") - 1,
+        }
+    )
+    mean_gap = F.col("_span") / F.col("_gaps")
+    to_start = F.lit(seconds) - F.col("_span")
+    # Fixed value: a start further off than 1.1 mean gaps is reached by half a gap.
+    to_start = F.when(to_start >= mean_gap * 1.1, mean_gap / 2).otherwise(to_start)
+    # A counter is not stretched below zero.
+    to_zero = F.col("_span") * F.col("_first.value") / F.col("_rise")
+    to_start = F.when(
+        (F.col("_rise") > 0) & (F.col("_first.value") >= 0), F.least(to_start, to_zero)
+    ).otherwise(to_start)
+    stretched = F.col("_rise") * (F.col("_span") + to_start) / F.col("_span") / seconds
+    return framed.select(
+        *samples.columns,
+        F.when((F.col("_gaps") > 0) & (F.col("_span") > 0), stretched).alias("rate"),
     )
 
 
