@@ -45,14 +45,14 @@ def counter_rate(spark, sf_dir):
     )
     SELECT f.event_id, f.series, f.ts, round(s.rise * (s.span + CASE
         WHEN s.rise > 0 AND s.first >= 0 AND s.span * s.first / s.rise < s.to_start
-        THEN s.span * s.first / s.rise ELSE s.to_start END) / s.span, 5) AS per_day
+        THEN s.span * s.first / s.rise ELSE s.to_start END) / s.span, 7) AS per_day
     FROM framed f LEFT JOIN started s ON s.event_id = f.event_id""",
 )
 def counter_rate_extrapolated(spark, sf_dir):
     rates = series.counter_rate(
         samples(spark, sf_dir), width="1 day", block="1 day", extrapolate=True
     )
-    per_day = F.round(F.col("rate") * 86400, 5).alias("per_day")
+    per_day = F.round(F.col("rate") * 86400, 7).alias("per_day")
     return rates.select("event_id", "series", "ts", per_day)
 
 
