@@ -304,14 +304,15 @@ def fn_hash_keys(spark, sf_dir):
     FROM lineitem""",
 )
 def fn_two_digits(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_partkey",
-        text.two_digits(F.col("l_discount") / 8).alias("eighth"),
-        text.two_digits(F.col("l_extendedprice") / 1000).alias("thousandth"),
-        text.two_digits(-F.col("l_tax") / 16).alias("negative"),
-        text.two_digits(F.col("l_linenumber") + 0.125).alias("tie"),
-    )
+    shown = table(spark, sf_dir, "lineitem")
+    for name, value in (
+        ("eighth", F.col("l_discount") / 8),
+        ("thousandth", F.col("l_extendedprice") / 1000),
+        ("negative", -F.col("l_tax") / 16),
+        ("tie", F.col("l_linenumber") + 0.125),
+    ):
+        shown = text.with_two_digits(shown, value, name)
+    return shown.select("l_orderkey", "l_partkey", "eighth", "thousandth", "negative", "tie")
 
 
 @query(

@@ -118,7 +118,8 @@ _THROTTLE_SQL = """WITH RECURSIVE numbered AS (
   SELECT e.user_id, e.n, e.event_id, e.us - w.last >= e.gap,
     CASE WHEN e.us - w.last >= e.gap THEN e.us ELSE w.last END
   FROM walk w JOIN numbered e ON e.user_id = w.user_id AND e.n = w.n + 1
-) SELECT event_id, concat('cam', lpad(CAST(user_id AS VARCHAR), 4, '0')) AS camera_id
+) SELECT event_id, concat('cam', lpad(CAST(user_id AS VARCHAR),
+  CAST(greatest(4, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0')) AS camera_id
 FROM walk WHERE kept"""
 
 _GAPS = {"alert_seconds": HOUR, "idle_seconds": 6 * HOUR, "tie": "event_id"}
@@ -136,6 +137,26 @@ def stream_throttle(spark, sf_dir):
     return kept.select("event_id", "camera_id")
 
 
+@query("stream_throttle_batches", _THROTTLE_SQL)
+def stream_throttle_batches(spark, sf_dir):
+    """The chunked operator on every micro-batch, kept times carried between them."""
+    out = shared_dir(spark, "kept")
+
+    def sink(kept, batch_id):
+        kept.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    writer = throttled.throttle_batches(sink, shared_dir(spark, "state"), **_GAPS)
+    running = (
+        reading_stream(spark, sf_dir)
+        .writeStream.foreachBatch(writer)
+        .option("checkpointLocation", shared_dir(spark, "checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    running.awaitTermination()
+    return spark.read.parquet(out).select("event_id", "camera_id")
+
+
 @query(
     "stream_enrich",
     f"""WITH {REGISTRY_SQL} SELECT e.event_id, m.camera_id, m.city, m.ward, m.risk_level

@@ -53,7 +53,9 @@ def events(
 
 
 def camera_of(number) -> F.Column:
-    return F.concat(F.lit("cam"), F.lpad(number.cast("string"), 4, "0"))
+    """At least four digits; ``lpad`` alone would cut longer numbers."""
+    digits = number.cast("string")
+    return F.concat(F.lit("cam"), F.when(number < 10000, F.lpad(digits, 4, "0")).otherwise(digits))
 
 
 def cameras(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,7 +233,8 @@ def vector_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY_SQL = """cameras AS (
   SELECT c.c_custkey AS user_id,
-    concat('cam', lpad(CAST(c.c_custkey AS VARCHAR), 4, '0')) AS camera_id,
+    concat('cam', lpad(CAST(c.c_custkey AS VARCHAR),
+      CAST(greatest(4, length(CAST(c.c_custkey AS VARCHAR))) AS INTEGER), '0')) AS camera_id,
     r.r_name AS city, n.n_name AS district, c.c_mktsegment AS ward,
     concat('street', CAST(c.c_custkey % 15 AS VARCHAR)) AS street,
     CAST(1077000 + (c.c_custkey % 32) * 50 AS DOUBLE) / 100000 AS latitude,
@@ -291,7 +294,8 @@ def rollup_sql(width: str = "5 minutes") -> str:
 
 
 STATUS_SQL = """statuses AS (
-  SELECT event_id, concat('cam', lpad(CAST(user_id AS VARCHAR), 4, '0')) AS camera_id,
+  SELECT event_id, concat('cam', lpad(CAST(user_id AS VARCHAR),
+      CAST(greatest(4, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0')) AS camera_id,
     CASE event_type WHEN 'error' THEN 'online' WHEN 'view' THEN 'offline'
       WHEN 'click' THEN 'error' END AS status,
     CAST(ts AS VARCHAR) AS timestamp,

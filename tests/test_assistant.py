@@ -17,10 +17,11 @@ def test_two_digits_matches_exact_rounding(spark):
     values = [0.125, 0.375, 2.675, 1.005, 0.0, 1.0, 0.995, 9.995, 123456.785, -0.125, -2.675, 1e-9]
     values += list(rng.random(3000)) + list(np.round(rng.random(3000), 3)) + list(rng.integers(0, 9999, 500) / 8)
     frame = spark.createDataFrame([(float(v),) for v in values], "v double")
-    got = [r[0] for r in frame.select(text.two_digits(F.col("v"))).collect()]
+    got = [r.shown for r in text.with_two_digits(frame, F.col("v"), "shown").collect()]
     assert got == [f"{v:.2f}" for v in values]
     gone = spark.createDataFrame([(None,), (float("nan"),)], "v double")
-    assert [r[0] for r in gone.select(text.two_digits(F.col("v"))).collect()] == ["nan", "nan"]
+    out = text.with_two_digits(gone, F.col("v"), "shown")
+    assert out.columns == ["v", "shown"] and [r.shown for r in out.collect()] == ["nan", "nan"]
 
 
 def sentence(spark, **fields):

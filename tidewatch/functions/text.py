@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Wording of the indexed sentences.
@@ -41,33 +41,52 @@ def fill(template: str, values: dict[str, Column]) -> Column:
     return F.concat(*pieces)
 
 
-def two_digits(value: Column) -> Column:
-    """Text with two decimals, rounded from the exact binary value, ties to even.
+def with_two_digits(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """Add ``value`` as text with two decimals, rounded from its exact binary value.
 
-    ``format_string('%.2f')`` rounds the shortest decimal text instead and gives
-    2.68 for 2.675. Here ``value * 100`` is split into the rounded product and
-    its exact error (Dekker's splitting), so the comparison with one half is
-    exact. NULL and NaN read ``nan``.
+    Ties go to even. ``format_string('%.2f')`` rounds the shortest decimal text
+    instead and gives 2.68 for 2.675. Here ``value * 100`` is split into the
+    rounded product and its exact error (Dekker's splitting), so the comparison
+    with one half is exact. NULL and NaN read ``nan``.
+
+    The steps are columns of their own: inside one expression each would be
+    repeated wherever it is used, and the generated code would grow too large to
+    be compiled.
     """
-    magnitude = F.abs(value)
-    spread = magnitude * F.lit(134217729.0)
-    high = spread - (spread - magnitude)
-    low = magnitude - high
-    product = magnitude * F.lit(100.0)
-    error = (high * 100.0 - product) + low * 100.0
-    whole = F.floor(product)
-    past_half = (product - whole) - 0.5 + error
-    cents = whole + F.when(
-        (past_half > 0) | ((past_half == 0) & (whole % 2 == 1)), 1
-    ).otherwise(0)
-    sign = F.when((value < 0) | (value.cast("string") == "-0.0"), "-").otherwise("")
+    steps = (
+        {"_value": value.cast("double")},
+        {"_size": F.abs("_value")},
+        {"_product": F.col("_size") * 100.0, "_spread": F.col("_size") * 134217729.0},
+        {
+            "_high": F.col("_spread") - (F.col("_spread") - F.col("_size")),
+            "_whole": F.floor("_product"),
+        },
+        {
+            "_half": (F.col("_product") - F.col("_whole"))
+            - 0.5
+            + (F.col("_high") * 100.0 - F.col("_product"))
+            + (F.col("_size") - F.col("_high")) * 100.0
+        },
+        {
+            "_cents": F.col("_whole")
+            + F.when(F.col("_half") > 0, 1)
+            .when((F.col("_half") == 0) & (F.col("_whole") % 2 == 1), 1)
+            .otherwise(0)
+        },
+    )
+    staged = rows
+    for step in steps:
+        staged = staged.withColumns(step)
+    negative = (F.col("_value") < 0) | (F.col("_value").cast("string") == "-0.0")
     shown = F.concat(
-        sign,
-        F.floor(cents / 100).cast("string"),
+        F.when(negative, "-").otherwise(""),
+        F.expr("_cents div 100").cast("string"),
         F.lit("."),
-        F.lpad((cents % 100).cast("string"), 2, "0"),
+        F.lpad((F.col("_cents") % 100).cast("string"), 2, "0"),
     )
-    return F.when(value.isNull() | F.isnan(value), "nan").otherwise(shown)
+    return staged.withColumn(
+        name, F.when(F.col("_value").isNull() | F.isnan("_value"), "nan").otherwise(shown)
+    ).drop(*[column for step in steps for column in step])
 
 
 def first_match(text: Column, pattern: str) -> Column:

@@ -29,36 +29,32 @@ def _shown(events: DataFrame, name: str) -> Column:
     return F.coalesce(value, F.lit(wording.UNKNOWN[name]))
 
 
-def event_text(
+def build_event_text(
     events: DataFrame,
     template: str = wording.EVENT_TEMPLATE,
     notes_template: str = wording.NOTES_TEMPLATE,
-) -> Column:
-    """Sentence about an event: id, camera, time, label, score, notes if there are any."""
+) -> DataFrame:
+    """Events beside a sentence: id, camera, time, label, score, notes if there are any."""
+    score = F.col("score") if "score" in events.columns else F.lit(0.0)
     label = F.col("label") if "label" in events.columns else F.lit("")
-    violent = F.upper(label) == "VIOLENCE"
-    score = F.col("score").cast("double") if "score" in events.columns else F.lit(0.0)
     sentence = wording.fill(
         template,
         {
             "event_id": _shown(events, "event_id"),
             "camera_id": _shown(events, "camera_id"),
             "timestamp_utc": _shown(events, "timestamp_utc"),
-            "label": F.when(violent, wording.VIOLENT_WORD).otherwise(wording.NORMAL_WORD),
-            "score": wording.two_digits(score),
+            "label": F.when(F.upper(label) == "VIOLENCE", wording.VIOLENT_WORD).otherwise(
+                wording.NORMAL_WORD
+            ),
+            "score": F.col("_score"),
         },
     )
-    if "extra" not in events.columns:
-        return sentence
-    notes = F.col("extra")["notes"]
-    return F.when(
-        notes != "", F.concat(sentence, wording.fill(notes_template, {"notes": notes}))
-    ).otherwise(sentence)
-
-
-def build_event_text(events: DataFrame, **templates: str) -> DataFrame:
-    """Events beside their sentence."""
-    return events.withColumn("text", event_text(events, **templates))
+    if "extra" in events.columns:
+        notes = F.col("extra")["notes"]
+        noted = wording.fill(notes_template, {"notes": notes})
+        sentence = F.concat(sentence, F.when(notes != "", noted).otherwise(""))
+    scored = wording.with_two_digits(events, score, "_score")
+    return scored.withColumn("text", sentence).drop("_score")
 
 
 def event_metadata(events: DataFrame) -> Column:
@@ -79,9 +75,9 @@ def event_metadata(events: DataFrame) -> Column:
 
 def build_event_docs(events: DataFrame, **templates: str) -> DataFrame:
     """Events as (id, text, metadata); the id hashes the event id, so upserts replace."""
-    return events.select(
+    return build_event_text(events, **templates).select(
         F.sha2(F.col("event_id").cast("string"), 256).alias("id"),
-        event_text(events, **templates).alias("text"),
+        "text",
         event_metadata(events).alias("metadata"),
     )
 
