@@ -162,8 +162,8 @@ def test_stream_throttle(spark, tmp_path, slices):
     assert {r.n for r in out.collect()} == greedy(rows)
 
 
-@pytest.mark.parametrize("slices", [1, 4])
-def test_throttle_batches(spark, tmp_path, slices):
+@pytest.mark.parametrize("slices, chunk", [(1, 3), (4, 3), (4, 17), (7, 1000)])
+def test_throttle_batches(spark, tmp_path, slices, chunk):
     rows = events(spark)
     stream = event_stream(spark, tmp_path / "in", rows, slices)
     out = str(tmp_path / "out")
@@ -171,7 +171,7 @@ def test_throttle_batches(spark, tmp_path, slices):
     def sink(kept, batch_id):
         kept.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    writer = throttle.throttle_batches(sink, str(tmp_path / "state"), tie="n", chunk_seconds=3)
+    writer = throttle.throttle_batches(sink, str(tmp_path / "state"), tie="n", chunk_seconds=chunk)
     stream.writeStream.foreachBatch(writer).option(
         "checkpointLocation", str(tmp_path / "cp")
     ).trigger(availableNow=True).start().awaitTermination()

@@ -98,11 +98,13 @@ def _run_ids(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.cumsum(run)
 
 
-def _summaries(short: int, long: int, chunk_length: int):
+def _summaries(short: int, long: int, chunk_length: int, resumed: bool):
     """Step 1: ``limits`` and ``exits`` per chunk.
 
     A chunk entered with last kept time ``s`` is left with ``exits[j]`` for the
-    first ``j`` with ``s <= limits[j]``, and with ``s`` when there is none.
+    first ``j`` with ``s <= limits[j]``, and with ``s`` when there is none. ``s``
+    lies before the chunk, which bounds the limits to be listed; only a run that
+    was ``resumed`` may enter a chunk in its middle.
     """
 
     def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,8 +128,10 @@ def _summaries(short: int, long: int, chunk_length: int):
             taken = np.append(ranked[:1] - 1, np.maximum.accumulate(ranked)[:-1])
             first_of_run = np.zeros(size, dtype=bool)
             first_of_run[starts] = True
-            still_open = taken - run * stride < -1
-            head = np.flatnonzero(first_of_run | ((ranked > taken) & still_open))
+            wanted = ranked > taken
+            if not resumed:
+                wanted &= taken - run * stride < -1
+            head = np.flatnonzero(first_of_run | wanted)
             exits = at[last[head]]
             keep = np.append((exits[1:] != exits[:-1]) | (run[head][1:] != run[head][:-1]), True)
             head, exits = head[keep], exits[keep]
@@ -246,7 +250,7 @@ def throttle(
         .sortWithinPartitions("_key", "_chunk", "_at", *tie_break)
         .select("_key", "_chunk", "_at", "_violent")
         .mapInArrow(
-            _summaries(short, long, chunk_length),
+            _summaries(short, long, chunk_length, kept_before is not None),
             "_key string, _chunk long, limits array<long>, exits array<long>",
         )
     )
