@@ -5,4 +5,11 @@ sub-packages ``sources``, ``functions``, ``operators``, ``plans``,
 ``streaming`` and ``lake``.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions run inside tasks travel with the job, so workers need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -61,11 +61,12 @@ def build_gold(
     append: bool = False,
     every_variant: bool = False,
     full_grain_id: bool = False,
+    work_path: str | None = None,
 ) -> bool:
     """Update the star schema from bronze; whether there was anything to do.
 
-    The rollup is written once to the shared folder and the five tables read
-    their columns from it. Fact and retrieval rows replace the dates that occur,
+    The rollup is written once, to ``work_path`` or a fresh shared folder, and the
+    five tables read their columns from it. Fact and retrieval rows replace the dates that occur,
     so a rerun changes nothing and late rows are taken in; ``append`` adds them
     blindly instead. Dimensions gain the keys they lack.
     """
@@ -73,7 +74,7 @@ def build_gold(
     if rows.isEmpty():
         return False
     keyed = materialize(
-        star.with_keys(rollup_tumbling(rows, width), full_grain_id), "rollup"
+        star.with_keys(rollup_tumbling(rows, width), full_grain_id), "rollup", work_path
     )
     dimensions = (
         (names.time, schemas.DIM_TIME, star.time_rows(keyed), "time_key"),

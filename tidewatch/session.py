@@ -50,12 +50,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
     Cuts the lineage in a way that outlives executors, and later readers still
-    prune columns and push filters into the written files.
+    prune columns and push filters into the written files. A fresh folder is used
+    unless ``path`` names one, which is overwritten: jobs that run again and again
+    should name one, so that nothing piles up.
     """
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    target = path or shared_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)

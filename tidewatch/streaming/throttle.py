@@ -93,7 +93,9 @@ def throttle_batches(
             else spark.createDataFrame([], layout)
         )
         kept = materialize(
-            throttle(batch, key=key, time=time, kept_before=before, **options), "kept"
+            throttle(batch, key=key, time=time, kept_before=before, **options),
+            "kept",
+            f"{state_path}/kept",
         )
         sink(kept, batch_id)
         after = before.unionByName(kept.select(key, time)).groupBy(key).agg(F.max(time).alias(time))
