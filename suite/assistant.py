@@ -81,7 +81,12 @@ def ingest_incremental(spark, sf_dir):
     return _flat(retrieval.ingest_incremental(events, assistant.indexed_ids(indexed)))
 
 
-@query("embed_documents")
+@query(
+    "embed_documents",
+    """SELECT doc_id, 384 AS dims,
+      CASE WHEN regexp_matches(text, '[\p{L}\p{N}]') THEN 1.0::DOUBLE ELSE 0.0 END AS norm
+    FROM documents""",
+)
 def embed_documents(spark, sf_dir):
     """Length and norm of the vector of every whole text."""
     vectors_of = retrieval.embed_documents(table(spark, sf_dir, "documents"))
@@ -269,7 +274,13 @@ def chat_response_rows(spark, sf_dir):
     )
 
 
-@query("update_index")
+@query(
+    "update_index",
+    _EVENTS_SQL
+    + """ SELECT sha256(event_id) AS id, event_id,
+      CASE WHEN timestamp_utc < TIMESTAMP '2024-01-15' THEN 0 ELSE 1 END AS version, 384 AS dims
+    FROM noted""",
+)
 def update_index(spark, sf_dir):
     """Sentences of the violent windows worded, embedded and indexed in two runs."""
     events = noted_events(spark, sf_dir)

@@ -12,6 +12,7 @@ from suite.views import ALERTS_SQL, alerts, rollup_sql, table
 from tidewatch import schemas
 from tidewatch.lake import commits
 from tidewatch.operators import dedupe, ingest
+from tidewatch.plans.gold import GoldTables, build_gold
 from tidewatch.session import materialize, shared_dir
 from tidewatch.sources import tables
 
@@ -281,6 +282,62 @@ def incremental_new_events(spark, sf_dir):
     )
 
 
+@query(
+    "skip_empty",
+    "WITH "
+    + ALERTS_SQL
+    + """ SELECT CAST(CASE WHEN event_time < TIMESTAMP '2024-01-15' THEN 1 ELSE 3 END AS BIGINT)
+      AS commit_id, count(*) AS rows FROM alerts GROUP BY 1""",
+)
+def skip_empty(spark, sf_dir):
+    """Batches 0 and 2 hold nothing and leave no commit."""
+    name = _name("sparse")
+    commits.create(spark, name, schemas.BRONZE, ["event_date"], shared_dir(spark, "sparse"))
+    bounds = ((None, "2023-01-01"), (None, "2024-01-15"), ("2025-01-01", None), ("2024-01-15", None))
+    for number, (since, until) in enumerate(bounds):
+        commits.commit(bronze_rows(alerts(spark, sf_dir, since, until)), name, number)
+    return commits.history(spark, name).select("commit_id", "rows")
+
+
+def _gold(spark, sf_dir):
+    """The star schema after two runs, the second over all dates once more."""
+    names = GoldTables(*(_name(t) for t in ("dt", "dl", "dc", "fact", "rag")), shared_dir(spark, "gold"))
+    bronze = bronze_rows(alerts(spark, sf_dir))
+    build_gold(spark, bronze, names, "1 day", last="2024-01-10")
+    build_gold(spark, bronze, names, "1 day")
+    return names
+
+
+@query(
+    "gold_job_fact",
+    rollup_sql("1 day")
+    + """SELECT k.fact_id, k.date_key, k.alert_count, k.is_violent_window, l.ward, l.latitude,
+      k.risk_level FROM keyed k JOIN locations l ON l.location_key = k.location_key""",
+)
+def gold_job_fact(spark, sf_dir):
+    """Stored fact with its stored dimensions: no row twice, no row lost."""
+    names = _gold(spark, sf_dir)
+    fact, places, cameras = (spark.table(t) for t in (names.fact, names.location, names.camera))
+    return (
+        fact.join(places, "location_key")
+        .join(cameras, "camera_key")
+        .select(
+            "fact_id", "date_key", "alert_count", "is_violent_window", "ward", "latitude", "risk_level"
+        )
+    )
+
+
+@query(
+    "gold_job_retrieval",
+    rollup_sql("1 day")
+    + """SELECT fact_id AS event_id, camera_id, ward, max_risk_score AS score,
+      strftime(window_start, '%Y-%m-%d') AS date FROM keyed WHERE is_violent_window""",
+)
+def gold_job_retrieval(spark, sf_dir):
+    stored = spark.table(_gold(spark, sf_dir).retrieval)
+    return stored.select("event_id", "camera_id", "ward", "score", "date")
+
+
 @query("batch_count", "SELECT count(*) AS rows FROM events")
 def batch_count(spark, sf_dir):
     """Counted while the batch is written, not by a second scan."""

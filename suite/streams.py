@@ -97,14 +97,17 @@ def stream_periodic_maintenance(spark, sf_dir):
     return commits.history(spark, name).select("commit_id", "rows")
 
 
-@query("stream_metrics")
+@query(
+    "stream_metrics",
+    "SELECT 'bronze_records_total' AS series, 'driver' AS instance, "
+    "CAST(count(*) AS DOUBLE) AS value FROM events",
+)
 def stream_metrics(spark, sf_dir):
-    """Record counter, duration and throughput of a bronze run, with the counter's rate."""
+    """The record counter after a bronze run, out of the query's progress reports."""
     _, running = run_bronze(spark, sf_dir)
     samples = metrics.progress_samples(spark, running.recentProgress)
-    return series.counter_rate(samples, ["series", "instance"], "1 minute").select(
-        "series", "instance", "value", "rate"
-    )
+    counter = samples.where(F.col("series") == metrics.RECORDS)
+    return series.gauge_latest(counter, ["series", "instance"]).drop("ts")
 
 
 _THROTTLE_SQL = """WITH RECURSIVE numbered AS (
