@@ -83,7 +83,7 @@ def ingest_incremental(spark, sf_dir):
 
 @query(
     "embed_documents",
-    """SELECT doc_id, 384 AS dims,
+    r"""SELECT doc_id, 384 AS dims,
       CASE WHEN regexp_matches(text, '[\p{L}\p{N}]') THEN 1.0::DOUBLE ELSE 0.0 END AS norm
     FROM documents""",
 )

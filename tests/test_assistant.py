@@ -97,10 +97,10 @@ def test_encoder_is_loaded_once_per_task_and_batched(spark):
         loads = np.random.default_rng().random()
         return lambda texts: np.array([[len(t), len(texts), loads] for t in texts])
 
-    rows = spark.range(10, numPartitions=1).selectExpr("id", "repeat('x', int(id)) AS text")
+    rows = spark.range(10, numPartitions=4).selectExpr("id", "repeat('x', int(id)) AS text")
     got = retrieval.embed_documents(rows, load).orderBy("id").collect()
     assert [r.embedding[0] for r in got] == list(range(10))
-    assert len({r.embedding[2] for r in got}) == 1
+    assert len({r.embedding[2] for r in got}) == 4
 
 
 def brute(questions, docs, k):

@@ -11,6 +11,7 @@ from tidewatch.functions import text as wording
 from tidewatch.operators import retrieval
 from tidewatch.operators.dedupe import known_ids, union_upsert
 from tidewatch.operators.knn import knn_filtered
+from tidewatch.session import materialize
 
 HITS = 6
 
@@ -25,14 +26,18 @@ def update_index(
     events: DataFrame,
     load_encoder: Callable[[], retrieval.Encoder] | None = None,
     version: int = 0,
+    work_path: str | None = None,
 ) -> DataFrame:
     """The index with documents of new events laid over it.
 
-    Only events that are not indexed are worded and embedded.
+    Only events that are not indexed are worded and embedded. Their documents are
+    written once, to ``work_path`` or a fresh shared folder, so that the merge
+    does not encode them again.
     """
     known = None if documents is None else indexed_ids(documents)
     fresh = retrieval.ingest_incremental(events, known)
-    incoming = retrieval.embed_documents(fresh, load_encoder).withColumn("version", F.lit(version))
+    embedded = retrieval.embed_documents(fresh, load_encoder).withColumn("version", F.lit(version))
+    incoming = materialize(embedded, "documents", work_path)
     return union_upsert(documents, incoming)
 
 
