@@ -111,7 +111,7 @@ def prune_unknown_fields(spark, sf_dir):
 @query("sink_alert_json", _MESSAGE_SQL)
 def sink_alert_json(spark, sf_dir):
     path = shared_dir(spark, "messages")
-    alert_io.write_alert_json(messages(spark, sf_dir), "text", path=path)
+    alert_io.write_alert_json(messages(spark, sf_dir), "text", options={"path": path})
     return ingest.parse_alert_json(spark.read.text(path)).drop("ai_timestamp")
 
 

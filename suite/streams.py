@@ -54,9 +54,9 @@ def message_stream(spark, sf_dir):
         spark,
         messages(spark, sf_dir),
         "timestamp",
-        lambda df, p: alert_io.write_alert_json(df, "text", path=p),
+        lambda df, p: alert_io.write_alert_json(df, "text", options={"path": p}),
     )
-    return alert_io.alert_stream(spark, "text", path=path, maxFilesPerTrigger="3")
+    return alert_io.alert_stream(spark, "text", options={"path": path, "maxFilesPerTrigger": "3"})
 
 
 def run_bronze(spark, sf_dir, **options):

@@ -120,7 +120,7 @@ def test_message_round_trip(spark, tmp_path):
     )
     (value,) = [r.value for r in alerts.as_messages(rows).collect()]
     assert value == '{"camera_id":"cam01","score":null,"street":"Đường 1"}'
-    alerts.write_alert_json(rows, "text", path=str(tmp_path / "m"))
+    alerts.write_alert_json(rows, "text", options={"path": str(tmp_path / "m")})
     assert spark.read.text(str(tmp_path / "m")).first().value == value
 
 

@@ -22,7 +22,7 @@ def message(n, **extra):
 
 
 def start(spark, path, table, checkpoint, **options):
-    stream = alert_stream(spark, "text", path=str(path), maxFilesPerTrigger="1")
+    stream = alert_stream(spark, "text", options={"path": str(path), "maxFilesPerTrigger": "1"})
     return bronze.start_bronze(stream, table, str(checkpoint), {"availableNow": True}, **options)
 
 
