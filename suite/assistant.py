@@ -192,7 +192,8 @@ def knn_approx(spark, sf_dir):
     found = vectors(spark, sf_dir)
     asked = found.select(F.col("id").alias("question_id"), "embedding")
     exact = knn.topk_similarity(asked, found)
-    near = knn.knn_approx(asked, knn.assign_cells(found, 64), 64)
+    centers = knn.train_cells(found)
+    near = knn.knn_approx(asked, knn.assign_cells(found, centers), centers)
     both = exact.join(near.select("question_id", "id", F.lit(1).alias("hit")), ["question_id", "id"], "left")
     return both.groupBy("question_id").agg((F.count("hit") / F.count("*")).alias("recall"))
 

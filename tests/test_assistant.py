@@ -173,13 +173,36 @@ def test_approximate_search_finds_most_and_is_exact_when_all_is_probed(spark):
     docs = spark.createDataFrame(rows, "id long, embedding array<float>")
     questions = docs.withColumnRenamed("id", "question_id").where("question_id < 100")
     exact = {(r.question_id, r.id) for r in knn.topk_similarity(questions, docs).collect()}
-    celled = knn.assign_cells(docs, 32)
-    near = {(r.question_id, r.id) for r in knn.knn_approx(questions, celled, 32).collect()}
+    centers = knn.train_cells(docs, 20)
+    celled = knn.assign_cells(docs, centers)
+    assert celled.count() == 800 and celled.select("cell").distinct().count() > 10
+    near = {(r.question_id, r.id) for r in knn.knn_approx(questions, celled, centers, probes=4).collect()}
     assert len(near & exact) / len(exact) > 0.9
-    every = knn.knn_approx(questions, celled, 32, flips=6)
+    every = knn.knn_approx(questions, celled, centers, probes=20)
     assert {(r.question_id, r.id) for r in every.collect()} == exact
 
 
+def test_recall_on_the_test_vectors(spark):
+    """Barely clustered vectors: a quarter of the cells holds most neighbours."""
+    from suite.assistant import knn_approx
+
+    recall = knn_approx(spark, "/root/testdata/sf0.01").agg(F.avg("recall")).first()[0]
+    assert recall > 0.7
+
+
+def test_probed_cells_prune_the_scan(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(200)]
+    docs = spark.createDataFrame(rows, "id long, embedding array<float>")
+    centers = knn.train_cells(docs, 8)
+    knn.assign_cells(docs, centers).write.partitionBy("cell").parquet(str(tmp_path / "cells"))
+    stored = spark.read.parquet(str(tmp_path / "cells"))
+    one = docs.limit(1).withColumnRenamed("id", "question_id")
+    found = knn.knn_approx(one, stored, centers, probes=2)
+    assert found.count() == 6
+    assert "PartitionFilters: [cell" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_index_words_and_embeds_only_new_events(spark):
     rows = [("e1", "cam01", AT, "VIOLENCE", 0.5, None), ("e2", "cam02", AT, "VIOLENCE", 0.5, None)]
     first = assistant.update_index(None, spark.createDataFrame(rows[:1], EVENT))

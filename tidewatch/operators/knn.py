@@ -8,10 +8,11 @@ questions and documents never become rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,6 +128,10 @@ def _lots(questions: DataFrame, columns: list[str], bound: int) -> Iterator[Data
         yield chosen.where(lot == number)
 
 
+def _filled(rows: DataFrame) -> DataFrame:
+    return rows.where("embedding IS NOT NULL AND size(embedding) > 0")
+
+
 def _search_lot(
     lot: list,
     docs: DataFrame,
@@ -143,7 +148,7 @@ def _search_lot(
         "filters": {name: [row[name] for row in lot] for name in filters},
     }
     columns = ["id", F.col("embedding").alias("vector"), *filters]
-    candidates = docs.where("embedding IS NOT NULL AND size(embedding) > 0")
+    candidates = _filled(docs)
     for name, wanted in packed["filters"].items():
         if all(value is not None for value in wanted):
             candidates = candidates.where(F.col(name).isin(*set(wanted)))
@@ -186,7 +191,7 @@ def _knn(
 ) -> DataFrame:
     """One lazy pass for up to ``bound`` questions. More are searched lot by lot, each
     lot's hits being written before the next lot is read."""
-    asked = questions.where("embedding IS NOT NULL AND size(embedding) > 0")
+    asked = _filled(questions)
     columns = [question_id, "embedding", *filters]
 
     def search(lot: list) -> DataFrame:
@@ -237,62 +242,57 @@ def topk_similarity(
     return knn_filtered(questions, docs, k, (), (), question_id)
 
 
-def _planes(size: int, bits: int, seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).standard_normal((size, bits))
+def train_cells(
+    docs: DataFrame, cells: int = 64, sample_rows: int = 100_000, seed: int = 11
+) -> np.ndarray:
+    """Unit-length centres of ``cells`` groups of vectors, one per row.
+
+    The centres are fitted to about ``sample_rows`` documents; the sample only
+    places them, every document gets a cell from :func:`assign_cells`.
+    """
+    vectors = _filled(docs).select(array_to_vector("embedding").alias("features"))
+    share = min(1.0, sample_rows / max(1, vectors.count()))
+    sampled = vectors if share == 1.0 else vectors.sample(share, seed)
+    model = KMeans(k=cells, seed=seed, distanceMeasure="cosine").fit(sampled)
+    return _unit(np.array(model.clusterCenters()))
 
 
-def assign_cells(docs: DataFrame, size: int, bits: int = 6, seed: int = 11) -> DataFrame:
-    """Add ``cell``, the signs of ``bits`` random projections of the vector.
+def assign_cells(docs: DataFrame, centers: np.ndarray) -> DataFrame:
+    """Add ``cell``, the number of the nearest centre.
 
     Store documents partitioned by ``cell`` so that a search reads only the
-    cells it probes.
+    cells it probes. Documents without a vector are left out.
     """
-    planes = _planes(size, bits, seed)
-    weights = 1 << np.arange(bits)
 
     @F.arrow_udf("int")
     def cell(vectors: pa.Array) -> pa.Array:
-        return pa.array(((_matrix(vectors) @ planes > 0) @ weights).astype(np.int32))
+        return pa.array((_matrix(vectors) @ centers.T).argmax(axis=1).astype(np.int32))
 
-    filled = docs.where("embedding IS NOT NULL AND size(embedding) > 0")
-    return filled.withColumn("cell", cell("embedding"))
+    return _filled(docs).withColumn("cell", cell("embedding"))
 
 
 def knn_approx(
     questions: DataFrame,
     docs: DataFrame,
-    size: int,
+    centers: np.ndarray,
     k: int = 6,
-    bits: int = 6,
-    flips: int = 3,
-    seed: int = 11,
+    probes: int = 16,
     filters: Sequence[str] = (),
     payload: Sequence[str] = (),
     question_id: str = "question_id",
     questions_per_pass: int = QUESTIONS_PER_PASS,
 ) -> DataFrame:
-    """Approximate neighbours: only documents in the question's likely cells.
+    """Approximate neighbours: only documents in the ``probes`` cells nearest the question.
 
-    ``docs`` carry the ``cell`` of :func:`assign_cells` with the same ``size``,
-    ``bits`` and ``seed``. A question probes its own cell and those reached by
-    changing up to ``flips`` signs, weakest projections first. Documents in the
-    probed cells are searched completely; recall falls with fewer probes and is
-    measured against :func:`knn_filtered`.
+    ``docs`` carry the ``cell`` of :func:`assign_cells` for the same ``centers``.
+    Probed cells are searched completely, however large; with as many probes as
+    cells the search is exact. Recall is measured against :func:`knn_filtered`.
     """
-    planes = _planes(size, bits, seed)
 
     def probe(vectors: np.ndarray) -> np.ndarray:
-        strength = vectors @ planes
-        own = ((strength > 0) @ (1 << np.arange(bits))).astype(int)
-        weakest = np.argsort(np.abs(strength), axis=1)
-        probed = np.zeros((1 << bits, len(vectors)), dtype=bool)
-        reach = weakest[:, : min(bits, flips + 2)]
-        for count in range(flips + 1):
-            for chosen in combinations(range(reach.shape[1]), count):
-                flipped = own.copy()
-                for position in chosen:
-                    flipped ^= 1 << reach[:, position]
-                probed[flipped, np.arange(len(vectors))] = True
+        nearest = np.argsort(-(vectors @ centers.T), axis=1, kind="stable")[:, :probes]
+        probed = np.zeros((len(centers), len(vectors)), dtype=bool)
+        probed[nearest.T, np.arange(len(vectors))] = True
         return probed
 
     return _knn(questions, docs, k, filters, payload, probe, questions_per_pass, question_id)
