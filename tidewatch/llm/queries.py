@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import mixing, packing
+from tidewatch.llm import linededup, mixing, packing, quality
 from tidewatch.llm.text import word_count
+from tidewatch.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,3 +92,56 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
+@query(
+    "op4_line_dedup",
+    """
+    WITH lines AS (
+      SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+             unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS place
+      FROM documents
+    ),
+    keyed AS (
+      SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM lines
+    ),
+    repeated AS (
+      SELECT key, min(doc_id) AS keeper FROM keyed WHERE length(key) >= 10
+      GROUP BY key HAVING count(DISTINCT doc_id) > 1
+    ),
+    marked AS (
+      SELECT k.*, r.key IS NOT NULL AND r.keeper <> k.doc_id AS gone FROM keyed k LEFT JOIN repeated r ON k.key = r.key
+    )
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+    FROM marked GROUP BY doc_id
+    """,
+)
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op9_quality_rules")
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    measured = materialize(
+        docs.select(
+            "doc_id",
+            "lang",
+            quality.stratum_key(F.col("lang")).alias("stratum"),
+            quality.measure(F.col("text")).alias("counts"),
+        ),
+        "quality-counts",
+    )
+    cutoffs = quality.fit_cutoffs(measured, table(spark, sf_dir, "labels"))
+    judged = quality.judge(measured, cutoffs, counts="counts", stratum=F.col("lang"))
+    return judged.select(
+        "doc_id",
+        *[f"counts.{name}" for name in quality.NAMES[:5]],
+        quality.base_failed(F.col("counts")).alias("base_failed"),
+        "failed_rules",
+        "kept",
+    )
