@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import linededup, mixing, packing, quality
+from tidewatch.llm import linededup, mixing, neardup, packing, quality
 from tidewatch.llm.text import word_count
 from tidewatch.session import materialize
 
@@ -145,3 +145,50 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "failed_rules",
         "kept",
     )
+
+
+@query(
+    "op8_minhash",
+    """
+    WITH RECURSIVE words AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\\x20\\x09-\\x0D]+') AS w
+      FROM documents
+    ),
+    sets AS (
+      SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
+                          ELSE list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) END AS s
+      FROM words
+    ),
+    classes AS (SELECT min(doc_id) AS node, list_sort(s) AS s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY ALL),
+    items AS (SELECT node, n, unnest(s) AS item FROM classes),
+    rare AS (SELECT item, row_number() OVER (ORDER BY count(*), item) AS place FROM items GROUP BY item),
+    placed AS (
+      SELECT node, n, i.item, row_number() OVER (PARTITION BY node ORDER BY place) AS nth FROM items i JOIN rare USING (item)
+    ),
+    prefixes AS (SELECT * FROM placed WHERE nth <= n - ceil(0.8 * n) + 1),
+    candidates AS (
+      SELECT DISTINCT a.node AS a, b.node AS b
+      FROM prefixes a JOIN prefixes b ON a.item = b.item AND a.node < b.node AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    ),
+    links AS (
+      SELECT a, b FROM candidates c JOIN classes x ON x.node = c.a JOIN classes y ON y.node = c.b
+      WHERE 100 * len(list_intersect(x.s, y.s)) >= 80 * (x.n + y.n - len(list_intersect(x.s, y.s)))
+    ),
+    ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reached AS (SELECT node, node AS top FROM classes UNION SELECT w.b, r.top FROM reached r JOIN ways w ON r.node = w.a),
+    tops AS (SELECT node, min(top) AS top FROM reached GROUP BY node)
+    SELECT d.doc_id, len(d.s)::BIGINT AS n_shingles, coalesce(t.top, d.doc_id) AS component_id,
+           d.doc_id = coalesce(t.top, d.doc_id) AS kept
+    FROM sets d LEFT JOIN classes c ON list_sort(d.s) = c.s LEFT JOIN tops t ON t.node = c.node
+    """,
+)
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
+    given = lambda c: F.when(F.col(c) != neardup.NO_ID, F.col(c))
+    return found.select(
+        given("doc").alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        given("component").alias("component_id"),
+        (F.col("doc") == F.col("component")).alias("kept"),
+    )
