@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import linededup, mixing, neardup, packing, quality
+from tidewatch.llm import linededup, mixing, neardup, packing, quality, toxicity, urls
 from tidewatch.llm.text import word_count
 from tidewatch.session import materialize
 
@@ -192,3 +192,33 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         given("component").alias("component_id"),
         (F.col("doc") == F.col("component")).alias("kept"),
     )
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lexicon, curve = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", toxicity.score(F.col("text"), lexicon, curve).alias("s"))
+    return scored.select(
+        "doc_id",
+        (toxicity.bucket(F.col("doc_id")) == 0).alias("held_out"),
+        F.col("s.score").alias("score"),
+        F.when(F.col("s.score") >= 0.5, 1).otherwise(0).alias("predicted"),
+        F.col("s.clauses").alias("clauses"),
+    )
+
+
+#: The rules of op7: (verdict, host and path).
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+@query("op7_url_filter")
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge_pages(table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select(F.col("page").alias("page_id"), "host", "path", "rule", "verdict", "words")
