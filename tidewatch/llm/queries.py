@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import linededup, mixing, neardup, packing, quality, toxicity, urls
+from tidewatch.llm import ann, licenses, linededup, mixing, neardup, packing, quality, secrets, toxicity, urls
 from tidewatch.llm.text import word_count
 from tidewatch.session import materialize
 
@@ -222,3 +222,41 @@ URL_RULES = [
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.judge_pages(table(spark, sf_dir, "pages"), URL_RULES)
     return judged.select(F.col("page").alias("page_id"), "host", "path", "rule", "verdict", "words")
+
+
+@query("op3_licenses")
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", licenses.scan(F.col("text")).alias("found"))
+    names = F.array_sort(F.array_distinct("found.license"))
+    best = F.round(F.array_max("found.dice"), 9)
+    return found.select(
+        "doc_id",
+        F.array_join(names, ",").alias("licenses"),
+        F.size("found").cast("long").alias("n_notices"),
+        best.alias("best_dice"),
+    )
+
+
+@query("op5_secrets")
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < len(secrets.BASE))
+    counts = [
+        F.size(F.filter("spans", lambda s, n=n: s["kind"] == n)).cast("long").alias(f"n_{name}")
+        for n, name in enumerate(secrets.BASE)
+    ]
+    return found.select(
+        F.col("doc").alias("doc_id"),
+        *counts,
+        F.sha2(secrets.written(base), 256).alias("base_sha256"),
+        secrets.written(F.col("spans")).alias("spans"),
+    )
+
+
+@query("op6_ann")
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ann.usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    index = ann.build_index(rows, most=6)
+    found = ann.search(index, rows.where(F.col("id") % 50 == 0), k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
