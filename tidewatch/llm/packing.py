@@ -7,6 +7,7 @@ by its rank among the pieces of its length.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -22,31 +23,66 @@ from tidewatch.session import materialize
 RANK_PARTS = 1024
 
 #: Words whose ids a worker remembers before it starts afresh.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 800_000
 
 PLAN = "length int, first long, last long, sequence long, each long, offset long"
 
 
+def _byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: itself if it prints, else one above 255."""
+    printing = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printing]
+    return [chr(b if b in printing else 256 + others.index(b)) for b in range(256)]
+
+
 class WordIds:
     """Ids of a text as little-endian 32-bit numbers, word by word.
 
-    For tokenizers that drop white space and never join what it separates; then a text
-    has the ids of its words, and a word's ids need to be found once.
+    For tokenizers that drop white space, split words into runs of letters and of other
+    signs, and write bytes as letters; then a text has the ids of its words, and those of a
+    word are found once. Signs at the end of a word are split off first: there are far
+    fewer words without them. Runs of letters go to the vocabulary's model; everything else
+    is left to the tokenizer itself.
     """
 
+    TAIL = ".,!?;:*&%$#"
+
     def __init__(self, path: str):
-        self._encode = Tokenizer.from_file(path).encode
+        tokenizer = Tokenizer.from_file(path)
+        self._encode = tokenizer.encode
+        self._normal = tokenizer.normalizer.normalize_str
+        self._model = tokenizer.model.tokenize
+        self._letters = _byte_letters()
         self._known: dict[str, bytes] = {}
 
-    def _learn(self, word: str) -> bytes:
-        if len(self._known) >= KNOWN_WORDS:
-            self._known.clear()
-        ids = self._encode(word, add_special_tokens=False).ids
-        packed = b"".join(i.to_bytes(4, "little") for i in ids)
-        if len(word) <= 64:
-            self._known[word] = packed
+    def _keep(self, key: str, packed: bytes) -> bytes:
+        if len(key) <= 64:
+            if len(self._known) >= KNOWN_WORDS:
+                self._known.clear()
+            self._known[key] = packed
         return packed
 
+    def _whole(self, part: str) -> bytes:
+        ids = self._encode(part, add_special_tokens=False).ids
+        return self._keep(part, struct.pack(f"<{len(ids)}I", *ids))
+
+    def _learn(self, word: str) -> bytes:
+        """Ids of a word that is not known; it and its parts are, from now on."""
+        head = word.rstrip(self.TAIL)
+        plain = head.isascii()
+        run = head.lower() if plain else self._normal(head)
+        if not run.isalpha():  # other signs inside, or nothing else
+            return self._whole(word)
+        packed = self._known.get(run)
+        if packed is None:
+            letters = run if plain else "".join([self._letters[b] for b in run.encode()])
+            ids = [t.id for t in self._model(letters)]
+            packed = self._keep(run, struct.pack(f"<{len(ids)}I", *ids))
+        if len(head) < len(word):
+            tail = word[len(head) :]
+            packed += self._known.get(tail) or self._whole(tail)
+        return packed if word == run else self._keep(word, packed)
+
     def __call__(self, text: str) -> bytes:
         known, learn = self._known, self._learn
         return b"".join(
