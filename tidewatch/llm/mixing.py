@@ -103,13 +103,15 @@ def mix(
     weights,
     seed: str = "mix",
     max_copies: int = 3,
+    also: tuple[str, ...] = (),
 ) -> tuple[DataFrame, dict[Source, int], dict[Source, float]]:
     """Choose how often each document is taken.
 
     ``sized`` has doc_id, sources (array of names, null is a name too) and size;
     ``weights`` maps the sources in order to integers. Returns the rows with ``copies``
     (0 to ``max_copies``), ``taken`` (words, repeats counted) and ``given_to`` (the source
-    each copy counts for), the size of each source and its target. The same rows and seed
+    each copy counts for), the size of each source and its target; columns named in ``also``
+    are kept, others not read. The same rows and seed
     give the same choice. Documents of a pattern without words are taken once; a null or
     empty ``sources`` belongs to no source and is not taken. Only one row per pattern
     reaches the driver.
@@ -123,7 +125,7 @@ def mix(
     hashed = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")))
     rows = materialize(
         sized.select(
-            "doc_id", F.col("size").cast("long").alias("size"), members.alias("members"), hashed.alias("hash")
+            "doc_id", *also, F.col("size").cast("long").alias("size"), members.alias("members"), hashed.alias("hash")
         ).withColumns({"pattern": F.to_json("members"), "part": F.substring("hash", 1, PART_DIGITS)}),
         "mix-sizes",
     )
@@ -191,6 +193,6 @@ def mix(
                 ),
             ).otherwise(F.array().cast("array<string>")),
         )
-        .select("doc_id", "members", "size", "copies", "taken", "given_to")
+        .select("doc_id", *also, "members", "size", "copies", "taken", "given_to")
     )
     return chosen, sizes, targets

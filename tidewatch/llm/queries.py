@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import ann, licenses, linededup, mixing, neardup, packing, quality, secrets, toxicity, urls
@@ -242,10 +242,11 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] < len(secrets.BASE))
-    counts = [
-        F.size(F.filter("spans", lambda s, n=n: s["kind"] == n)).cast("long").alias(f"n_{name}")
-        for n, name in enumerate(secrets.BASE)
-    ]
+
+    def count(number: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == number)).cast("long")
+
+    counts = [count(number).alias(f"n_{name}") for number, name in enumerate(secrets.BASE)]
     return found.select(
         F.col("doc").alias("doc_id"),
         *counts,
