@@ -117,7 +117,7 @@ def alerts(
     """Readings with the camera's attributes: the bronze rows."""
     place = cameras(spark, sf_dir).drop("camera_id")
     # Three joined tables look larger to the planner than they are; a camera is a
-    # customer, so the customers' number decides.
+    # customer, so the size of that file decides.
     if fits_broadcast(table(spark, sf_dir, "customer")):
         place = F.broadcast(place)
     return readings(spark, sf_dir, since, until).join(place, "user_id").drop("user_id")
@@ -266,11 +266,17 @@ def rollup_sql(width: str = "5 minutes") -> str:
     row_number() OVER (
       PARTITION BY time_bucket(INTERVAL '{width}', event_time), camera_id, city, district,
         ward, street, rtsp_url, risk_level
-      ORDER BY score DESC NULLS LAST, evidence_url DESC NULLS LAST) AS place
+      ORDER BY score DESC NULLS LAST, evidence_url DESC NULLS LAST) AS place,
+    row_number() OVER (
+      PARTITION BY time_bucket(INTERVAL '{width}', event_time), camera_id, city, district,
+        ward, street, rtsp_url, risk_level
+      ORDER BY latitude IS NULL OR longitude IS NULL, latitude NULLS FIRST,
+        longitude NULLS FIRST) AS first_place
   FROM alerts
 ), rollup AS (
   SELECT window_start, camera_id, city, district, ward, street, rtsp_url, risk_level,
-    min(latitude) AS latitude, min(longitude) AS longitude,
+    max(CASE WHEN first_place = 1 THEN latitude END) AS latitude,
+    max(CASE WHEN first_place = 1 THEN longitude END) AS longitude,
     avg(latency_ms) AS avg_latency_ms, avg(fps) AS avg_fps,
     CAST(sum(CASE WHEN is_violent THEN 1 ELSE 0 END) AS BIGINT) AS alert_count,
     sum(CASE WHEN is_violent THEN 1 ELSE 0 END) > 0 AS is_violent_window,

@@ -157,6 +157,55 @@ def test_other_dates_stay(spark, tmp_path, name):
     assert dates == [20250101, 20250102]
 
 
+@pytest.mark.parametrize("width", ["7 minutes", "2 days", "1 hour"])
+def test_a_rerun_of_a_date_changes_nothing(spark, tmp_path, name, width):
+    """Also where windows reach over midnight."""
+    names = tables(spark, tmp_path, name)
+    start = dt.datetime(2025, 1, 8)
+    times = [start + dt.timedelta(minutes=13 * n) for n in range(450)]
+    rows = bronze(spark, *({"event_time": t, "is_violent": n % 3 == 0} for n, t in enumerate(times)))
+    build_gold(spark, rows, names, width)
+    want = [sorted(map(tuple, spark.table(t).collect()), key=repr) for t in (names.fact, names.retrieval)]
+    for day in ("2025-01-09", "2025-01-10"):
+        build_gold(spark, rows, names, width, first=day, last=day)
+    build_gold(spark, rows, names, width, first="2025-01-11")
+    build_gold(spark, rows, names, width, last="2025-01-09")
+    assert [sorted(map(tuple, spark.table(t).collect()), key=repr) for t in (names.fact, names.retrieval)] == want
+
+
+def test_withdrawn_alerts_go(spark, tmp_path, name):
+    names = tables(spark, tmp_path, name)
+    days = [dt.datetime(2025, 1, d, 10) for d in (1, 2, 3)]
+    rows = bronze(spark, *({"event_time": day, "is_violent": True} for day in days))
+    build_gold(spark, rows, names)
+
+    def dates():
+        return [
+            sorted(str(r[0]) for r in spark.table(t).select(part).collect())
+            for t, part in ((names.fact, "date_key"), (names.retrieval, "date"))
+        ]
+
+    flags = rows.withColumn("is_violent", F.col("event_time") != days[1])
+    build_gold(spark, flags, names, first="2025-01-02", last="2025-01-02")
+    assert dates() == [["20250101", "20250102", "20250103"], ["2025-01-01", "2025-01-03"]]
+    gone = rows.where(F.col("event_time") == days[2]).select("camera_id", "event_time")
+    assert build_gold(spark, rows, names, first="2025-01-03", last="2025-01-03", retractions=gone)
+    assert dates() == [["20250101", "20250102"], ["2025-01-01"]]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_a_place_is_one_that_a_row_has(spark):
+    rows = bronze(
+        spark,
+        {"event_time": at("10:00:00"), "latitude": 5.0, "longitude": 2.0},
+        {"event_time": at("10:01:00"), "latitude": 1.0, "longitude": 9.0},
+        {"event_time": at("10:02:00"), "latitude": None, "longitude": 0.0},
+        {"event_time": at("11:00:00"), "latitude": None, "longitude": 3.0},
+    )
+    got = rollup_tumbling(rows).orderBy("window_start").collect()
+    assert [(r.latitude, r.longitude) for r in got] == [(1.0, 9.0), (None, 3.0)]
+
+
 def test_empty_bronze_writes_nothing(spark, tmp_path, name):
     names = tables(spark, tmp_path, name)
     assert not build_gold(spark, bronze(spark, {"event_time": at("10:00:00")}).limit(0), names)

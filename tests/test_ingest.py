@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch import schemas
-from tidewatch.operators import ingest
+from tidewatch.operators import ingest, joins
 
 GOOD = '{"camera_id": "cam01", "score": 0.5, "is_violent": true, "timestamp": "2025-01-01T10:00:00.000001"}'
 
@@ -86,7 +86,7 @@ def test_score_falls_back(spark):
     assert score() == 0.0
 
 
-def test_enrichment_prefers_the_event_and_knows_only_registered(spark):
+def test_enrichment_prefers_the_event_and_knows_only_registered(spark, monkeypatch):
     events = spark.createDataFrame(
         [("a", "event street", 1), ("b", None, 2), ("z", "x", 3)],
         "camera_id string, street string, n int",
@@ -96,8 +96,9 @@ def test_enrichment_prefers_the_event_and_knows_only_registered(spark):
         "camera_id string, street string, ward string",
     )
     want = {("a", "event street", 1, "w1"), ("b", None, 2, "w2")}
-    for bound in (None, 1):  # broadcast, and salted when the registry is over the bound
-        out = ingest.enrich_with_registry(events, registry, bound)
+    for bound in (joins.BROADCAST_BYTES, 0):  # broadcast, and left to the planner over the bound
+        monkeypatch.setattr(joins.reference_join, "__defaults__", ("inner", bound))
+        out = ingest.enrich_with_registry(events, registry)
         got = out.select("camera_id", "street", "n", "ward").collect()
         assert {tuple(r) for r in got} == want
 

@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidewatch.operators.throttle import throttle
 
@@ -80,3 +81,13 @@ def test_columns_pass_through(spark):
 def test_intervals_must_be_positive(spark):
     with pytest.raises(ValueError):
         throttle(frame(spark, [("a", 0, False)]), alert_seconds=0)
+
+
+def test_clocks_far_apart(spark):
+    """One wrong clock among many cameras drops nothing."""
+    rows = [(f"c{n}", dt.datetime(2025, 1, 1, 10, 0, n % 60), False, n) for n in range(20_000)]
+    rows += [("c1", dt.datetime(1, 1, 1), False, -1), ("c2", dt.datetime(1970, 1, 1), True, -2), ("c3", dt.datetime(2099, 1, 1), False, -3)]
+    frame = spark.createDataFrame(rows, "camera_id string, event_time timestamp_ntz, is_violent boolean, n long")
+    frame = frame.withColumn("event_time", F.col("event_time").cast("timestamp"))
+    kept = {r.n for r in throttle(frame, chunk_seconds=1e6).select("n").collect()}
+    assert kept == {n for *_, n in rows}

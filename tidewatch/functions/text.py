@@ -98,3 +98,8 @@ def first_match(text: Column, pattern: str) -> Column:
 def bulleted(texts: Column) -> Column:
     """An array of texts as one text, a bullet before each."""
     return F.array_join(F.transform(texts, lambda t: F.concat(F.lit("- "), t)), "\n\n")
+
+
+def stripped(text: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.joins import BROADCAST_ROWS, without
+from tidewatch.operators.joins import without
+
 
 def latest_per_key(
     rows: DataFrame, key: str | Sequence[str], newest_first: Sequence[Column]
@@ -32,31 +33,28 @@ def union_upsert(
     incoming: DataFrame,
     key: str = "id",
     version: str = "version",
-    max_broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Stored rows with ``incoming`` laid over them by key.
 
     Incoming rows replace stored ones; of several incoming rows of a key the
     highest version counts. Stored rows, one per key, are only filtered, and not
-    shuffled while the incoming keys can be broadcast.
+    shuffled while the incoming keys turn out small enough to be broadcast.
     """
     fresh = latest_per_key(incoming, key, [F.col(version).desc()])
     if stored is None:
         return fresh
-    kept = without(stored, incoming, [key], max_broadcast_rows)
+    kept = without(stored, incoming, [key])
     return kept.unionByName(fresh, allowMissingColumns=True)
 
 
-def id_difference(
-    candidates: DataFrame, known: DataFrame, key: str, max_broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def id_difference(candidates: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Candidates whose key, read as text, is not known; repeated candidates stay.
 
     A NULL key is never known, so it stays too.
     """
     named = candidates.withColumn("_id", F.col(key).cast("string"))
     seen = known.select(F.col(key).cast("string").alias("_id"))
-    return without(named, seen, ["_id"], max_broadcast_rows).select(*candidates.columns)
+    return without(named, seen, ["_id"]).select(*candidates.columns)
 
 
 def known_ids(documents: DataFrame, key: str = "event_id") -> DataFrame:

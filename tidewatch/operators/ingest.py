@@ -79,17 +79,14 @@ def default_fields(status: DataFrame) -> DataFrame:
     ).drop("fight_prob")
 
 
-def enrich_with_registry(
-    events: DataFrame, registry: DataFrame, max_broadcast_rows: int | None = None
-) -> DataFrame:
+def enrich_with_registry(events: DataFrame, registry: DataFrame) -> DataFrame:
     """Events of registered cameras with the camera's attributes.
 
     A column present on both sides keeps the event's value.
     """
     clash = set(events.columns) - {"camera_id"}
     attributes = registry.drop(*clash)
-    bound = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
-    return reference_join(events, attributes, "camera_id", **bound)
+    return reference_join(events, attributes, "camera_id")
 
 
 def as_alert_message(status: DataFrame, sent_at: str = "sent_at") -> DataFrame:

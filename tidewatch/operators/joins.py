@@ -1,7 +1,7 @@
 """Joins against tables of unknown size.
 
-A derived table has no size estimate, so Spark would shuffle both sides of its
-join. The functions here look at up to a bound of its rows first.
+Nothing here runs a job to learn a size: the planner's estimate decides before the query,
+adaptive execution corrects it while it runs and splits hot keys.
 """
 
 from __future__ import annotations
@@ -11,50 +11,37 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A reference row is a few hundred bytes, so this stays in the tens of megabytes.
-BROADCAST_ROWS = 100_000
+#: A side is broadcast up to this estimated size.
+BROADCAST_BYTES = 16 << 20
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; looks at one row more at most."""
-    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the planner expects ``df`` to have at most ``max_bytes`` bytes.
+
+    Files count as large as they are; for derived tables the estimate is far above the
+    truth rather than below it.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    return int(str(plan.stats().sizeInBytes())) <= max_bytes
 
 
 def reference_join(
-    rows: DataFrame,
-    reference: DataFrame,
-    key: str,
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-    salts: int = 32,
+    rows: DataFrame, reference: DataFrame, key: str, how: str = "inner", max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Join many ``rows`` to a ``reference`` table on ``key``.
 
-    A reference within ``max_rows`` is broadcast, so ``rows`` are not shuffled at
-    all. A larger one is replicated ``salts`` times and joined on (key, salt): a
-    key that holds a third of the rows is then spread over ``salts`` tasks. The
-    salt is a hash of the row, so a task that is run again forms it again; in
-    batch jobs adaptive execution also splits what full copies leave in one
-    partition. The result is the same either way.
+    A reference that is known to be small is broadcast, so ``rows`` are not shuffled at
+    all. Others are left to adaptive execution, which broadcasts what turns out to be small
+    and splits a key that holds a third of the rows; only that key's reference row is
+    copied then.
     """
     if how not in ("inner", "left"):
         raise ValueError("reference_join keeps rows of the left side: inner or left")
-    if fits_broadcast(reference, max_rows):
-        return rows.join(F.broadcast(reference), key, how)
-    spread = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
-    copies = reference.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(copies, [key, "_salt"], how).drop("_salt")
+    if fits_broadcast(reference, max_bytes):
+        reference = F.broadcast(reference)
+    return rows.join(reference, key, how)
 
 
-def without(
-    rows: DataFrame, known: DataFrame, on: Sequence[str], max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Rows whose key is not among ``known`` keys; rows with a NULL key stay.
-
-    Few known keys are broadcast and ``rows`` stay where they are. Many are
-    joined by a shuffle, whose hot keys adaptive execution splits.
-    """
-    keys = known.select(*on).distinct()
-    if fits_broadcast(keys, max_rows):
-        keys = F.broadcast(keys)
-    return rows.join(keys, list(on), "left_anti")
+def without(rows: DataFrame, known: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows whose key is not among ``known`` keys; rows with a NULL key stay."""
+    return rows.join(known.select(*on), list(on), "left_anti")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.session import shared_dir
+from tidewatch.session import materialize, shared_dir
 
 # Questions held by every task at once: 4096 vectors of 384 doubles are 12 MB.
 QUESTIONS_PER_PASS = 4096
@@ -31,8 +31,14 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return np.divide(vectors, norms, out=np.zeros_like(vectors), where=norms > 0)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
+def _matrix(column: pa.Array, size: int | None = None, ids: pa.Array | None = None) -> np.ndarray:
+    """Unit vectors, one per row; all must have ``size`` values."""
     lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
+    wrong = np.flatnonzero(lengths != (lengths[0] if size is None and len(lengths) else size))
+    if len(wrong):
+        named = "" if ids is None else f" of id {ids[int(wrong[0])].as_py()!r}"
+        raise ValueError(f"vector{named} has {lengths[wrong[0]]} values, not {size or lengths[0]}")
     flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return _unit(flat.reshape(len(lists), -1))
 
@@ -80,7 +86,7 @@ def _search(questions: dict, k: int, filters: Sequence[str], by_cell: bool) -> C
             id_type = whole.column("id").type
             for begin in range(0, whole.num_rows, _DOCS_PER_STEP):
                 batch = whole.slice(begin, _DOCS_PER_STEP)
-                similarity = _matrix(batch.column("vector")) @ targets.T
+                similarity = _matrix(batch.column("vector"), targets.shape[1], batch.column("id")) @ targets.T
                 # Adding zero turns a rounded -0.0 into 0.0.
                 distance = np.round(1.0 - similarity, _DECIMALS) + 0.0
                 mask = allowed(batch)
@@ -142,13 +148,16 @@ def _search_lot(
     question: T.StructField,
 ) -> DataFrame:
     """Hits of a lot of questions: one pass over the documents, then one over the hits'."""
+    sizes = {len(row["embedding"]) for row in lot}
+    if len(sizes) > 1:
+        raise ValueError(f"questions have vectors of different lengths: {sorted(sizes)}")
     vectors = _unit(np.array([row["embedding"] for row in lot], dtype=np.float64))
     packed = {
         "vectors": vectors,
         "filters": {name: [row[name] for row in lot] for name in filters},
     }
     columns = ["id", F.col("embedding").alias("vector"), *filters]
-    candidates = _filled(docs)
+    candidates = _filled(docs).where(F.col("id").isNotNull())
     for name, wanted in packed["filters"].items():
         if all(value is not None for value in wanted):
             candidates = candidates.where(F.col(name).isin(*set(wanted)))
@@ -207,6 +216,7 @@ def _knn(
     layout.add("distance", T.DoubleType())
     if not head:
         return questions.sparkSession.createDataFrame([], layout)
+    asked = materialize(asked.select(*columns), "questions")  # encoded once, however many lots
     for lot in _lots(asked, columns, bound):
         rows = lot.collect()
         if rows:
@@ -227,7 +237,8 @@ def knn_filtered(
 
     ``questions`` have (question_id, embedding, filters), ``docs`` (id, embedding,
     filters, payload). A document has to equal every filter its question sets;
-    NULL sets none. Up to ``questions_per_pass`` questions are handed to all tasks
+    NULL sets none. Vectors of another length than the question's are an error that names
+    the document; documents without an id are left out. Up to ``questions_per_pass`` questions are handed to all tasks
     and take one pass over the documents; more take several, one lot in memory at
     a time. Where every question of a lot sets a filter, its values are pushed
     into the document scan.
@@ -242,18 +253,10 @@ def topk_similarity(
     return knn_filtered(questions, docs, k, (), (), question_id)
 
 
-def train_cells(
-    docs: DataFrame, cells: int = 64, sample_rows: int = 100_000, seed: int = 11
-) -> np.ndarray:
-    """Unit-length centres of ``cells`` groups of vectors, one per row.
-
-    The centres are fitted to about ``sample_rows`` documents; the sample only
-    places them, every document gets a cell from :func:`assign_cells`.
-    """
+def train_cells(docs: DataFrame, cells: int = 64, seed: int = 11) -> np.ndarray:
+    """Unit-length centres of ``cells`` groups of vectors, one per row, fitted to all documents."""
     vectors = _filled(docs).select(array_to_vector("embedding").alias("features"))
-    share = min(1.0, sample_rows / max(1, vectors.count()))
-    sampled = vectors if share == 1.0 else vectors.sample(share, seed)
-    model = KMeans(k=cells, seed=seed, distanceMeasure="cosine").fit(sampled)
+    model = KMeans(k=cells, seed=seed, distanceMeasure="cosine").fit(vectors)
     return _unit(np.array(model.clusterCenters()))
 
 

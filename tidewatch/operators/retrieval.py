@@ -88,18 +88,6 @@ def ingest_incremental(events: DataFrame, indexed: DataFrame | None) -> DataFram
     return build_event_docs(fresh)
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """Rows over all cores when their input has fewer splits than that.
-
-    Encoding a text costs far more than moving it. Large inputs have more splits
-    than cores and stay where they are.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.isStreaming or rows.rdd.getNumPartitions() >= cores:
-        return rows
-    return rows.repartition(cores)
-
-
 def embed_hashed(
     rows: DataFrame, text: str = "text", out: str = "embedding", size: int = VECTOR_SIZE
 ) -> DataFrame:
@@ -125,7 +113,6 @@ def embed_documents(
     ``load_encoder`` builds the model; it is called once per task and the model
     then sees Arrow batches of texts. Without it terms are hashed.
     """
-    rows = _spread(rows)
     if load_encoder is None:
         return embed_hashed(rows, text, out)
 

@@ -25,11 +25,19 @@ def riskiest() -> Column:
     return F.max(F.struct("score", "evidence_url"))
 
 
+def least_place() -> Column:
+    """The least (latitude, longitude) of the group, both from one row."""
+    place = F.struct("latitude", "longitude")
+    whole = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    return F.coalesce(F.min(F.when(whole, place)), F.min(place))
+
+
 def rollup_tumbling(alerts: DataFrame, width: str = "5 minutes") -> DataFrame:
     """One row per window and grain; rows without event time are dropped.
 
-    Coordinates are constant within a group in practice; ``min`` makes the
-    result repeatable where they are not.
+    Coordinates are constant within a group in practice; the least pair makes the
+    result repeatable where they are not, and is a place some row has. Pairs with a
+    NULL count only where there are no others.
     """
     span = F.window("event_time", width)
     if alerts.isStreaming:
@@ -41,8 +49,7 @@ def rollup_tumbling(alerts: DataFrame, width: str = "5 minutes") -> DataFrame:
         placed, start = alerts.withColumn("_window", span["start"]), F.col("_window")
         grain = [F.xxhash64("_window", *GRAIN).alias("_order")]
     totals = placed.groupBy(*grain, "_window", *GRAIN).agg(
-        F.min("latitude").alias("latitude"),
-        F.min("longitude").alias("longitude"),
+        least_place().alias("_place"),
         F.avg("latency_ms").alias("avg_latency_ms"),
         F.avg("fps").alias("avg_fps"),
         violent_count().alias("alert_count"),
@@ -52,8 +59,8 @@ def rollup_tumbling(alerts: DataFrame, width: str = "5 minutes") -> DataFrame:
         start.alias("window_start"),
         (start + F.expr(f"INTERVAL {width}")).alias("window_end"),
         *GRAIN,
-        "latitude",
-        "longitude",
+        "_place.latitude",
+        "_place.longitude",
         "avg_latency_ms",
         "avg_fps",
         "alert_count",

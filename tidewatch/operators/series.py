@@ -91,14 +91,18 @@ def counter_increase(
     placed = samples.withColumn("_block", _block(F.unix_micros(ts), length))
     ends = placed.groupBy(*series, "_block").agg(F.max(F.struct(ts, value)).alias("_end"))
     carried = ends.select(
-        *series,
-        "_block",
+        *[F.col(name).alias(f"_of_{name}") for name in series],
+        F.col("_block").alias("_of_block"),
         F.lag(F.col("_end")[value])
         .over(Window.partitionBy(*series).orderBy("_block"))
         .alias("_carried"),
     )
     inside = Window.partitionBy(*series, "_block").orderBy(ts, value)
-    joined = placed.join(carried, [*series, "_block"], "left")
+    # A label that is NULL is a label like others.
+    same = F.col("_block") == F.col("_of_block")
+    for name in series:
+        same &= F.col(name).eqNullSafe(F.col(f"_of_{name}"))
+    joined = placed.join(carried, same, "left")
     previous = F.coalesce(F.lag(value).over(inside), F.col("_carried"))
     return joined.withColumn("_previous", previous).select(
         *samples.columns,

@@ -52,14 +52,14 @@ def _one_per_key(rows: DataFrame, key: str) -> DataFrame:
 
 def location_rows(keyed: DataFrame, every_variant: bool = False) -> DataFrame:
     """Places. ``every_variant`` keeps each distinct row, several per key if they differ."""
-    rows = keyed.select(*schemas.columns(schemas.DIM_LOCATION)).distinct()
-    return rows if every_variant else _one_per_key(rows, "location_key")
+    rows = keyed.select(*schemas.columns(schemas.DIM_LOCATION))
+    return rows.distinct() if every_variant else _one_per_key(rows, "location_key")
 
 
 def camera_rows(keyed: DataFrame, every_variant: bool = False) -> DataFrame:
     """Cameras, with the same choice as :func:`location_rows`."""
-    rows = keyed.select(*schemas.columns(schemas.DIM_CAMERA)).distinct()
-    return rows if every_variant else _one_per_key(rows, "camera_key")
+    rows = keyed.select(*schemas.columns(schemas.DIM_CAMERA))
+    return rows.distinct() if every_variant else _one_per_key(rows, "camera_key")
 
 
 def new_rows(candidates: DataFrame, stored: DataFrame | None, key: str) -> DataFrame:

@@ -38,16 +38,20 @@ def next_kept(
     """For each row the row kept after it, or ``len(at)`` when there is none.
 
     Rows are sorted by (run, time). The row after ``i`` is the first of its run
-    that is violent and ``short`` later, or ``long`` later.
+    that is violent and ``short`` later, or ``long`` later. Times are replaced by
+    their ranks, so that run and time fit one number whatever range the clocks span.
     """
     size = len(at)
-    lowest = at.min() if size else 0
-    stride = (at.max() - lowest if size else 0) + max(short, long) + 1
-    place = run * stride + (at - lowest)
+    times = np.unique(at)
+    place = run * (len(times) + 1) + np.searchsorted(times, at)
+
+    def earliest(gap: int) -> np.ndarray:
+        return run * (len(times) + 1) + np.searchsorted(times, at + gap)
+
     bounds = np.append(run, -1)
-    any_row = np.searchsorted(place, place + long)
+    any_row = np.searchsorted(place, earliest(long))
     violent_rows = np.append(np.flatnonzero(violent), size)
-    violent_row = violent_rows[np.searchsorted(place[violent], place + short)]
+    violent_row = violent_rows[np.searchsorted(place[violent], earliest(short))]
     any_row[bounds[any_row] != run] = size
     violent_row[bounds[violent_row] != run] = size
     return np.minimum(any_row, violent_row)

@@ -44,7 +44,7 @@ def update_index(
 def _respond(
     questions: DataFrame, documents: DataFrame, k: int, filters: Sequence[str]
 ) -> DataFrame:
-    asked = questions.withColumn("question", F.trim(F.coalesce("question", F.lit(""))))
+    asked = questions.withColumn("question", wording.stripped(F.coalesce("question", F.lit(""))))
     blank = F.col("question") == ""
     told = retrieval.extract_filters(asked.where(~blank))
     searchable = documents.select(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import schemas
 from tidewatch.operators import star
+from tidewatch.operators.ingest import soft_delete
 from tidewatch.operators.rollup import rollup_tumbling
 from tidewatch.session import materialize
 from tidewatch.sources import tables
@@ -29,12 +30,16 @@ class GoldTables:
         return f"{self.path}/{name}" if self.path else None
 
 
-def bronze_of_dates(bronze: DataFrame, first: str | None, last: str | None) -> DataFrame:
-    """Rows whose event time lies in the UTC dates ``first`` to ``last``.
+def bronze_of_dates(
+    bronze: DataFrame, first: str | None, last: str | None, width: str = "0 minutes"
+) -> DataFrame:
+    """Rows of the windows of ``width`` that start in the UTC dates ``first`` to ``last``.
 
+    The last window may reach into the day after ``last`` and beyond.
     ``event_date`` is the date written in the message and may be a day off the
     UTC date, so partitions are pruned with a day to spare on both sides.
     """
+    reach = F.expr(f"INTERVAL {width}")
     kept = bronze
     if first is not None:
         day = F.lit(first).cast("date")
@@ -43,14 +48,24 @@ def bronze_of_dates(bronze: DataFrame, first: str | None, last: str | None) -> D
             & (F.col("event_time") >= day.cast("timestamp"))
         )
     if last is not None:
-        day = F.lit(last).cast("date")
+        end = F.date_add(F.lit(last).cast("date"), 1).cast("timestamp") + reach
         kept = kept.where(
-            (F.col("event_date") <= F.date_add(day, 1))
-            & (F.col("event_time") < F.date_add(day, 1).cast("timestamp"))
+            (F.col("event_date") <= F.date_add(end.cast("date"), 1)) & (F.col("event_time") < end)
         )
     return kept
 
 
+def windows_of_dates(rollup: DataFrame, first: str | None, last: str | None) -> DataFrame:
+    """Windows that start in the UTC dates ``first`` to ``last``."""
+    kept = rollup
+    if first is not None:
+        kept = kept.where(F.col("window_start") >= F.lit(first).cast("date").cast("timestamp"))
+    if last is not None:
+        end = F.date_add(F.lit(last).cast("date"), 1).cast("timestamp")
+        kept = kept.where(F.col("window_start") < end)
+    return kept
+
+
 def build_gold(
     spark: SparkSession,
     bronze: DataFrame,
@@ -62,20 +77,33 @@ def build_gold(
     every_variant: bool = False,
     full_grain_id: bool = False,
     work_path: str | None = None,
+    retractions: DataFrame | None = None,
 ) -> bool:
     """Update the star schema from bronze; whether there was anything to do.
 
-    The rollup is written once, to ``work_path`` or a fresh shared folder, and the
-    five tables read their columns from it. Fact and retrieval rows replace the dates that occur,
-    so a rerun changes nothing and late rows are taken in; ``append`` adds them
-    blindly instead. Dimensions gain the keys they lack.
+    Windows that start in the dates ``first`` to ``last`` are computed, without the
+    alerts that ``retractions`` (camera_id, event_time) withdraw. The rollup is written
+    once, to ``work_path`` or a fresh shared folder, and the five tables read their
+    columns from it. Fact and retrieval rows replace all dates of that range, also those
+    that have no rows any more, so a rerun changes nothing, late rows are taken in and
+    withdrawn ones go; without a bound the range is open. ``append`` adds rows blindly
+    instead. Dimensions gain the keys they lack.
     """
-    rows = bronze_of_dates(bronze, first, last)
-    if rows.isEmpty():
+    rows = bronze_of_dates(bronze, first, last, width)
+    if retractions is not None:
+        rows = soft_delete(rows, retractions)
+    windows = windows_of_dates(rollup_tumbling(rows, width), first, last)
+    keyed = materialize(star.with_keys(windows, full_grain_id), "rollup", work_path)
+    bounds = [text.replace("-", "") if text else None for text in (first, last)]
+    targets = [
+        (name, part, layout, tables.partition_values(spark, name, part))
+        for name, part, layout in (
+            (names.fact, "date_key", schemas.FACT),
+            (names.retrieval, "date", schemas.RETRIEVAL_EVENT),
+        )
+    ]
+    if keyed.isEmpty() and (append or not any(values for *_, values in targets)):
         return False
-    keyed = materialize(
-        star.with_keys(rollup_tumbling(rows, width), full_grain_id), "rollup", work_path
-    )
     dimensions = (
         (names.time, schemas.DIM_TIME, star.time_rows(keyed), "time_key"),
         (names.location, schemas.DIM_LOCATION, star.location_rows(keyed, every_variant), "location_key"),
@@ -86,16 +114,19 @@ def build_gold(
         fresh = star.new_rows(candidates, stored, key)
         tables.create_or_append(fresh, name, layout, path=names.where(name))
 
-    dated = (
-        (names.fact, schemas.FACT, "date_key", star.fact_rows(keyed)),
-        (names.retrieval, schemas.RETRIEVAL_EVENT, "date", star.retrieval_events(keyed)),
-    )
-    for name, layout, part, output in dated:
+    outputs = (star.fact_rows(keyed), star.retrieval_events(keyed))
+    for (name, part, layout, values), output in zip(targets, outputs, strict=True):
         # Rebalancing sizes the files of a date and splits a date that is too large.
         tables.create_table(spark, name, layout, [part], path=names.where(name))
         sized = output.hint("rebalance", part)
         if append:
             tables.append_by_name(sized, name)
-        else:
-            tables.overwrite_partitions(sized, name)
+            continue
+        tables.overwrite_partitions(sized, name)
+        present = {str(row[part]) for row in output.select(part).distinct().collect()}  # one per day
+        low, high = bounds
+        for value in values - present:
+            day = value.replace("-", "")
+            if (low is None or day >= low) and (high is None or day <= high):
+                tables.clear_partition(spark, name, part, value)
     return True

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch import schemas
+from tidewatch.session import shared_dir
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -73,16 +74,35 @@ def create_or_append(
 
 
 def overwrite_partitions(df: DataFrame, name: str) -> None:
-    """Replace exactly the partitions that occur in ``df``."""
+    """Replace exactly the partitions that occur in ``df``.
+
+    The mode is a setting of the session. Rows are staged in the shared folder and written
+    by a session of their own, so that other writers keep the mode they have.
+    """
     spark = df.sparkSession
-    target = spark.table(name).columns
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        df.select(*target).write.mode("overwrite").insertInto(name)
-    finally:
-        spark.conf.set(mode, before)
+    staged = shared_dir(spark, "partitions")
+    rows = df.select(*spark.table(name).columns)
+    rows.write.parquet(staged)
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    where = name if "." in name else f"{spark.catalog.currentDatabase()}.{name}"
+    own.read.schema(rows.schema).parquet(staged).write.mode("overwrite").insertInto(where)
+    spark.catalog.refreshTable(name)
+
+
+def partition_values(spark: SparkSession, name: str, part: str) -> set[str]:
+    """Values of the only partition column, as text; none while the table is absent."""
+    if not spark.catalog.tableExists(name):
+        return set()
+    return {row.partition.split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+
+
+def clear_partition(spark: SparkSession, name: str, part: str, value: str) -> None:
+    """Remove the rows of one partition."""
+    layout = [field for field in spark.table(name).schema if field.name != part]
+    nothing = ", ".join(f"CAST(NULL AS {field.dataType.simpleString()})" for field in layout)
+    spark.sql(f"INSERT OVERWRITE {name} PARTITION ({part} = '{value}') SELECT {nothing} WHERE false")
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({part} = '{value}')")
 
 
 def add_missing_columns(df: DataFrame, name: str) -> None:

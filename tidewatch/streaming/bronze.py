@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch import schemas
+from tidewatch.functions.times import lenient_timestamp
 from tidewatch.lake import commits
 from tidewatch.operators import ingest
 from tidewatch.streaming.metrics import OBSERVED
@@ -35,8 +36,10 @@ def batch_writer(
     An empty batch writes nothing. Others become the commit of their batch
     number; a replayed batch replaces itself. Errors are raised, so a failed
     batch is tried again instead of being lost. With ``enforce`` rows without
-    camera or event time go to the ``quarantine`` path instead.
+    camera or event time go to the ``quarantine`` path instead, which must then be named.
     """
+    if enforce and not quarantine:
+        raise ValueError("enforce needs a quarantine path for the rows it rejects")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         bronze = ingest.bronze_derive(batch)
@@ -46,7 +49,7 @@ def batch_writer(
         try:
             kept = ingest.valid_rows(bronze) if enforce else bronze
             rows = commits.commit(kept, table, batch_id)
-            if enforce and quarantine:
+            if enforce:
                 ingest.quarantine_rows(bronze).write.mode("overwrite").json(
                     f"{quarantine}/batch={batch_id}"
                 )
@@ -72,7 +75,9 @@ def start_bronze(
 ) -> StreamingQuery:
     """Start the stream; ``trigger={"availableNow": True}`` drains what is there and ends."""
     parsed = ingest.parse_alert_json(messages, keep_raw=enforce).observe(
-        OBSERVED, F.count(F.lit(1)).alias("records")
+        OBSERVED,
+        F.count(F.lit(1)).alias("records"),
+        F.max(F.unix_micros(lenient_timestamp("timestamp"))).alias("newest"),
     )
     writer = batch_writer(table, enforce, quarantine, **maintenance)
     return (

@@ -16,8 +16,8 @@ from tidewatch.streaming.throttle import stream_throttle
 def stream_enrich(events: DataFrame, registry: DataFrame) -> DataFrame:
     """Events of registered cameras with the camera's attributes.
 
-    The registry is a fixed table. It is read again by every micro-batch, and its
-    size decides at start whether it is broadcast.
+    The registry is a fixed table that every micro-batch reads again. Its estimated size
+    decides at start whether it is broadcast.
     """
     return enrich_with_registry(events, registry)
 

@@ -31,6 +31,15 @@ def records_of(progress: dict) -> int:
     return observed["records"]
 
 
+def _newest(progress: dict) -> float | None:
+    """Seconds since 1970 of the newest event of a batch, if it is known."""
+    observed = (progress.get("observedMetrics") or {}).get(OBSERVED) or {}
+    if observed.get("newest") is not None:
+        return observed["newest"] / 1_000_000
+    newest = (progress.get("eventTime") or {}).get("max")
+    return dt.datetime.fromisoformat(newest.replace("Z", "+00:00")).timestamp() if newest else None
+
+
 def _finish(progress: dict) -> dt.datetime:
     begun = dt.datetime.fromisoformat(progress["timestamp"].replace("Z", "+00:00"))
     return begun + dt.timedelta(milliseconds=progress["durationMs"].get("triggerExecution", 0))
@@ -39,9 +48,18 @@ def _finish(progress: dict) -> dt.datetime:
 def samples_of(reports: Iterable[dict], instance: str = "driver") -> list[tuple]:
     """Samples of the non-empty batches among a query's progress reports.
 
-    The record counter runs over the reports given; delay is the time from the
-    newest event to the batch's end, where the query has a watermark.
+    The record counter runs over the reports given, which must begin with the query's
+    first batch: a query keeps only its last reports, and a counter over those would be
+    too small. :class:`ProgressLog` sees every batch. Delay is the time from the newest
+    event, observed or of the watermark, to the batch's end.
     """
+    reports = list(reports)
+    if reports and reports[0].get("batchId", 0) > 0:
+        raise ValueError("reports of earlier batches are missing; use ProgressLog")
+    return _samples(reports, instance)
+
+
+def _samples(reports: Iterable[dict], instance: str) -> list[tuple]:
     samples, total = [], 0
     for progress in reports:
         rows = records_of(progress)
@@ -55,10 +73,9 @@ def samples_of(reports: Iterable[dict], instance: str = "driver") -> list[tuple]
             DURATION: progress["durationMs"].get("triggerExecution", 0) / 1000,
             THROUGHPUT: float(progress.get("processedRowsPerSecond") or 0.0),
         }
-        newest = (progress.get("eventTime") or {}).get("max")
-        if newest:
-            event = dt.datetime.fromisoformat(newest.replace("Z", "+00:00"))
-            values[DELAY] = (done - event).total_seconds()
+        event = _newest(progress)
+        if event is not None:
+            values[DELAY] = done.timestamp() - event
         samples += [(name, instance, None, at, value) for name, value in values.items()]
     return samples
 
@@ -87,7 +104,7 @@ class ProgressLog(StreamingQueryListener):
         import json
 
         progress = json.loads(event.progress.json)
-        rows = samples_of([progress], self.instance)
+        rows = _samples([progress], self.instance)
         if not rows:
             return
         key = str(event.progress.id)
