@@ -1,4 +1,4 @@
-"""Dashboard panels on the fact table."""
+"""Dashboard panels on the stored tables of a gold run."""
 
 from __future__ import annotations
 
@@ -6,31 +6,21 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from suite.catalog import query
-from suite.star import fact_of, keyed_of
+from suite.star import stored_cameras, stored_fact, stored_places
 from suite.views import AS_OF, DAY_START, WEEK_START, rollup_sql
-from tidewatch.operators import dashboard, star
+from tidewatch.operators import dashboard
 
 _WEEK = f"TIMESTAMP '{WEEK_START}'"
 _RANGE = f"window_start BETWEEN {_WEEK} AND TIMESTAMP '{AS_OF}'"
 _JOINED = "keyed f JOIN locations l ON f.location_key = l.location_key"
 
 
-def week_fact(spark, sf_dir, width="5 minutes"):
-    """Fact of the last week; older events are not read."""
-    return fact_of(spark, sf_dir, width, since=WEEK_START)
-
-
-def week_places(spark, sf_dir):
-    """Places of all time: the dimension is not bounded by the panel's range."""
-    return star.location_rows(keyed_of(spark, sf_dir))
-
-
 @query(
     "filter_last_24h",
     rollup_sql() + f"SELECT fact_id, window_start FROM keyed WHERE window_start >= TIMESTAMP '{DAY_START}'",
 )
 def filter_last_24h(spark, sf_dir):
-    fact = fact_of(spark, sf_dir, since=DAY_START)
+    fact = stored_fact(spark, sf_dir)
     return dashboard.last_24h(fact, AS_OF).select("fact_id", "window_start")
 
 
@@ -39,7 +29,7 @@ def filter_last_24h(spark, sf_dir):
     rollup_sql() + f"SELECT fact_id, window_start FROM keyed WHERE window_start >= {_WEEK}",
 )
 def filter_last_7d(spark, sf_dir):
-    return dashboard.last_7d(week_fact(spark, sf_dir), AS_OF).select("fact_id", "window_start")
+    return dashboard.last_7d(stored_fact(spark, sf_dir), AS_OF).select("fact_id", "window_start")
 
 
 @query(
@@ -47,7 +37,7 @@ def filter_last_7d(spark, sf_dir):
     rollup_sql() + f"SELECT fact_id, window_start FROM keyed WHERE {_RANGE}",
 )
 def filter_time_range(spark, sf_dir):
-    fact = week_fact(spark, sf_dir)
+    fact = stored_fact(spark, sf_dir)
     return dashboard.in_range(fact, WEEK_START, AS_OF).select("fact_id", "window_start")
 
 
@@ -59,7 +49,7 @@ def filter_time_range(spark, sf_dir):
 )
 def filter_camera_multi(spark, sf_dir):
     chosen = ["cam0001", "cam0007", "cam0042"]
-    return dashboard.for_cameras(fact_of(spark, sf_dir), chosen).select("fact_id", "camera_key")
+    return dashboard.for_cameras(stored_fact(spark, sf_dir), chosen).select("fact_id", "camera_key")
 
 
 @query(
@@ -69,7 +59,7 @@ def filter_camera_multi(spark, sf_dir):
     WHERE is_violent_window AND window_start >= TIMESTAMP '{DAY_START}'""",
 )
 def kpi_count_24h(spark, sf_dir):
-    fact = fact_of(spark, sf_dir, since=DAY_START)
+    fact = stored_fact(spark, sf_dir)
     return dashboard.violent_count_since(fact, AS_OF, "24 HOURS")
 
 
@@ -79,7 +69,7 @@ def kpi_count_24h(spark, sf_dir):
     + f"SELECT count(*) AS value FROM keyed WHERE is_violent_window AND window_start >= {_WEEK}",
 )
 def kpi_count_7d(spark, sf_dir):
-    return dashboard.violent_count_since(week_fact(spark, sf_dir), AS_OF, "7 DAYS")
+    return dashboard.violent_count_since(stored_fact(spark, sf_dir), AS_OF, "7 DAYS")
 
 
 @query(
@@ -89,7 +79,7 @@ def kpi_count_7d(spark, sf_dir):
     WHERE window_start >= {_WEEK}""",
 )
 def kpi_avg_latency_7d(spark, sf_dir):
-    mean = dashboard.average_latency(week_fact(spark, sf_dir), AS_OF)
+    mean = dashboard.average_latency(stored_fact(spark, sf_dir), AS_OF)
     return mean.select(F.round("value", 6).alias("value"))
 
 
@@ -100,7 +90,7 @@ def kpi_avg_latency_7d(spark, sf_dir):
     FROM keyed WHERE is_violent_window AND {_RANGE}""",
 )
 def risk_trend_series(spark, sf_dir):
-    trend = dashboard.risk_trend(week_fact(spark, sf_dir), WEEK_START, AS_OF)
+    trend = dashboard.risk_trend(stored_fact(spark, sf_dir), WEEK_START, AS_OF)
     return trend.withColumn("risk", F.round("risk", 6))
 
 
@@ -109,10 +99,13 @@ def risk_trend_series(spark, sf_dir):
     rollup_sql("1 day")
     + """SELECT window_start AS time, fact_id,
       row_number() OVER (ORDER BY window_start, fact_id) AS position
-    FROM keyed WHERE is_violent_window""",
+    FROM keyed WHERE is_violent_window
+      AND window_start BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '"""
+    + AS_OF
+    + "'",
 )
 def sort_time_asc(spark, sf_dir):
-    trend = dashboard.risk_trend(fact_of(spark, sf_dir, "1 day"), "2024-01-01", AS_OF)
+    trend = dashboard.risk_trend(stored_fact(spark, sf_dir, "1 day"), "2024-01-01", AS_OF)
     return dashboard.order_rank(trend.select("time", "fact_id"), "time", "fact_id")
 
 
@@ -122,7 +115,7 @@ def sort_time_asc(spark, sf_dir):
     + f"SELECT f.fact_id, f.window_start, l.ward, l.street, l.latitude, l.longitude FROM {_JOINED}",
 )
 def fact_join_location(spark, sf_dir):
-    joined = dashboard.join_location(fact_of(spark, sf_dir), week_places(spark, sf_dir))
+    joined = dashboard.join_location(stored_fact(spark, sf_dir), stored_places(spark, sf_dir))
     return joined.select("fact_id", "window_start", "ward", "street", "latitude", "longitude")
 
 
@@ -135,7 +128,7 @@ def fact_join_location(spark, sf_dir):
 )
 def hotspot_by_point(spark, sf_dir):
     return dashboard.hotspots(
-        week_fact(spark, sf_dir), week_places(spark, sf_dir), WEEK_START, AS_OF
+        stored_fact(spark, sf_dir), stored_places(spark, sf_dir), WEEK_START, AS_OF
     )
 
 
@@ -145,7 +138,7 @@ _WARDS_SQL = f"""SELECT l.ward, CAST(count(*) AS BIGINT) AS total_events FROM {_
 
 @query("rank_wards", rollup_sql() + _WARDS_SQL)
 def rank_wards(spark, sf_dir):
-    return dashboard.rank_wards(week_fact(spark, sf_dir), week_places(spark, sf_dir), AS_OF)
+    return dashboard.rank_wards(stored_fact(spark, sf_dir), stored_places(spark, sf_dir), AS_OF)
 
 
 @query(
@@ -159,8 +152,8 @@ def rank_wards(spark, sf_dir):
 )
 def rank_wards_every_variant(spark, sf_dir):
     """The reading in which a place with two coordinates counts twice."""
-    places = star.location_rows(keyed_of(spark, sf_dir), every_variant=True)
-    return dashboard.rank_wards(week_fact(spark, sf_dir), places, AS_OF)
+    places = stored_places(spark, sf_dir, every_variant=True)
+    return dashboard.rank_wards(stored_fact(spark, sf_dir), places, AS_OF)
 
 
 @query(
@@ -181,7 +174,7 @@ def sort_count_desc(spark, sf_dir):
     rollup_sql() + "SELECT DISTINCT camera_id FROM keyed",
 )
 def distinct_cameras(spark, sf_dir):
-    return dashboard.distinct_cameras(star.camera_rows(keyed_of(spark, sf_dir)))
+    return dashboard.distinct_cameras(stored_cameras(spark, sf_dir))
 
 
 @query(
@@ -203,7 +196,7 @@ def sort_camera(spark, sf_dir):
     WHERE is_violent_window AND window_start >= {_WEEK} GROUP BY date_key""",
 )
 def daily_trend(spark, sf_dir):
-    return dashboard.daily_trend(week_fact(spark, sf_dir), AS_OF)
+    return dashboard.daily_trend(stored_fact(spark, sf_dir), AS_OF)
 
 
 @query(
@@ -215,5 +208,5 @@ def daily_trend(spark, sf_dir):
       AND f.window_start >= TIMESTAMP '{DAY_START}' AND f.window_start < TIMESTAMP '{AS_OF}'""",
 )
 def incident_answer(spark, sf_dir):
-    fact = fact_of(spark, sf_dir, since=DAY_START)
-    return dashboard.incidents_of_day(fact, week_places(spark, sf_dir), DAY_START[:10])
+    fact = stored_fact(spark, sf_dir)
+    return dashboard.incidents_of_day(fact, stored_places(spark, sf_dir), DAY_START[:10])

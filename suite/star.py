@@ -8,6 +8,7 @@ from suite.catalog import query, rounded
 from suite.views import alerts, rollup_sql, table
 from tidewatch import schemas
 from tidewatch.operators import rollup, star
+from tidewatch.session import materialize, shared_dir
 
 _ROLLUP_OUT = """SELECT window_start, camera_id, city, district, ward, street, rtsp_url,
   risk_level, latitude, longitude, round(avg_latency_ms, 6) AS avg_latency_ms,
@@ -33,6 +34,40 @@ def fact_of(spark, sf_dir, width="5 minutes", since=None, until=None):
     return star.fact_rows(keyed_of(spark, sf_dir, width, since, until))
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark, sf_dir, width):
+    """Folder of one gold run over all events, made once per session and width."""
+    run = (spark.sparkContext.applicationId, sf_dir, width)
+    if run not in _STORED:
+        path = shared_dir(spark, "gold")
+        keyed = materialize(keyed_of(spark, sf_dir, width), "keyed")
+        fact = star.fact_rows(keyed).hint("rebalance", "date_key")
+        fact.write.partitionBy("date_key").parquet(f"{path}/fact")
+        for name, every in (("places", False), ("variants", True)):
+            star.location_rows(keyed, every).write.parquet(f"{path}/{name}")
+        star.camera_rows(keyed).write.parquet(f"{path}/cameras")
+        _STORED[run] = path
+    return _STORED[run]
+
+
+def stored_fact(spark, sf_dir, width="5 minutes"):
+    """The fact table as dashboards find it: stored, all of it, by date."""
+    return spark.read.schema(schemas.FACT).parquet(f"{_stored(spark, sf_dir, width)}/fact")
+
+
+def stored_places(spark, sf_dir, every_variant=False):
+    name = "variants" if every_variant else "places"
+    path = f"{_stored(spark, sf_dir, '5 minutes')}/{name}"
+    return spark.read.schema(schemas.DIM_LOCATION).parquet(path)
+
+
+def stored_cameras(spark, sf_dir):
+    path = f"{_stored(spark, sf_dir, '5 minutes')}/cameras"
+    return spark.read.schema(schemas.DIM_CAMERA).parquet(path)
+
+
 def _rollup_out(df):
     exact = [c for c in df.columns if not c.startswith("avg_") and c != "window_end"]
     return df.select(*exact, *rounded("avg_latency_ms", "avg_fps"))

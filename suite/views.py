@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators.joins import fits_broadcast
 
-AS_OF = "2024-01-31 00:00:00"
-WEEK_START = "2024-01-24 00:00:00"
-DAY_START = "2024-01-30 00:00:00"
+# In mid-month, so that there are events before and after every bound.
+AS_OF = "2024-01-21 00:00:00"
+WEEK_START = "2024-01-14 00:00:00"
+DAY_START = "2024-01-20 00:00:00"
 
 
 # Layouts of the test tables: a given schema spares the job that would infer it.

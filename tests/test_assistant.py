@@ -245,3 +245,39 @@ def test_iso_text(spark):
     frame = spark.createDataFrame([(AT,), (AT.replace(microsecond=10),), (None,)], "t timestamp")
     got = [r[0] for r in frame.select(times.iso_text("t")).collect()]
     assert got == [AT.isoformat(), AT.replace(microsecond=10).isoformat(), None]
+
+
+def test_vectors_of_another_length_are_an_error(spark):
+    questions = spark.createDataFrame([(1, [1.0, 0.0])], "question_id long, embedding array<double>")
+    docs = spark.createDataFrame([("a", [1.0, 0.0, 2.0]), ("b", [1.0])], "id string, embedding array<double>")
+    with pytest.raises(Exception, match=r"vector of id '[ab]' has [13] values, not 2"):
+        knn.topk_similarity(questions, docs).collect()
+
+
+def test_documents_without_an_id_are_left_out(spark):
+    questions = spark.createDataFrame([(1, [1.0, 0.0])], "question_id long, embedding array<double>")
+    docs = spark.createDataFrame([(None, [1.0, 0.0]), ("b", [0.0, 1.0])], "id string, embedding array<double>")
+    assert [r.id for r in knn.topk_similarity(questions, docs).collect()] == ["b"]
+
+
+def test_lots_encode_each_question_once(spark):
+    """However many lots the questions take, their source is evaluated for the head and once more."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<double>")
+    def encode(n):
+        seen.add(1)
+        return [1.0, float(n)]
+
+    questions = spark.range(100).select(F.col("id").alias("question_id"), encode("id").alias("embedding"))
+    docs = spark.createDataFrame([(n, [1.0, float(n)]) for n in range(100)], "id long, embedding array<double>")
+    found = knn.knn_filtered(questions, docs, 1, (), questions_per_pass=20)
+    assert all(r.question_id == r.id for r in found.collect()) and found.count() == 100
+    assert seen.value <= 200
+
+
+@pytest.mark.parametrize("blank", ["\n\t", "", "  ", "\u00a0\u2003\r", "\x1c", None])
+def test_white_space_of_any_kind_is_blank(spark, blank):
+    frame = spark.createDataFrame([(blank, f"{blank or ''} a b\t{blank or ''}")], "x string, y string")
+    row = frame.select(text.stripped(F.coalesce("x", F.lit(""))).alias("x"), text.stripped(F.col("y")).alias("y")).first()
+    assert (row.x, row.y) == ("", "a b")

@@ -7,6 +7,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from suite.views import alerts
+from tidewatch.operators import dashboard
+from tidewatch.operators.rollup import rollup_tumbling
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = entry_module.queries()
@@ -61,13 +64,30 @@ def plan_of(spark, name):
 
 def test_time_bounds_reach_the_scan(spark):
     plan = plan_of(spark, "kpi_count_7d")
-    assert "GreaterThanOrEqual(ts,2024-01-24" in plan
-    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
+    assert "PartitionFilters: [isnotnull(date_key" in plan and "(date_key#" in plan
+    assert "GreaterThanOrEqual(window_start,2024-01-14" in plan
+    assert "ReadSchema: struct<window_start:timestamp,is_violent_window:boolean>" in plan
+
+
+BOUNDED = (
+    "filter_last_24h filter_last_7d filter_time_range kpi_count_24h kpi_count_7d kpi_avg_latency_7d "
+    "risk_trend_series daily_trend incident_answer hotspot_by_point rank_wards"
+).split()
+
+
+@pytest.mark.parametrize("name", BOUNDED)
+def test_bounds_decide_the_result(spark, monkeypatch, name):
+    """Without the operators' time bounds each of these queries gives other rows."""
+    want = sorted(map(repr, QUERIES[name](spark, SF_DIR).collect()))
+    monkeypatch.setattr(dashboard, "since", lambda fact, *_: fact)
+    monkeypatch.setattr(dashboard, "in_range", lambda fact, *_: fact)
+    assert sorted(map(repr, QUERIES[name](spark, SF_DIR).collect())) != want
 
 
 def test_numeric_rollup_is_hashed(spark):
     """Unread aggregates are dropped, so panels without the argmax do not sort."""
-    plan = plan_of(spark, "kpi_avg_latency_7d")
+    rows = rollup_tumbling(alerts(spark, SF_DIR))
+    plan = dashboard.average_latency(rows)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 

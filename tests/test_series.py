@@ -115,3 +115,10 @@ def test_widths():
     assert times.micros_of("5 minutes") == 300_000_000 and times.micros_of("1 day") == 86_400_000_000
     with pytest.raises(ValueError):
         times.micros_of("1 month")
+
+
+def test_a_null_label_is_a_label(spark):
+    """Its increase goes on over the edges of blocks."""
+    rows = samples(spark, [(None, n * 1800, 3 * n) for n in range(6)])
+    got = series.counter_increase(rows, ["series"], "1 hour").orderBy("ts").collect()
+    assert [r.increase for r in got] == [None, 3.0, 3.0, 3.0, 3.0, 3.0]

@@ -115,6 +115,15 @@ def test_metrics(spark, tmp_path, table):
     totals = [r.value for r in rows if r.series == metrics.RECORDS]
     assert totals == [5.0, 10.0]
     assert all(r.value > 0 for r in rows if r.series == metrics.DURATION)
+    delays = [r.value for r in rows if r.series == metrics.DELAY]
+    assert len(delays) == 2 and all(d > 0 for d in delays)
+    with pytest.raises(ValueError, match="ProgressLog"):
+        metrics.samples_of(query.recentProgress[1:])
+
+
+def test_rejected_rows_need_a_place(table):
+    with pytest.raises(ValueError, match="quarantine"):
+        bronze.batch_writer(table, enforce=True)
 
 
 def test_progress_log(spark, tmp_path, table):

@@ -33,8 +33,8 @@ def records_of(progress: dict) -> int:
 
 def _newest(progress: dict) -> float | None:
     """Seconds since 1970 of the newest event of a batch, if it is known."""
-    observed = (progress.get("observedMetrics") or {}).get(OBSERVED) or {}
-    if observed.get("newest") is not None:
+    observed = (progress.get("observedMetrics") or {}).get(OBSERVED)
+    if observed is not None and "newest" in observed and observed["newest"] is not None:
         return observed["newest"] / 1_000_000
     newest = (progress.get("eventTime") or {}).get("max")
     return dt.datetime.fromisoformat(newest.replace("Z", "+00:00")).timestamp() if newest else None
