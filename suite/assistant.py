@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from suite.catalog import query
@@ -198,6 +199,32 @@ def knn_approx(spark, sf_dir):
     return both.groupBy("question_id").agg((F.count("hit") / F.count("*")).alias("recall"))
 
 
+@query(
+    "knn_approx_cells",
+    f"""WITH {VECTORS_SQL}, centers AS (SELECT id AS cell, embedding FROM vectors WHERE id < 24),
+    near AS (
+      SELECT v.id, c.cell, row_number() OVER (
+        PARTITION BY v.id ORDER BY list_cosine_similarity(v.embedding, c.embedding) DESC, c.cell) AS place
+      FROM vectors v, centers c
+    ), probed AS (
+      SELECT q.id AS question_id, v.*
+      FROM near q JOIN near d ON q.cell = d.cell AND q.place <= 6 AND d.place = 1 JOIN vectors v ON v.id = d.id
+    ) SELECT question_id, id, CAST(rank AS INTEGER) AS rank FROM (
+      SELECT p.question_id, p.id, row_number() OVER (PARTITION BY p.question_id
+        ORDER BY round(1 - list_cosine_similarity(q.embedding, p.embedding), 9), p.id) AS rank
+      FROM probed p JOIN vectors q ON q.id = p.question_id) r WHERE rank <= 6""",
+)
+def knn_approx_cells(spark, sf_dir):
+    """The nearest inside the six probed cells of 24, around centres that are given."""
+    found = vectors(spark, sf_dir)
+    rows = found.where("id < 24").orderBy("id").collect()
+    centers = np.array([r.embedding for r in rows], dtype=np.float64)
+    centers /= np.linalg.norm(centers, axis=1, keepdims=True)
+    asked = found.select(F.col("id").alias("question_id"), "embedding")
+    near = knn.knn_approx(asked, knn.assign_cells(found, centers), centers, probes=6)
+    return near.select("question_id", "id", "rank")
+
+
 _CHAT_DOCS_SQL = """chat_docs AS (
   SELECT v.id, d.text, v.embedding, v.camera_id, v.date
   FROM vectors v JOIN documents d ON d.doc_id = v.id

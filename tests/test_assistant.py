@@ -183,11 +183,11 @@ def test_approximate_search_finds_most_and_is_exact_when_all_is_probed(spark):
 
 
 def test_recall_on_the_test_vectors(spark):
-    """Barely clustered vectors: a quarter of the cells holds most neighbours."""
+    """Hardly clustered vectors, the worst case for cells."""
     from suite.assistant import knn_approx
 
     recall = knn_approx(spark, "/root/testdata/sf0.01").agg(F.avg("recall")).first()[0]
-    assert recall > 0.7
+    assert recall > 0.9
 
 
 def test_probed_cells_prune_the_scan(spark, tmp_path):

@@ -71,12 +71,19 @@ def _search(questions: dict, k: int, filters: Sequence[str], by_cell: bool) -> C
             own = table[codes.indices.fill_null(len(table) - 1).to_numpy(zero_copy_only=False)]
             fits = (wanted_code[None, :] == -1) | (own[:, None] == wanted_code[None, :])
             mask = fits if mask is None else mask & fits
-        if by_cell:
-            cells = batch.column("cell").to_numpy(zero_copy_only=False)
-            fits = questions["probes"][cells]
-            mask = fits if mask is None else mask & fits
         return mask
 
+    def blocks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Documents and the questions they are multiplied with: all, or those that probe their cell."""
+        if not by_cell:
+            yield np.arange(batch.num_rows), np.arange(len(targets))
+            return
+        cells = batch.column("cell").to_numpy(zero_copy_only=False)
+        for cell in np.unique(cells):
+            asking = np.flatnonzero(questions["probes"][cell])
+            if len(asking):
+                yield np.flatnonzero(cells == cell), asking
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = len(targets)
         best = None
@@ -86,32 +93,33 @@ def _search(questions: dict, k: int, filters: Sequence[str], by_cell: bool) -> C
             id_type = whole.column("id").type
             for begin in range(0, whole.num_rows, _DOCS_PER_STEP):
                 batch = whole.slice(begin, _DOCS_PER_STEP)
-                similarity = _matrix(batch.column("vector"), targets.shape[1], batch.column("id")) @ targets.T
-                # Adding zero turns a rounded -0.0 into 0.0.
-                distance = np.round(1.0 - similarity, _DECIMALS) + 0.0
+                documents = _matrix(batch.column("vector"), targets.shape[1], batch.column("id"))
                 mask = allowed(batch)
-                if mask is not None:
-                    distance[~mask] = np.inf
-                if len(distance) > k:
-                    near = np.partition(distance, k - 1, axis=0)[k - 1]
-                else:
-                    near = np.full(asked, np.inf)
-                row, column = np.nonzero(
-                    (distance <= np.minimum(near, bound)) & np.isfinite(distance)
-                )
-                ids = batch.column("id").take(pa.array(row))
-                if pa.types.is_integer(id_type):
-                    ids = ids.to_numpy()
-                else:
-                    ids = np.array(ids.to_pylist(), dtype=str)
-                found = (column, distance[row, column], ids)
-                if best is not None:
-                    found = tuple(np.concatenate(pair) for pair in zip(best, found))
-                best = _nearest(*found, k)
-                counts = np.bincount(best[0], minlength=asked)
-                full = counts >= k
-                ends = np.cumsum(counts)
-                bound[full] = best[1][ends[full] - 1]
+                for own, asking in blocks(batch):
+                    # Adding zero turns a rounded -0.0 into 0.0.
+                    distance = np.round(1.0 - documents[own] @ targets[asking].T, _DECIMALS) + 0.0
+                    if mask is not None:
+                        distance[~mask[np.ix_(own, asking)]] = np.inf
+                    if len(distance) > k:
+                        near = np.partition(distance, k - 1, axis=0)[k - 1]
+                    else:
+                        near = np.full(len(asking), np.inf)
+                    row, column = np.nonzero(
+                        (distance <= np.minimum(near, bound[asking])) & np.isfinite(distance)
+                    )
+                    ids = batch.column("id").take(pa.array(own[row]))
+                    if pa.types.is_integer(id_type):
+                        ids = ids.to_numpy()
+                    else:
+                        ids = np.array(ids.to_pylist(), dtype=str)
+                    found = (asking[column], distance[row, column], ids)
+                    if best is not None:
+                        found = tuple(np.concatenate(pair) for pair in zip(best, found))
+                    best = _nearest(*found, k)
+                    counts = np.bincount(best[0], minlength=asked)
+                    full = counts >= k
+                    ends = np.cumsum(counts)
+                    bound[full] = best[1][ends[full] - 1]
         if best is not None and len(best[0]):
             yield pa.RecordBatch.from_arrays(
                 [
@@ -279,7 +287,7 @@ def knn_approx(
     docs: DataFrame,
     centers: np.ndarray,
     k: int = 6,
-    probes: int = 16,
+    probes: int = 40,
     filters: Sequence[str] = (),
     payload: Sequence[str] = (),
     question_id: str = "question_id",
@@ -288,8 +296,8 @@ def knn_approx(
     """Approximate neighbours: only documents in the ``probes`` cells nearest the question.
 
     ``docs`` carry the ``cell`` of :func:`assign_cells` for the same ``centers``.
-    Probed cells are searched completely, however large; with as many probes as
-    cells the search is exact. Recall is measured against :func:`knn_filtered`.
+    Probed cells are searched completely, however large, and only their questions are
+    multiplied with a cell's documents; with as many probes as cells the search is exact. Recall is measured against :func:`knn_filtered`.
     """
 
     def probe(vectors: np.ndarray) -> np.ndarray:

@@ -29,6 +29,8 @@ def local_session(app: str, cores: str = "*", shuffle_partitions: int = 8) -> Sp
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidewatch-"))
     return spark
 
 
