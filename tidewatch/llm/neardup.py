@@ -24,7 +24,7 @@ SKETCH = 128
 BANDS = 32
 EMPTY = np.uint64(2**64 - 1)
 
-#: Members of a band's bucket that one task compares with as many others at a time.
+#: Members of a band's bucket that are compared with as many others at a time.
 BLOCK = 256
 
 #: Stands for a null id: one document, smaller than all others.
@@ -159,7 +159,7 @@ def similar(inner: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np
 
 
 def overlaps(sets: list[np.ndarray], rows: int) -> np.ndarray:
-    """Sizes of the intersections of the first ``rows`` sets with the others (with all, if none are)."""
+    """Sizes of the intersections of the first ``rows`` sets with all."""
     values, code = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     shared = np.bincount(code, minlength=len(values)) > 1
@@ -179,15 +179,14 @@ def overlaps(sets: list[np.ndarray], rows: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def spanning_links(nodes: list, labels: list, blocks: list, sets: list[np.ndarray], percent: int) -> list[tuple]:
-    """Links between documents of different components, as few as join all that are linked.
+def spanning_links(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    """Links between documents (node, label, set) of both sides and of different components.
 
-    ``blocks`` has at most two values: with two, only documents of different blocks are
-    compared; others meet in a group of their own.
+    Only as many as join all components that are linked.
     """
-    order = sorted(range(len(nodes)), key=lambda i: blocks[i])
-    nodes, labels, blocks, sets = ([x[i] for i in order] for x in (nodes, labels, blocks, sets))
-    first = blocks.count(blocks[0]) if nodes else 0
+    sets = [np.frombuffer(s, np.uint64) for frame in (left, right) for s in frame["set"]]
+    nodes = [*left["node"], *right["node"]]
+    labels = [*left["label"], *right["label"]]
     parent = {x: x for x in labels}
 
     def root(x):
@@ -196,16 +195,15 @@ def spanning_links(nodes: list, labels: list, blocks: list, sets: list[np.ndarra
             x = parent[x]
         return x
 
-    inner = overlaps(sets, first)
+    first = len(left)
     n = np.array([len(s) for s in sets])
-    start = first if first < len(nodes) else 0
-    linked = similar(inner[:, start:], n[:first, None], n[None, start:], percent)
+    linked = similar(overlaps(sets, first)[:, first:], n[:first, None], n[None, first:], percent)
     found = []
     for i, j in np.argwhere(linked):
-        a, b = root(labels[i]), root(labels[j + start])
+        a, b = root(labels[i]), root(labels[j + first])
         if a != b:
             parent[max(a, b)] = min(a, b)
-            found.append((nodes[i], nodes[j + start]))
+            found.append((nodes[i], nodes[j + first]))
     return found
 
 
@@ -227,8 +225,9 @@ def near_duplicates(
 
     1. Rows with equal sets become one node, the smallest id.
     2. In each bucket of a band the smallest node is compared with the others.
-    3. Buckets that still hold several components are compared in blocks of ``BLOCK``
-       against each other inside tasks, which return only links that join components.
+    3. In buckets that still hold several components, the nodes outside the smallest node's
+       component are compared with all others, in blocks of ``BLOCK`` by ``BLOCK`` inside
+       tasks, which return only links that join components.
 
     So no bucket's pairs become rows, however large it is, and no pair of a bucket is left
     out unless it is in one component already.
@@ -283,36 +282,35 @@ def near_duplicates(
         .agg(
             F.min("label").alias("low"),
             F.max("label").alias("high"),
+            F.min_by("label", "node").alias("home"),
             F.count("*").alias("many"),
             F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("members"),
         )
         .where("low <> high")
         .groupBy("many", "members")
-        .agg(F.min("key").alias("key"))
-        .select("key")
+        .agg(F.min(F.struct("key", "home")).alias("one"))
+        .select("one.*")
     )
-    blocks = F.ceil(F.col("many") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("node", "key"), blocks).cast("int")
+    within = materialize(placed.join(open_, "key").select("key", "node", "label", "home", "many"), "open-buckets")
+    strays = within.where("label <> home").groupBy("key").agg(F.count("*").alias("strays"))
+    sized = within.join(strays, "key").select(
+        "key", "node", "label", (F.col("label") != F.col("home")).alias("stray"),
+        F.ceil(F.col("many") / BLOCK).cast("int").alias("rows"), F.ceil(F.col("strays") / BLOCK).cast("int").alias("columns"),
+    )
+    own = lambda count: F.pmod(F.xxhash64("node", "key"), F.col(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
     met = (
-        placed.join(open_, "key")
-        .withColumn("block", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select(
-            "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label"
+        sized.withColumns({"i": own("rows"), "left": F.lit(False)})
+        .withColumn("j", every("columns"))
+        .unionByName(
+            sized.where("stray").withColumns({"j": own("columns"), "left": F.lit(True)}).withColumn("i", every("rows"))
         )
+        .select("key", "i", "j", "left", "node", "label")
         .join(sets.withColumnRenamed("doc", "node"), "node")
     )
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if group["i"].iloc[0] == group["j"].iloc[0] or group["block"].nunique() == 2:
-            found = spanning_links(
-                group["node"].tolist(),
-                group["label"].tolist(),
-                group["block"].tolist(),
-                [np.frombuffer(s, np.uint64) for s in group["set"]],
-                percent,
-            )
+        found = spanning_links(group[group["left"]], group[~group["left"]], percent)
         return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
     more = met.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
