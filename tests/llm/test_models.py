@@ -234,11 +234,12 @@ def test_url_words_are_learned(spark):
     """Words beside unwanted ones become suspicious, also where they are concatenated."""
     rng = random.Random(4)
     clean = ["garden", "river", "mountain", "library", "school", "kitchen"]
-    rows = [f"http://www.{rng.choice(clean)}-{rng.choice(clean)}.org/en/{n}" for n in range(300)]
-    rows += [f"http://casino-jackpot.org/en/{n}" for n in range(60)] + ["http://jackpotcasino.net/de/1", "http://rivergarden.net/de/1"]
+    rows = [f"http://www.{rng.choice(clean)}-{rng.choice(clean)}.org/en/{n}" for n in range(3000)]
+    rows += [f"http://casino-jackpot.org/en/{n}" for n in range(60)] + ["http://www.jackpotcasino.net/de/1", "http://rivergarden.net/de/1"]
     frame = spark.createDataFrame([(n, u) for n, u in enumerate(rows)], "page_id long, url string")
     got = {r.host: r for r in urls.judge_pages(frame, URL_RULES).collect()}
-    assert got["jackpotcasino.net"].words == ["jackpot", "casino"] and got["jackpotcasino.net"].verdict == "block"
+    found = got["www.jackpotcasino.net"]
+    assert found.words == ["www", "jackpot", "casino"] and found.verdict == "block"
     assert got["rivergarden.net"].words == ["river", "garden"] and got["rivergarden.net"].verdict == "allow"
 
 

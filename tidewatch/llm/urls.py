@@ -190,17 +190,19 @@ def buckets(words: Column, path: Column) -> Column:
 def train(tokens: DataFrame) -> tuple[float, np.ndarray]:
     """Prior and weights of multinomial naive Bayes over all rows (blocked, buckets).
 
-    Weights are the log odds of a bucket for blocked pages, with one added to each count;
-    the driver gets two counts per bucket, ``BUCKETS`` of them.
+    Weights are the log odds of a bucket for blocked pages, with one added to each count of
+    the buckets that any page has; others weigh nothing. The driver gets two counts per
+    bucket, ``BUCKETS`` of them.
     """
     pages = {r.blocked: r.n for r in tokens.groupBy("blocked").agg(F.count("*").alias("n")).collect()}
-    counts = np.ones((2, BUCKETS))
+    counts = np.zeros((2, BUCKETS))
     seen = tokens.select("blocked", F.explode("buckets").alias("bucket"))
     for row in seen.groupBy("blocked", "bucket").agg(F.count("*").alias("n")).collect():
         counts[int(row.blocked), row.bucket] += row.n
-    shares = np.log(counts) - np.log(counts.sum(axis=1, keepdims=True))
+    held = counts.sum(axis=0) > 0
+    shares = np.log(counts + 1) - np.log(counts.sum(axis=1, keepdims=True) + held.sum() + 1)
     prior = math.log((pages.get(True, 0) + 1) / (pages.get(False, 0) + 1))
-    return prior, shares[1] - shares[0]
+    return prior, np.where(held, shares[1] - shares[0], 0.0)
 
 
 def judge_pages(
