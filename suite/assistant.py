@@ -99,7 +99,7 @@ def embed_documents(spark, sf_dir):
 
 _QUESTIONS_SQL = """questions AS (
   SELECT conv_id * 1000 + turn AS question_id, conv_id,
-    CASE WHEN turn % 6 = 2 THEN '   '
+    CASE WHEN turn % 6 = 2 THEN concat(chr(9), '  ', chr(10))
       ELSE concat('Alerts at CAM', CAST(conv_id % 10 AS VARCHAR),
         CASE WHEN turn % 6 = 0 THEN concat(' on 2024-01-0', CAST(conv_id % 5 + 1 AS VARCHAR))
           ELSE '' END, ': ', text) END AS question
@@ -122,7 +122,7 @@ def questions(spark, sf_dir):
         .select(
             (conv * 1000 + turn).alias("question_id"),
             "conv_id",
-            F.when(turn % 6 == 2, "   ").otherwise(asked).alias("question"),
+            F.when(turn % 6 == 2, "\t  \n").otherwise(asked).alias("question"),
         )
     )
 
@@ -226,14 +226,14 @@ def knn_approx_cells(spark, sf_dir):
 
 
 _CHAT_DOCS_SQL = """chat_docs AS (
-  SELECT v.id, d.text, v.embedding, v.camera_id, v.date
-  FROM vectors v JOIN documents d ON d.doc_id = v.id
+  SELECT d.doc_id AS id, d.text, v.embedding, v.camera_id, v.date
+  FROM documents d JOIN vectors v ON v.id = d.doc_id % 500
 )"""
 _CHAT_SQL = f"""WITH {VECTORS_SQL}, {_QUESTIONS_SQL}, {_CHAT_DOCS_SQL}, asked AS (
-  SELECT q.question_id, trim(q.question) AS question, e.embedding,
+  SELECT q.question_id, trim(q.question, concat(' ', chr(9), chr(10), chr(13))) AS question, e.embedding,
     nullif(regexp_extract(lower(q.question), 'cam\\d+'), '') AS camera_id,
     nullif(regexp_extract(q.question, '\\d{{4}}-\\d{{2}}-\\d{{2}}'), '') AS date
-  FROM questions q JOIN vectors e ON e.id = q.conv_id
+  FROM questions q JOIN vectors e ON e.id = q.conv_id % 500
 ), hits AS ({_ranked_sql("asked", "q.question <> '' AND " + _MATCH, "chat_docs")}
 ), answers AS (
   SELECT h.question_id, string_agg(concat('- ', d.text), chr(10) || chr(10) ORDER BY h.rank) AS context,
@@ -243,11 +243,12 @@ _CHAT_SQL = f"""WITH {VECTORS_SQL}, {_QUESTIONS_SQL}, {_CHAT_DOCS_SQL}, asked AS
 
 
 def chat_documents(spark, sf_dir):
-    """Documents that have a vector, as an index holds them."""
-    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    """All documents, each with one of the vectors, as an index holds them."""
+    texts = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), "text", (F.col("doc_id") % 500).alias("vec_id")
+    )
     return (
-        vectors(spark, sf_dir)
-        .join(texts, "id")
+        texts.join(vectors(spark, sf_dir).withColumnRenamed("id", "vec_id"), "vec_id")
         .select(
             "id",
             "text",
@@ -260,8 +261,9 @@ def chat_documents(spark, sf_dir):
 
 
 def chat_questions(spark, sf_dir):
-    known = vectors(spark, sf_dir).select(F.col("id").alias("conv_id"), "embedding")
-    return questions(spark, sf_dir).join(known, "conv_id").drop("conv_id")
+    known = vectors(spark, sf_dir).select(F.col("id").alias("vec_id"), "embedding")
+    asked = questions(spark, sf_dir).withColumn("vec_id", F.col("conv_id") % 500)
+    return asked.join(known, "vec_id").drop("conv_id", "vec_id")
 
 
 @query(

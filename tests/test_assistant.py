@@ -19,6 +19,9 @@ def test_two_digits_matches_exact_rounding(spark):
     frame = spark.createDataFrame([(float(v),) for v in values], "v double")
     got = [r.shown for r in text.with_two_digits(frame, F.col("v"), "shown").collect()]
     assert got == [f"{v:.2f}" for v in values]
+    large = [1e16, -9007199254740992.0, float("inf"), float("-inf"), 9007199254740991.0, 45035996273704.125]
+    out = text.with_two_digits(spark.createDataFrame([(v,) for v in large], "v double"), F.col("v"), "shown")
+    assert [r.shown for r in out.collect()] == [f"{v:.2f}" for v in large]
     gone = spark.createDataFrame([(None,), (float("nan"),)], "v double")
     out = text.with_two_digits(gone, F.col("v"), "shown")
     assert out.columns == ["v", "shown"] and [r.shown for r in out.collect()] == ["nan", "nan"]

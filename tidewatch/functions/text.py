@@ -41,13 +41,18 @@ def fill(template: str, values: dict[str, Column]) -> Column:
     return F.concat(*pieces)
 
 
+# Up to here a hundredfold double still tells single units.
+EXACT_BELOW = 2.0**53 / 100
+
+
 def with_two_digits(rows: DataFrame, value: Column, name: str) -> DataFrame:
     """Add ``value`` as text with two decimals, rounded from its exact binary value.
 
     Ties go to even. ``format_string('%.2f')`` rounds the shortest decimal text
     instead and gives 2.68 for 2.675. Here ``value * 100`` is split into the
     rounded product and its exact error (Dekker's splitting), so the comparison
-    with one half is exact. NULL and NaN read ``nan``.
+    with one half is exact. NULL and NaN read ``nan``, infinite values ``inf``; from
+    ``EXACT_BELOW`` on the shortest decimal text is rounded after all.
 
     The steps are columns of their own: inside one expression each would be
     repeated wherever it is used, and the generated code would grow too large to
@@ -55,7 +60,7 @@ def with_two_digits(rows: DataFrame, value: Column, name: str) -> DataFrame:
     """
     steps = (
         {"_value": value.cast("double")},
-        {"_size": F.abs("_value")},
+        {"_size": F.when(F.abs("_value") < EXACT_BELOW, F.abs("_value")).otherwise(0.0)},
         {"_product": F.col("_size") * 100.0, "_spread": F.col("_size") * 134217729.0},
         {
             "_high": F.col("_spread") - (F.col("_spread") - F.col("_size")),
@@ -84,9 +89,15 @@ def with_two_digits(rows: DataFrame, value: Column, name: str) -> DataFrame:
         F.lit("."),
         F.lpad((F.col("_cents") % 100).cast("string"), 2, "0"),
     )
-    return staged.withColumn(
-        name, F.when(F.col("_value").isNull() | F.isnan("_value"), "nan").otherwise(shown)
-    ).drop(*[column for step in steps for column in step])
+    decimal = F.when(F.abs("_value") < 1e30, F.col("_value")).cast("decimal(38,6)")
+    sign = F.when(F.col("_value") < 0, "-").otherwise("")
+    large = (
+        F.when(F.col("_value").isNull() | F.isnan("_value"), "nan")
+        .when(F.abs("_value") == float("inf"), F.concat(sign, F.lit("inf")))
+        .when(F.abs("_value") >= 1e30, F.format_string("%.2f", "_value"))
+        .when(F.abs("_value") >= EXACT_BELOW, F.bround(decimal, 2).cast("decimal(38,2)").cast("string"))
+    )
+    return staged.withColumn(name, F.coalesce(large, shown)).drop(*[column for step in steps for column in step])
 
 
 def first_match(text: Column, pattern: str) -> Column:
