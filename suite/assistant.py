@@ -280,6 +280,21 @@ def assemble_context(spark, sf_dir):
     return responses.where("error IS NULL").select("question_id", F.md5("answer").alias("answer"))
 
 
+@query(
+    "answer_prompt",
+    _CHAT_SQL
+    + f""" SELECT q.question_id, md5(replace(replace('{wording.PROMPT_TEMPLATE}', '{{question}}', q.question),
+      '{{context}}', a.context)) AS prompt
+    FROM asked q JOIN answers a ON a.question_id = q.question_id WHERE q.question <> ''""",
+)
+def answer_prompt(spark, sf_dir):
+    responses = assistant.chat_response_rows(
+        chat_questions(spark, sf_dir), chat_documents(spark, sf_dir)
+    )
+    prompts = retrieval.answer_prompt(responses).where("prompt IS NOT NULL")
+    return prompts.select("question_id", F.md5("prompt").alias("prompt"))
+
+
 @query(
     "chat_response_rows",
     _CHAT_SQL

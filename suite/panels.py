@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from suite.catalog import query
 from suite.star import stored_cameras, stored_fact, stored_places
-from suite.views import AS_OF, DAY_START, WEEK_START, rollup_sql
+from suite.views import ALERTS_SQL, AS_OF, DAY_START, WEEK_START, alerts, rollup_sql
 from tidewatch.operators import dashboard
 
 _WEEK = f"TIMESTAMP '{WEEK_START}'"
@@ -210,3 +210,13 @@ def daily_trend(spark, sf_dir):
 def incident_answer(spark, sf_dir):
     fact = stored_fact(spark, sf_dir)
     return dashboard.incidents_of_day(fact, stored_places(spark, sf_dir), DAY_START[:10])
+
+
+@query(
+    "bronze_viewer",
+    f"""WITH {ALERTS_SQL} SELECT event_time, camera_id, score, evidence_url FROM alerts
+    WHERE CAST(event_time AS DATE) BETWEEN DATE '2024-01-14' AND DATE '2024-01-20'
+    ORDER BY event_time DESC, camera_id, score, evidence_url NULLS FIRST LIMIT 100""",
+)
+def bronze_viewer(spark, sf_dir):
+    return dashboard.newest_alerts(alerts(spark, sf_dir), "2024-01-14", "2024-01-20")

@@ -163,3 +163,12 @@ def test_create_or_append_by_name(spark, tmp_path, name):
     tables.create_or_append(first, name, "s string, n int", path=str(tmp_path / name))
     tables.create_or_append(first.select("s", "n"), name)
     assert [tuple(r) for r in spark.table(name).collect()] == [("a", 1)] * 2
+
+
+def test_unread_files_are_named(spark, tmp_path):
+    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "t" / "a.parquet"))
+    (tmp_path / "t" / "bad.parquet").write_bytes(b"no parquet at all")
+    rows = tables.read_parquet_tree(spark, str(tmp_path / "t"), "id long")
+    assert rows.count() == 5
+    named = [r.path for r in tables.unread_files(spark, str(tmp_path / "t"), rows).collect()]
+    assert [p.rsplit("/", 1)[1] for p in named] == ["bad.parquet"]

@@ -23,6 +23,14 @@ UNKNOWN = {
 }
 NOTHING_FOUND = "Hệ thống không tìm thấy dữ liệu nào phù hợp với yêu cầu của bạn."
 RETRIEVAL_HEADING = "Kết quả truy xuất:\n"
+PROMPT_TEMPLATE = (
+    "Bạn là Trợ lý Giám sát An ninh. Hãy trả lời câu hỏi dựa trên các ngữ cảnh sau.\n"
+    "Nếu dữ liệu có số liệu cụ thể (score, camera ID, thời gian), hãy trích dẫn chính xác.\n"
+    "Câu hỏi: {question}\n\nNgữ cảnh:\n{context}\n\n"
+    "Trả lời chi tiết bằng tiếng Việt, tập trung vào các sự kiện bạo lực được ghi nhận.  "
+    "Nếu câu hỏi không liên quan đến dữ liệu, hãy trả lời rằng bạn chỉ có thể hỗ trợ các câu hỏi "
+    "liên quan đến giám sát an ninh."
+)
 BLANK_QUESTION = "Vui lòng nhập câu hỏi"
 
 # What a question may name.

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import keys
 from tidewatch.functions.times import before, moment
+from tidewatch.operators.ingest import prune_dates
 from tidewatch.operators.star import violent_windows
 
 When = str | dt.datetime | Column | None
@@ -170,3 +171,15 @@ def order_rank(rows: DataFrame, major: str, minor: str, name: str = "position")
         .withColumn(name, F.col("_before") + F.row_number().over(inside))
         .drop("_before")
     )
+
+
+def newest_alerts(
+    bronze: DataFrame, first: str | None = None, last: str | None = None, most: int = 100
+) -> DataFrame:
+    """The ``most`` newest raw alerts of a range of dates: time, camera, risk, evidence.
+
+    Each task hands on no more than ``most`` rows. Equal times are in the order of the
+    camera and of the other columns; rows without a time come last.
+    """
+    shown = prune_dates(bronze, first, last).select("event_time", "camera_id", "score", "evidence_url")
+    return shown.orderBy(F.desc_nulls_last("event_time"), "camera_id", "score", "evidence_url").limit(most)

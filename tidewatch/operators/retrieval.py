@@ -169,3 +169,13 @@ def assemble_context(
             "data_sources": F.coalesce("data_sources", none),
         }
     )
+
+
+def answer_prompt(responses: DataFrame) -> DataFrame:
+    """Add ``prompt``: question and context in one text for a language model.
+
+    NULL where nothing was found, or nothing asked.
+    """
+    context = wording.bulleted(F.transform("data_sources", lambda h: h["text"]))
+    filled = wording.fill(wording.PROMPT_TEMPLATE, {"question": F.col("question"), "context": context})
+    return responses.withColumn("prompt", F.when(F.size("data_sources") > 0, filled))

@@ -16,7 +16,10 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def read_parquet_tree(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """All files below ``path`` whose name contains ``.parquet``; unreadable ones are skipped."""
+    """All files below ``path`` whose name contains ``.parquet``; unreadable ones are skipped.
+
+    :func:`unread_files` names those.
+    """
     reader = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet*")
@@ -116,3 +119,19 @@ def add_missing_columns(df: DataFrame, name: str) -> None:
 def read_merged(spark: SparkSession, *paths: str) -> DataFrame:
     """Parquet written under several versions of a layout, as their union by name."""
     return spark.read.option("mergeSchema", True).parquet(*paths)
+
+
+def unread_files(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """Paths of the files below ``path`` that gave none of ``rows``: unreadable or empty ones.
+
+    ``rows`` come from :func:`read_parquet_tree`, which passes over what it cannot read.
+    """
+    there = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet*")
+        .load(path)
+        .select("path")
+    )
+    read = rows.select(rows["_metadata.file_path"].alias("path")).distinct()
+    return there.join(read, "path", "left_anti")
