@@ -294,6 +294,8 @@ def test_stages_keep_the_layout(spark, tmp_path):
     rows += [(100, None, None, None, None), (101, "", "de", "s0", 0), (102, rows[4][1], "en", "s1", 0), rows[7], (None, body(900), "en", "s2", 1)]
     layout = "doc_id long, text string, lang string, source string, n_chars long"
     frame = spark.createDataFrame(rows, layout)
+    own = ("kept", "n_lines", "n_dropped", "row", "counts", "component", "copies", "size", "doc")
+    frame = frame.withColumns({name: F.concat(F.lit(f"{name} "), F.col("doc_id").cast("string")) for name in own})
     spark.createDataFrame([(n, 1, 0) for n in range(60)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     frame.write.parquet(str(tmp_path / "documents.parquet"))
     docs, sizes = frame, []
@@ -302,6 +304,7 @@ def test_stages_keep_the_layout(spark, tmp_path):
         assert made.columns == frame.columns
         docs = corpus_pipeline.materialize(made, "test-stage")
         sizes.append(docs.count())
+        assert docs.where(F.coalesce(*[F.col(name) != F.concat(F.lit(f"{name} "), F.col("doc_id").cast("string")) for name in own])).count() == 0
     assert sizes[0] == sizes[1] == 63 and sizes[2] <= sizes[1]
     assert docs.where(F.col("text").contains(line)).select("doc_id").distinct().count() <= 1
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
