@@ -1,7 +1,7 @@
 """The training-data pipeline: quality rules, line dedup, near dedup, mixing, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept. All
-but the last return the columns of ``documents``. Null texts have no words and fail the
+but the last return the columns of ``documents``, further ones too, whatever their names. Null texts have no words and fail the
 quality rules; a null id is one document; an empty table gives no rows.
 """
 
@@ -27,16 +27,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     cutoffs = materialize(
         quality.fit_cutoffs(measured, spark.read.parquet(f"{sf_dir}/labels.parquet")), "pipeline-cutoffs"
     )
-    judged = quality.judge(docs.withColumn("__counts", counts), cutoffs, counts="__counts", stratum=F.col("lang"))
-    return judged.where("kept").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), counts.alias("counts"))
+    judged = quality.judge(rows, cutoffs, counts="counts", stratum=F.col("row.lang"))
+    return judged.where("kept").select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that an earlier one holds; ``n_chars`` follows the text."""
-    kept = linededup.dedup_lines(docs)
+    kept = linededup.dedup_lines(docs.select("doc_id", "text", F.struct(*docs.columns).alias("row")))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return kept.select(*[new.get(name, F.col(f"row.{name}")) for name in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
