@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -175,6 +176,8 @@ def test_a_rerun_of_a_date_changes_nothing(spark, tmp_path, name, width):
 
 def test_withdrawn_alerts_go(spark, tmp_path, name):
     names = tables(spark, tmp_path, name)
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(shared.iterdir())
     days = [dt.datetime(2025, 1, d, 10) for d in (1, 2, 3)]
     rows = bronze(spark, *({"event_time": day, "is_violent": True} for day in days))
     build_gold(spark, rows, names)
@@ -191,6 +194,7 @@ def test_withdrawn_alerts_go(spark, tmp_path, name):
     gone = rows.where(F.col("event_time") == days[2]).select("camera_id", "event_time")
     assert build_gold(spark, rows, names, first="2025-01-03", last="2025-01-03", retractions=gone)
     assert dates() == [["20250101", "20250102"], ["2025-01-01"]]
+    assert set(shared.iterdir()) == before
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 

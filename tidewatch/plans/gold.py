@@ -11,7 +11,7 @@ from tidewatch import schemas
 from tidewatch.operators import star
 from tidewatch.operators.ingest import soft_delete
 from tidewatch.operators.rollup import rollup_tumbling
-from tidewatch.session import materialize
+from tidewatch.session import materialize, remove, shared_dir
 from tidewatch.sources import tables
 
 
@@ -83,8 +83,8 @@ def build_gold(
 
     Windows that start in the dates ``first`` to ``last`` are computed, without the
     alerts that ``retractions`` (camera_id, event_time) withdraw. The rollup is written
-    once, to ``work_path`` or a fresh shared folder, and the five tables read their
-    columns from it. Fact and retrieval rows replace all dates of that range, also those
+    once, to ``work_path`` or a shared folder that is removed at the end, and the five
+    tables read their columns from it. Fact and retrieval rows replace all dates of that range, also those
     that have no rows any more, so a rerun changes nothing, late rows are taken in and
     withdrawn ones go; without a bound the range is open. ``append`` adds rows blindly
     instead. Dimensions gain the keys they lack.
@@ -93,7 +93,8 @@ def build_gold(
     if retractions is not None:
         rows = soft_delete(rows, retractions)
     windows = windows_of_dates(rollup_tumbling(rows, width), first, last)
-    keyed = materialize(star.with_keys(windows, full_grain_id), "rollup", work_path)
+    work = work_path or shared_dir(spark, "rollup")
+    keyed = materialize(star.with_keys(windows, full_grain_id), "rollup", work)
     bounds = [text.replace("-", "") if text else None for text in (first, last)]
     targets = [
         (name, part, layout, tables.partition_values(spark, name, part))
@@ -103,6 +104,8 @@ def build_gold(
         )
     ]
     if keyed.isEmpty() and (append or not any(values for *_, values in targets)):
+        if work_path is None:
+            remove(spark, work)
         return False
     dimensions = (
         (names.time, schemas.DIM_TIME, star.time_rows(keyed), "time_key"),
@@ -129,4 +132,6 @@ def build_gold(
             day = value.replace("-", "")
             if (low is None or day >= low) and (high is None or day <= high):
                 tables.clear_partition(spark, name, part, value)
+    if work_path is None:
+        remove(spark, work)
     return True

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch import schemas
-from tidewatch.session import shared_dir
+from tidewatch.session import remove, shared_dir
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -91,6 +91,7 @@ def overwrite_partitions(df: DataFrame, name: str) -> None:
     where = name if "." in name else f"{spark.catalog.currentDatabase()}.{name}"
     own.read.schema(rows.schema).parquet(staged).write.mode("overwrite").insertInto(where)
     spark.catalog.refreshTable(name)
+    remove(spark, staged)
 
 
 def partition_values(spark: SparkSession, name: str, part: str) -> set[str]:
