@@ -3,8 +3,9 @@
 The keys of repeated lines are dealt over shards by their hash. A shard is a minimal
 perfect hash (a cascade of bit arrays, where a key takes the rank of the first bit it has
 alone) and three arrays in its order: fingerprint, number of documents, and the smallest
-document. Documents send the hashes of their lines to the shards; lines themselves never
-move, and what a shard cannot have seen is told by its fingerprint.
+document. Documents send the hashes of their lines to the shards, and what a shard cannot
+have seen is told by its fingerprint. Lines are never joined; each text is shuffled once,
+to meet the hashes that it loses.
 """
 
 from __future__ import annotations
