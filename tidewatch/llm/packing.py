@@ -23,7 +23,7 @@ from tidewatch.session import materialize
 RANK_PARTS = 1024
 
 #: Words whose ids a worker remembers before it starts afresh.
-KNOWN_WORDS = 800_000
+KNOWN_WORDS = 250_000
 
 PLAN = "length int, first long, last long, sequence long, each long, offset long"
 
