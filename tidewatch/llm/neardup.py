@@ -31,7 +31,7 @@ BLOCK = 256
 NO_ID = -(2**63)
 
 #: Word hashes a worker remembers before it starts afresh.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 100_000
 
 
 class WordHashes(dict):
