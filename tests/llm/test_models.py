@@ -284,6 +284,24 @@ def test_neighbours(spark, monkeypatch):
     assert ann.search(ann.build_index(empty, most=6), empty).count() == 0
 
 
+def test_neighbours_in_a_tight_group(spark):
+    """Near copies whose similarities differ by less than floats can tell, a third of the shard."""
+    rng = np.random.default_rng(1)
+    centre = rng.normal(size=64)
+    vectors = np.concatenate([rng.normal(size=(1800, 64)), centre + 3e-4 * rng.normal(size=(900, 64))])
+    rows = [(n, [float(x) for x in v]) for n, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "id long, vector array<double>")
+    queries = [r for r in rows if r[0] >= 1800 and r[0] % 10 == 0]
+    found = ann.search(ann.build_index(frame, most=6), frame.where("id >= 1800 and id % 10 = 0"), k=5).collect()
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    hits = 0
+    for q, _ in queries:
+        far = ((unit - unit[q]) ** 2).sum(axis=1)
+        far[q] = np.inf
+        hits += len(set(np.argsort(far)[:5]) & {r.id for r in found if r.query_id == q})
+    assert hits >= 0.95 * 5 * len(queries)
+
+
 # The pipeline
 
 

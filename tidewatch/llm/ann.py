@@ -3,7 +3,8 @@
 Distinct vectors are dealt over shards by hash. A shard's graph has layers; each vector is
 in layers 0 to a height drawn from a hash, linked with near vectors that lie in different
 directions. Graphs are rows of flat arrays. Each block of queries walks each shard's graph,
-all queries of the block at a time, and the shards' finds are merged.
+all queries of the block at a time, and the shards' finds are merged. All similarities are
+doubles, since among near copies those in floats are noise.
 """
 
 from __future__ import annotations
@@ -100,7 +101,7 @@ def link_layer(unit: np.ndarray) -> np.ndarray:
 
 def build_graph(vectors: np.ndarray) -> dict:
     """Layers of a graph over the rows of ``vectors``: nodes and, per node, links to nodes."""
-    unit = (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     top = heights(len(vectors))
     sizes, nodes, links = [], [], []
     for layer in range(int(top.max(initial=0)) + 1):
@@ -129,7 +130,7 @@ def walk(unit: np.ndarray, nodes: np.ndarray, links: np.ndarray, queries: np.nda
     place[nodes] = np.arange(len(nodes), dtype=np.int32)
     seen = np.zeros((many, len(nodes)), bool)
     held = np.full((many, beam), -1, np.int32)
-    value = np.full((many, beam), -np.inf, np.float32)
+    value = np.full((many, beam), -np.inf)
     opened = np.ones((many, beam), bool)
     width = min(beam, starts.shape[1])
     held[:, :width] = starts[:, :width]
@@ -154,7 +155,7 @@ def walk(unit: np.ndarray, nodes: np.ndarray, links: np.ndarray, queries: np.nda
         new = ~seen[row, place[node]]
         row, node = row[new], node[new]
         seen[row, place[node]] = True
-        gained = np.full((len(active), near.shape[1]), -np.inf, np.float32)
+        gained = np.full((len(active), near.shape[1]), -np.inf)
         which = np.full((len(active), near.shape[1]), -1, np.int32)
         if len(row):
             local = np.searchsorted(active, row)
@@ -170,11 +171,11 @@ def walk(unit: np.ndarray, nodes: np.ndarray, links: np.ndarray, queries: np.nda
     return held, value
 
 
-def search_graph(graph: dict, queries: np.ndarray, keep: int) -> np.ndarray:
-    """For each query the nodes found, best first, -1 where there are fewer."""
+def search_graph(graph: dict, queries: np.ndarray) -> np.ndarray:
+    """For each query the nodes of its whole beam, -1 where there are fewer."""
     vectors = graph["vectors"]
-    unit = (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
-    asked = (queries / np.linalg.norm(queries, axis=1, keepdims=True)).astype(np.float32)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    asked = queries / np.linalg.norm(queries, axis=1, keepdims=True)
     ends = np.cumsum(graph["layer_sizes"])
     layers = [slice(end - size, end) for end, size in zip(ends, graph["layer_sizes"], strict=True)]
     starts = np.repeat(graph["layer_nodes"][layers[-1]][:1][None, :], len(asked), axis=0)
@@ -185,7 +186,7 @@ def search_graph(graph: dict, queries: np.ndarray, keep: int) -> np.ndarray:
         )
         order = np.argsort(-value, axis=1, kind="stable")
         starts = np.take_along_axis(held, order, axis=1)
-    return starts[:, :keep]
+    return starts
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -246,6 +247,20 @@ def unpack(row: dict) -> dict:
     }
 
 
+def nearest_ids(graph: dict, nodes: np.ndarray, scores: np.ndarray, own: int, k: int) -> list[tuple[int, float]]:
+    """The ``k`` best (id, score) of scored nodes by (score, smallest id), each id once, without ``own``."""
+    first, counts = graph["ids_from"][nodes], graph["ids_from"][nodes + 1] - graph["ids_from"][nodes]
+    within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    ids, scores = graph["ids"][np.repeat(first, counts) + within], np.repeat(scores, counts)
+    best: dict[int, float] = {}
+    for at in np.lexsort((ids, -scores)):
+        if ids[at] != own:
+            best.setdefault(int(ids[at]), float(scores[at]))
+        if len(best) == k:
+            break
+    return list(best.items())
+
+
 def search(index: DataFrame, queries: DataFrame, *, k: int = 5) -> DataFrame:
     """Rows (query_id, rank, id, score): the ``k`` nearest found of each query (id, vector).
 
@@ -267,15 +282,13 @@ def search(index: DataFrame, queries: DataFrame, *, k: int = 5) -> DataFrame:
             return pd.DataFrame({"query_id": [], "id": [], "score": []}).astype({"query_id": "int64", "id": "int64"})
         made = unpack({name.removeprefix("of_"): value for name, value in graph.iloc[0].items()})
         vectors = np.stack(asked["vector"].to_numpy()).astype(np.float64)
-        found = search_graph(made, vectors, k + 1)
+        found = search_graph(made, vectors)
         lengths = np.linalg.norm(made["vectors"], axis=1)
         rows = []
         for query, vector, nodes in zip(asked["id"], vectors, found, strict=True):
             nodes = nodes[nodes >= 0]
             scores = made["vectors"][nodes] @ vector / (lengths[nodes] * np.linalg.norm(vector))
-            for node, score in zip(nodes, scores, strict=True):
-                ids = made["ids"][made["ids_from"][node] : made["ids_from"][node + 1]]
-                rows += [(query, other, score) for other in ids if other != query]
+            rows += [(query, other, score) for other, score in nearest_ids(made, nodes, scores, query, k)]
         return pd.DataFrame(rows, columns=["query_id", "id", "score"])
 
     keys = ["dim", "shard", "block"]
