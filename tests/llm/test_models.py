@@ -243,6 +243,22 @@ def test_url_words_are_learned(spark):
     assert got["rivergarden.net"].words == ["river", "garden"] and got["rivergarden.net"].verdict == "allow"
 
 
+def test_rare_unwanted_hosts_stay_blocked(spark):
+    """Unwanted hosts are a thousandth of the pages and the paths vary."""
+    rng = np.random.default_rng(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    name = lambda n: "".join(letters[n // 26**i % 26] for i in range(4))
+    weights = 1 / np.arange(1, 50_001)
+    picks = rng.choice(50_000, size=(30_000, 4), p=weights / weights.sum())
+    hosts = [f"www.site-{name(int(n))}.org" for n in rng.integers(0, 2000, 30_000)]
+    hosts[:30] = [f"www.casino-{name(n)}.org" for n in range(30)]
+    rows = [(n, f"http://{h}/" + "/".join(name(int(t)) for t in p)) for n, (h, p) in enumerate(zip(hosts, picks, strict=True))]
+    frame = spark.createDataFrame(rows, "page_id long, url string")
+    blocked = {r.page for r in urls.judge_pages(frame, []).where("verdict = 'block'").collect()}
+    assert len([n for n in blocked if n < 30]) >= 28
+    assert len([n for n in blocked if n >= 30]) <= 30
+
+
 # Neighbours
 
 

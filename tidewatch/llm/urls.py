@@ -25,6 +25,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Buckets of the classifier.
 BUCKETS = 1 << 16
 
+#: Counts that smoothing adds to a class, spread over the buckets by their share of all tokens.
+SMOOTHING = 1.0
+
 #: The longest word that Viterbi considers, in characters.
 LONGEST = 20
 
@@ -190,19 +193,23 @@ def buckets(words: Column, path: Column) -> Column:
 def train(tokens: DataFrame) -> tuple[float, np.ndarray]:
     """Prior and weights of multinomial naive Bayes over all rows (blocked, buckets).
 
-    Weights are the log odds of a bucket for blocked pages, with one added to each count of
-    the buckets that any page has; others weigh nothing. The driver gets two counts per
-    bucket, ``BUCKETS`` of them.
+    Weights are the log odds of a bucket for blocked pages; buckets that no page has weigh
+    nothing. Counts are smoothed by ``SMOOTHING`` times the bucket's share of all tokens, so
+    that a class of few pages is drawn towards all pages and not flattened. The driver gets
+    two counts per bucket, ``BUCKETS`` of them.
     """
     pages = {r.blocked: r.n for r in tokens.groupBy("blocked").agg(F.count("*").alias("n")).collect()}
     counts = np.zeros((2, BUCKETS))
     seen = tokens.select("blocked", F.explode("buckets").alias("bucket"))
     for row in seen.groupBy("blocked", "bucket").agg(F.count("*").alias("n")).collect():
         counts[int(row.blocked), row.bucket] += row.n
-    held = counts.sum(axis=0) > 0
-    shares = np.log(counts + 1) - np.log(counts.sum(axis=1, keepdims=True) + held.sum() + 1)
     prior = math.log((pages.get(True, 0) + 1) / (pages.get(False, 0) + 1))
-    return prior, np.where(held, shares[1] - shares[0], 0.0)
+    held = counts.sum(axis=0) > 0
+    smooth = counts[:, held] + SMOOTHING * counts[:, held].sum(axis=0) / max(1.0, counts.sum())
+    shares = np.log(smooth) - np.log(counts.sum(axis=1, keepdims=True) + SMOOTHING)
+    weights = np.zeros(BUCKETS)
+    weights[held] = shares[1] - shares[0]
+    return prior, weights
 
 
 def judge_pages(
