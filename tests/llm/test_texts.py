@@ -215,6 +215,26 @@ def test_linked_secrets(spark):
     }
 
 
+def test_weak_parts_beside_long_secrets(spark):
+    """A long part is met wherever it lies in a scope, not only where it starts."""
+    rows, want = [], {}
+    for n, size in enumerate((100, 300, 600, 5000)):
+        body = "q" * size
+        rows.append((10 * n, f"token={body} client_id=web7"))
+        want[10 * n] = [("assign", 0, 6 + size), ("client", 7 + size, 21 + size)]
+        rows.append((10 * n + 1, f"https://db.example.org token={body}"))
+        want[10 * n + 1] = [("endpoint", 0, 22), ("assign", 23, 29 + size)]
+        rows.append((10 * n + 2, f"token={body}{' z' * 150} client_id=web7"))
+        want[10 * n + 2] = [("assign", 0, 6 + size)]
+        tail = "Ab3dEf6hIj9lMn2pQr5tUv8x"
+        rows.append((10 * n + 3, f"token={body}.{tail} login=bob1 https://db.example.org"))
+        end = 7 + size + len(tail)
+        want[10 * n + 3] = [("assign", 0, end), ("client", end + 1, end + 11), ("endpoint", end + 12, end + 34)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc: [(secrets.KINDS[s.kind].name, s.start, s.end) for s in r.spans] for r in secrets.scan(frame).collect()}
+    assert spans == want
+
+
 def test_pieces(docs, rows):
     encode = Tokenizer.from_file(TOKENIZER).encode
     want = {

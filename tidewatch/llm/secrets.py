@@ -117,7 +117,8 @@ def linked(found: DataFrame, *, scope: int = SCOPE) -> DataFrame:
     A client name or an endpoint needs a secret that is one by itself; an opaque value
     needs an id (an access key or a client name) and an endpoint, or an access key alone.
     An opaque value that overlaps a secret is that secret. Parts meet in bins as long as a
-    scope; within a bin matches of a kind do not overlap, so a bin holds few.
+    scope, in all that they reach; within a bin matches of a kind do not overlap, so a bin
+    holds few, and pairs that meet in several are taken together.
     """
     key = ["doc", "digest", "copy"]
     weak = found.where(F.col("kind").isin(_numbers(weak=True)))
@@ -131,7 +132,7 @@ def linked(found: DataFrame, *, scope: int = SCOPE) -> DataFrame:
     )
     other = found.select(
         *[F.col(c).alias(f"o_{c}") for c in (*key, "kind", "start", "end")],
-    ).withColumn("o_bin", F.floor(F.col("o_start") / scope))
+    ).withColumn("o_bin", F.explode(F.sequence(F.floor(F.col("o_start") / scope), F.floor((F.col("o_end") - 1) / scope))))
     near = (
         F.col("doc").eqNullSafe(F.col("o_doc"))
         & (F.col("digest") == F.col("o_digest"))
