@@ -172,6 +172,53 @@ def test_licenses_equal_plain_dice(spark):
     assert [(x.license, x.dice, x.unit, x.number) for x in exact] == [("MIT", 1.0, "line", 1)]
 
 
+def test_notices_inside_lines_and_blocks(spark):
+    header = [
+        'Licensed under the Apache License, Version 2.0 (the "License");', "you may not use this file except in compliance with the License.",
+        "You may obtain a copy of the License at", "", "    http://www.apache.org/licenses/LICENSE-2.0", "",
+        "Unless required by applicable law or agreed to in writing, software", 'distributed under the License is distributed on an "AS IS" BASIS,',
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+        "See the License for the specific language governing permissions and", "limitations under the License.",
+    ]
+    filler = " ".join(f"word{n}" for n in range(3000))
+    bsd = {n: licenses.TEMPLATES[f"BSD-{n}-Clause"][2] for n in (2, 3, 4)}
+    cases = [
+        ("This file is part of Foo. Licensed under the Apache License, Version 2.0. See LICENSE for details.", {"Apache-2.0"}),
+        ("/*\n * Copyright 2020 A. B.\n *\n" + "".join(f" * {x}\n" for x in header) + " */\nint main() {}", {"Apache-2.0"}),
+        ("".join(f"rem {x}\n" for x in header), {"Apache-2.0"}),
+        (f"{filler} {licenses.TEMPLATES['ISC'][2]} {filler} licensed under CC BY-NC-SA 3.0. {filler}", {"ISC", "CC-BY-NC-SA-3.0"}),
+        (f"x {filler} This work is licensed under the GNU Lesser General Public License, version 2.1. {filler}", {"LGPL-2.1"}),
+        (f"{filler} {licenses.TEMPLATES['AGPL-3.0'][1]} {filler}", {"AGPL-3.0"}),
+        *[(f"{filler} {text} {filler}", {f"BSD-{n}-Clause"}) for n, text in bsd.items()],
+        ("It is not under the GNU General Public License, version 3, they say.", set()),
+        (filler, set()), ("", set()), (None, set()),
+    ]
+    frame = spark.createDataFrame([(n, t) for n, (t, _) in enumerate(cases)], "n int, text string")
+    got = {r.n: {x.license for x in r.f} for r in frame.select("n", licenses.scan(F.col("text"), everywhere=True).alias("f")).collect()}
+    assert got == {n: want for n, (_, want) in enumerate(cases)}
+
+
+def test_windows_equal_all_windows():
+    """The best window of a text is the best of all windows counted plainly."""
+    from collections import Counter
+
+    rng = random.Random(8)
+    notices = {"a": ["p q r p q s t u"], "b": ["q r q r v w"]}
+    templates = licenses.Templates(notices, 0.8)
+    for _ in range(300):
+        words = [rng.choice("pqrstuvw") for _ in range(5)] + rng.choice(["p q r p q s t u", "q r q r v w", "x"]).split()
+        words[rng.randrange(len(words))] = rng.choice("pqx")
+        words += [rng.choice("pqrstuvw") for _ in range(5)]
+        pairs, best = list(zip(words, words[1:], strict=False)), 0
+        for texts in notices.values():
+            grams = licenses.bigrams(licenses.terms(texts[0]))
+            for i in range(len(pairs)):
+                for j in range(i + 1, len(pairs) + 1):
+                    best = max(best, 2 * (Counter(pairs[i:j]) & grams).total() / (j - i + grams.total()))
+        found = [dice for _, dice, _, _ in templates.windows(words)]
+        assert max(found, default=0) == (pytest.approx(best) if best >= 0.8 - 1e-12 else 0)
+
+
 # URL filters
 
 

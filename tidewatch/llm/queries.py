@@ -227,7 +227,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_licenses")
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = docs.select("doc_id", licenses.scan(F.col("text")).alias("found"))
+    found = docs.select("doc_id", licenses.scan(F.col("text"), everywhere=True).alias("found"))
     names = F.array_sort(F.array_distinct("found.license"))
     best = F.round(F.array_max("found.dice"), 9)
     return found.select(
