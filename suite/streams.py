@@ -17,9 +17,12 @@ from tidewatch.streaming import throttle as throttled
 
 HOUR = 3600.0
 
+#: Files of a slice of readings, and of a micro-batch.
+FILES = 8
+
 
 def ordered_files(spark, rows, time, write):
-    """Five files' worth of rows in time order, written one slice after the other."""
+    """Five slices of rows in time order, written one slice after the other."""
     path = shared_dir(spark, "slices")
     for since, until in zip(SLICES, SLICES[1:]):
         part = rows.where(F.col(time) >= since)
@@ -27,12 +30,22 @@ def ordered_files(spark, rows, time, write):
     return path
 
 
+def write_slice(rows, path):
+    """A slice as ``FILES`` files, each with a range of times.
+
+    Tasks end in any order, so only whole slices are batches in time order: where ranges
+    are empty, empty files fill the slice up.
+    """
+    parts = rows.repartitionByRange(FILES, "event_time").sortWithinPartitions("event_time")
+    parts.write.mode("append").parquet(path)
+    for _ in range(-len(rows.sparkSession.read.parquet(path).inputFiles()) % FILES):
+        rows.limit(0).coalesce(1).write.mode("append").parquet(path)
+
+
 def reading_stream(spark, sf_dir):
     rows = readings(spark, sf_dir)
-    path = ordered_files(
-        spark, rows, "event_time", lambda df, p: df.coalesce(1).write.mode("append").parquet(p)
-    )
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    path = ordered_files(spark, rows, "event_time", write_slice)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).parquet(path)
 
 
 def drained(spark, stream):
