@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import ann, licenses, linededup, mixing, neardup, packing, quality, secrets, toxicity, urls
+from tidewatch.llm import (
+    ann, licenses, linededup, mixing, neardup, packing, quality, resampling, secrets, tokens, toxicity, trie, urls,
+)
 from tidewatch.llm.text import word_count
 from tidewatch.session import materialize
 
@@ -261,3 +263,129 @@ def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = ann.build_index(rows, most=6)
     found = ann.search(index, rows.where(F.col("id") % 50 == 0), k=5)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+#: DuckDB has no CRC-32; :data:`CRC_SQL` makes one of a list of bytes.
+CRC_SQL = """
+    crc_table AS (
+      SELECT list(list_reduce([i] || [0, 0, 0, 0, 0, 0, 0, 0],
+                  lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS held
+      FROM (SELECT unnest(range(256)) AS i)
+    )"""
+
+
+def crc_sql(bytes_: str) -> str:
+    step = "lambda a, b: xor(a >> 8, held[1 + (xor(a, b) & 255)])"
+    return f"xor(list_reduce([4294967295] || {bytes_}, {step}), 4294967295)"
+
+
+@query(
+    "op11_prefix_trie",
+    f"""
+    WITH {CRC_SQL},
+    turns AS (
+      SELECT conv_id AS conv, row_number() OVER (
+               PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS nth,
+             coalesce(role, '') AS role, coalesce(text, '') AS text
+      FROM conversations WHERE conv_id IS NOT NULL
+    ),
+    sizes AS (
+      SELECT conv, conv - conv % 5 AS base, n,
+             {crc_sql("list_transform(string_split(conv::VARCHAR, ''), lambda c: ord(c)::BIGINT)")} % 9 AS h
+      FROM (SELECT conv, max(nth) AS n FROM turns GROUP BY conv), crc_table
+    ),
+    placed AS (
+      SELECT s.conv, s.base, s.h, least(s.h, coalesce(b.n, 0)) AS k, s.n FROM sizes s LEFT JOIN sizes b ON s.base = b.conv
+    ),
+    rebuilt AS (
+      SELECT p.conv, t.nth AS depth, t.role, t.text FROM placed p JOIN turns t ON t.conv = p.base AND t.nth <= p.h
+      UNION ALL
+      SELECT p.conv, t.nth - p.h + p.k, t.role, t.text FROM placed p JOIN turns t ON t.conv = p.conv AND t.nth > p.h
+    ),
+    prefixes AS (
+      SELECT conv, depth, octet_length(encode(text)) AS bytes, list({{'role': role, 'text': text}}) OVER (
+               PARTITION BY conv ORDER BY depth ROWS UNBOUNDED PRECEDING) AS path
+      FROM rebuilt
+      UNION ALL SELECT conv, 0, 0, [] FROM placed
+    ),
+    ways AS (SELECT *, min(conv) OVER (PARTITION BY path) AS node, depth = max(depth) OVER (PARTITION BY conv) AS ends FROM prefixes),
+    nodes AS (
+      SELECT node, depth, count(*) AS n_convs, (count(*) - 1) * max(bytes) AS own,
+             coalesce(string_agg(conv::VARCHAR, ',' ORDER BY conv) FILTER (ends), '') AS ended
+      FROM ways GROUP BY node, depth
+    ),
+    parents AS (
+      SELECT DISTINCT w.node, w.depth, u.node AS parent FROM ways w JOIN ways u ON u.conv = w.conv AND u.depth = w.depth - 1
+    ),
+    kids AS (SELECT parent AS node, depth - 1 AS depth, count(*) AS n FROM parents GROUP BY parent, depth),
+    below AS (
+      SELECT DISTINCT w.node, w.depth, u.node AS inner_node, u.depth AS inner_depth
+      FROM ways w JOIN ways u ON u.conv = w.conv AND u.depth >= w.depth
+    ),
+    sums AS (
+      SELECT b.node, b.depth, count(*) FILTER (k.n IS NULL) AS n_leaves, sum(n.own) AS saved
+      FROM below b JOIN nodes n ON n.node = b.inner_node AND n.depth = b.inner_depth
+      LEFT JOIN kids k ON k.node = b.inner_node AND k.depth = b.inner_depth
+      GROUP BY b.node, b.depth
+    )
+    SELECT n.node AS conv_id, n.depth::BIGINT AS depth, p.parent AS parent_conv_id, n.n_convs, coalesce(k.n, 0)::BIGINT AS n_children,
+           s.n_leaves, s.saved::BIGINT AS saved_tokens, sha256(n.ended) AS ends_sha256
+    FROM nodes n JOIN sums s USING (node, depth) LEFT JOIN parents p USING (node, depth) LEFT JOIN kids k USING (node, depth)
+    """,
+)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(trie.rebuild(table(spark, sf_dir, "conversations")))
+
+
+@query(
+    "op12_importance_resampling",
+    f"""
+    WITH {CRC_SQL},
+    texts AS (SELECT true AS wanted, item_id AS id, text FROM benchmark UNION ALL SELECT false, doc_id, text FROM documents),
+    words AS (
+      SELECT wanted, id, unnest(regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word
+      FROM texts
+    ),
+    spelled AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM words)),
+    bucketed AS (
+      SELECT word, {crc_sql("list_transform(range(len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)")} % 10000 AS bucket
+      FROM spelled, crc_table
+    ),
+    counts AS (
+      SELECT bucket, count(*) FILTER (wanted) AS t, count(*) FILTER (NOT wanted) AS s
+      FROM words JOIN bucketed USING (word) GROUP BY bucket
+    ),
+    gains AS (
+      SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+                                     / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain
+      FROM counts
+    ),
+    weighed AS (
+      SELECT id, count(*) AS n, sum(gain)::BIGINT AS weight FROM words JOIN bucketed USING (word) JOIN gains USING (bucket)
+      WHERE NOT wanted GROUP BY id
+    ),
+    scored AS (
+      SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + floor(-1000 * ln(-ln(
+               (('0x' || substr(sha256('2024:' || doc_id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+      FROM documents LEFT JOIN weighed ON id = doc_id
+    ),
+    ranked AS (
+      SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, 10 * count(*) OVER () // 100 AS drawn
+      FROM scored WHERE n_features >= 20
+    )
+    SELECT s.doc_id, s.n_features::BIGINT AS n_features, s.weight, s.score, CASE WHEN place <= drawn THEN place END AS rank
+    FROM scored s LEFT JOIN ranked USING (doc_id)
+    """,
+)
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("doc").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+@query("op13_token_counts")
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select(F.col("doc").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
