@@ -64,8 +64,19 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     Cuts the lineage in a way that outlives executors, and later readers still
     prune columns and push filters into the written files. A fresh folder is used
     unless ``path`` names one, which is overwritten: jobs that run again and again
-    should name one, so that nothing piles up.
+    should name one, so that nothing piles up. A fresh folder goes with the application,
+    or earlier by :func:`release`.
     """
-    target = path or shared_dir(df.sparkSession, name)
+    spark, target = df.sparkSession, path or shared_dir(df.sparkSession, name)
+    if not path:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(target)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     df.write.mode("overwrite").parquet(target)
-    return df.sparkSession.read.schema(df.schema).parquet(target)
+    written = spark.read.schema(df.schema).parquet(target)
+    written.written_to = target
+    return written
+
+
+def release(written: DataFrame) -> None:
+    """Delete the folder of a table that :func:`materialize` wrote, once nothing reads it any more."""
+    remove(written.sparkSession, written.written_to)
