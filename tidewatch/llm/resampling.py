@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators.positions import with_positions
-from tidewatch.session import materialize
+from tidewatch.session import materialize, release
 
 #: Words of the dictionary, and bytes of the longest: what bounds the broadcast. Payloads of
 #: the words beyond are computed where they stand, to the same effect.
@@ -114,10 +114,11 @@ class Scanner:
 
 
 def frequent_words(docs: DataFrame, text_col: str, most: int = DICTIONARY_WORDS) -> list[bytes]:
-    """The ``most`` most frequent words of all texts, ties in byte order, that are no longer than ``LONGEST_WORD``.
+    """Most frequent words of all texts, at most ``most``, none longer than ``LONGEST_WORD`` bytes.
 
-    Words are counted in each batch and then over all. The driver gets the words that are
-    kept, less than 3 MB.
+    Words are counted in each batch and then over all. A histogram of eighths of the counts'
+    logarithm gives the least class of counts whose words still fit with those above; so only
+    words that are kept reach the driver, less than 3 MB.
     """
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -131,8 +132,18 @@ def frequent_words(docs: DataFrame, text_col: str, most: int = DICTIONARY_WORDS)
             yield pd.DataFrame(rows, columns=["word", "n"])
 
     counted = docs.select(F.col(text_col).alias("text")).mapInPandas(count, "word binary, n long")
-    summed = counted.groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r.word) for r in summed.orderBy(F.desc("n"), "word").limit(most).collect()]
+    summed = materialize(
+        counted.groupBy("word").agg(F.sum("n").alias("n")).select("word", F.floor(8 * F.log2("n")).alias("class")), "word-counts"
+    )
+    left, least = most, None
+    for row in sorted(summed.groupBy("class").count().collect(), reverse=True):
+        left -= row["count"]
+        if left < 0:
+            break
+        least = row["class"]
+    kept = [] if least is None else [bytes(r.word) for r in summed.where(F.col("class") >= least).select("word").collect()]
+    release(summed)
+    return sorted(kept)
 
 
 def hashed(docs: DataFrame, keep: dict, dictionary: list[bytes], *, text_col: str, most_words: int, buckets: int) -> DataFrame:
