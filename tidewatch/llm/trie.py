@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.operators.positions import ROW_BITS, with_positions
-from tidewatch.session import materialize
+from tidewatch.session import materialize, release
 
 #: Arcs whose links one task call follows, and arcs that one window sums.
 PART = 1 << 15
@@ -168,7 +168,7 @@ def rank_list(arcs: DataFrame, count: int) -> DataFrame:
     chains = materialize(followed.where("head").select("arc", "target", "steps"), "chains")
     for _ in range(max(chains.count() - 1, 0).bit_length()):
         onto = chains.select(F.col("arc").alias("target"), F.col("target").alias("further"), F.col("steps").alias("more"))
-        chains = materialize(
+        former, chains = chains, materialize(
             chains.join(onto, "target", "left").select(
                 "arc",
                 F.when(F.col("target") < 0, -1).otherwise(F.col("further")).cast("long").alias("target"),
@@ -176,6 +176,7 @@ def rank_list(arcs: DataFrame, count: int) -> DataFrame:
             ),
             "chains",
         )
+        release(former)
     ends = chains.select(F.col("arc").alias("target"), F.col("steps").alias("more"))
     left = F.col("steps") + F.coalesce("more", F.lit(0))
     return followed.join(ends, "target", "left").withColumn("place", F.lit(count) - left).drop("target", "steps", "more", "head")
