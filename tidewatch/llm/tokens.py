@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidewatch.llm.packing import _byte_letters
-from tidewatch.session import materialize
+from tidewatch.session import materialize, release
 
 #: Characters that a text may have to be encoded whole, and of a chunk and the first overlap of longer ones.
 HUGE, CHUNK, OVERLAP = 16384, 8192, 256
@@ -221,16 +221,19 @@ def count_huge(texts: DataFrame, tokenizer: str) -> DataFrame:
     fails: at most ``log2(CHUNK / OVERLAP)`` times for those without any boundary. Rows of
     one key must have one text. No rows give no rows.
     """
-    found = None
-    todo = texts.withColumn("cuts", F.lit(None).cast(CUTS))
+    found, todo = None, texts.withColumn("cuts", F.lit(None).cast(CUTS))
     while True:
-        spliced = materialize(splices(encode_chunks(todo, tokenizer)), "token-splices")
+        chunks = materialize(encode_chunks(todo, tokenizer), "token-chunks")
+        spliced = materialize(splices(chunks), "token-splices")
+        release(chunks)
         counts = spliced.groupBy("key").agg(F.sum("tokens").alias("tokens"), F.count_if(F.isnull("tokens")).alias("open"))
         done = counts.where("open = 0").select("key", "tokens")
         found = done if found is None else found.unionByName(done)
         if not spliced.where("tokens IS NULL").limit(1).count():
             return found
-        todo = texts.join(materialize(wider(spliced), "token-cuts"), "key")
+        former, todo = todo, materialize(todo.drop("cuts").join(wider(spliced), "key"), "token-texts")
+        if hasattr(former, "written_to"):
+            release(former)
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
