@@ -232,3 +232,53 @@ def test_camera_pipeline(spark, tmp_path):
         (T0 + dt.timedelta(seconds=n)).isoformat() for n in (1, 6, 11, 16)
     ]
     assert {(r.score, r.ward, r.ai_timestamp) for r in got} == {(0.4, "w0", "then")}
+
+
+def hot_rows():
+    """A camera with half of all rows, beside quiet ones and one without a name."""
+    rows = [("hot", n * 0.3, n % 4 == 0) for n in range(900)]
+    rows += [(f"q{n % 9}" if n % 9 else None, n * 0.31, n % 5 == 0) for n in range(900)]
+    rows.sort(key=lambda r: r[1])
+    return [(c, T0 + dt.timedelta(seconds=s), v, n) for n, (c, s, v) in enumerate(rows)]
+
+
+def sliced(spark, folder, rows, files):
+    for number in range(files):
+        part = rows[number * len(rows) // files : (number + 1) * len(rows) // files]
+        spark.createDataFrame(part, EVENT).coalesce(1).write.mode("append").parquet(str(folder))
+    return spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).parquet(str(folder))
+
+
+@pytest.mark.parametrize("files, lateness", [(1, None), (2, None), (7, "2 minutes")])
+def test_hot_camera_in_any_split(spark, tmp_path, files, lateness):
+    rows = hot_rows()
+    stream = sliced(spark, tmp_path / "in", rows, files)
+    kept = throttle.stream_throttle(stream, tie="n", chunk_seconds=10, lateness=lateness)
+    parts = []
+
+    def sink(batch, _):
+        parts.extend(batch.select("camera_id", "n", F.spark_partition_id().alias("part")).collect())
+
+    run = kept.writeStream.foreachBatch(sink).option("checkpointLocation", str(tmp_path / "cp"))
+    run.trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r.n for r in parts) == sorted(greedy(rows))
+    assert len({r.part for r in parts if r.camera_id == "hot"}) > 1
+
+
+def test_state_of_silent_cameras_goes(spark, tmp_path):
+    rows = [(f"c{n}", T0 + dt.timedelta(seconds=n), True, n) for n in range(20)]
+    rows += [("late", T0 + dt.timedelta(hours=n), True, 100 + n) for n in range(1, 4)]
+    rows += [("late", T0 + dt.timedelta(hours=1), True, 200), ("c3", T0 + dt.timedelta(hours=3), False, 300)]
+    stream = sliced(spark, tmp_path / "in", rows[:20], 1)
+    for row in rows[20:]:
+        spark.createDataFrame([row], EVENT).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    kept = throttle.stream_throttle(stream, tie="n", lateness="1 minute")
+    run = (
+        kept.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    )
+    run.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in (json.loads(q.json) for q in run.recentProgress) if p["stateOperators"]]
+    assert max(held) >= 20 and held[-1] <= 4
+    # 200 comes two hours behind the stream and is left out
+    assert sorted(r.n for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [*range(20), 101, 102, 103, 300]

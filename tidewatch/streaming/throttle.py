@@ -1,25 +1,72 @@
 """Throttle on a stream: one kept time per camera as state.
 
-:func:`stream_throttle` keeps the state in Spark's state store and gives a stream
-that can be processed further; a camera's rows of one micro-batch meet in one
-task. :func:`throttle_batches` runs the chunked operator on every micro-batch and
-so also spreads a camera that sends a large share of all rows.
+:func:`stream_throttle` gives a stream that can be processed further. As in the batch
+operator only small summaries of a camera's time chunks meet in one task, so a camera that
+sends a large share of all rows is spread over tasks; its kept time lies in the state store
+until it can't matter any more. :func:`throttle_batches` runs the batch operator on every
+micro-batch.
 """
 
 from __future__ import annotations
 
-import warnings
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tidewatch.operators.throttle import ALERT_SECONDS, IDLE_SECONDS, next_kept, throttle
+from tidewatch.operators.throttle import ALERT_SECONDS, IDLE_SECONDS, _selection, _summaries, throttle
 from tidewatch.session import materialize
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+#: No name begins with an underscore: the state API hands rows over as named tuples.
+_SUMMARY = "camera string, chunk long, last timestamp, limits array<long>, exits array<long>"
+
+
+class KeptTimes(StatefulProcessor):
+    """State: the last kept time of a camera. Takes summaries of chunks, gives each chunk's incoming time."""
+
+    def __init__(self, forget_after: int | None):
+        self._forget_after = forget_after
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._kept = handle.getValueState("kept", "at long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        kept = before = self._kept.get()[0] if self._kept.exists() else None
+        chunks, entries = pd.concat(rows).sort_values("chunk"), []
+        for limits, exits in zip(chunks["limits"], chunks["exits"], strict=True):
+            entries.append(kept)
+            step = 0 if kept is None else bisect_left(limits, kept)
+            if step < len(limits):
+                kept = int(exits[step])
+        if kept != before:
+            self._kept.update((kept,))
+            if self._forget_after is not None:
+                self._handle.registerTimer(self._due(kept))
+        yield pd.DataFrame(
+            {"_key": key[0], "_chunk": chunks["chunk"].to_numpy(), "_entry": pd.array(entries, dtype="Int64")}
+        )
+
+    def _due(self, kept: int) -> int:
+        """Milliseconds of the watermark at which a kept time can't hold back any row that is still taken."""
+        return -(-(kept + self._forget_after) // 1000)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self._kept.exists() and self._due(self._kept.get()[0]) <= expiredTimerInfo.getExpiryTimeInMs():
+            self._kept.clear()
+        yield pd.DataFrame({"_key": [], "_chunk": [], "_entry": []}).astype({"_key": str, "_chunk": "int64", "_entry": "Int64"})
+
+    def close(self) -> None:
+        pass
+
 
 def stream_throttle(
     events: DataFrame,
@@ -29,44 +76,70 @@ def stream_throttle(
     tie: str | None = None,
     alert_seconds: float = ALERT_SECONDS,
     idle_seconds: float = IDLE_SECONDS,
+    chunk_seconds: float | None = None,
+    lateness: str | None = "1 hour",
 ) -> DataFrame:
     """Kept rows of a stream, the same as :func:`tidewatch.operators.throttle.throttle`.
 
-    Rows are sorted inside a micro-batch; across batches a camera's rows have to
-    arrive in time order, as they do when a camera is one broker partition. A row
-    older than the kept time counts as too early. A camera's rows of one
-    micro-batch are held at once: bound the batch (``maxOffsetsPerTrigger``,
-    ``maxFilesPerTrigger``) when catching up.
+    In each micro-batch (camera, chunk) groups are summarised, the summaries of a camera pass
+    its state in time order, and the groups select their rows. A group, a chunk of one camera
+    in one micro-batch, is what a task holds; chunks default to 12 idle intervals.
+
+    Rows are sorted inside a micro-batch; across batches a camera's rows have to arrive in
+    time order, as they do when a camera is one broker partition. A row older than the kept
+    time counts as too early. Chunks that lie wholly behind the newest row of the stream by
+    more than ``lateness`` are left out, and a camera's state goes once all rows that are
+    still taken are far enough from its kept time. Without ``lateness`` nothing is left out
+    and state stays. Rows without a time are dropped, those without a camera are one camera.
+    The state store has to be RocksDB's; it is set if the session has another.
     """
     short, long = round(alert_seconds * 1e6), round(idle_seconds * 1e6)
-    order = [time] + ([tie] if tie else [])
-
-    def keep(
-        _: tuple, parts: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        # Spark joins the groups' frames and pandas warns about all-NULL columns.
-        warnings.simplefilter("ignore", FutureWarning)
-        rows = pd.concat(parts).dropna(subset=[time]).sort_values(order, kind="stable")
-        if rows.empty:
-            return
-        at = rows[time].to_numpy().astype("datetime64[us]").astype(np.int64)
-        violent = rows[flag].fillna(False).to_numpy().astype(bool)
-        follow = next_kept(at, violent, np.zeros(len(at), dtype=np.int64), short, long)
-        chosen = []
-        row = 0
-        if state.exists:
-            early = at - np.where(violent, short, long) < state.get[0]
-            row = len(at) if early.all() else int(np.argmin(early))
-        while row < len(at):
-            chosen.append(row)
-            row = int(follow[row])
-        if chosen:
-            state.update((int(at[chosen[-1]]),))
-            yield rows.iloc[chosen]
-
-    return events.groupBy(key).applyInPandasWithState(
-        keep, events.schema, "kept long", "append", GroupStateTimeout.NoTimeout
+    if min(short, long) <= 0:
+        raise ValueError("intervals must be positive")
+    spark, names = events.sparkSession, events.columns
+    if spark.conf.get(_PROVIDER, None) != _ROCKS:
+        spark.conf.set(_PROVIDER, _ROCKS)
+    chunk_length = round((chunk_seconds or 12 * idle_seconds) * 1e6)
+    order = [(n, "ascending") for n in ("_at", *([tie] if tie else []))]
+    summarised, selected = _summaries(short, long, chunk_length, True), _selection(short, long, names)
+    at = F.unix_micros(time)
+    placed = events.where(F.col(time).isNotNull()).withColumns(
+        {
+            "_key": F.col(key).cast("string"),
+            "_chunk": F.floor(at / chunk_length),
+            "_at": at,
+            "_violent": F.coalesce(flag, F.lit(False)),
+        }
+    )
+
+    def summarise(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by(order).combine_chunks()
+        out = pa.Table.from_batches(summarised(iter(rows.to_batches())))
+        last = rows["_at"][-1:].cast(pa.timestamp("us", "UTC"))
+        return out.add_column(2, "last", last).rename_columns(["camera", "chunk", "last", "limits", "exits"])
+
+    def select(rows: pa.Table) -> pa.Table:
+        entry = rows.filter(pa.compute.is_null(rows["_at"]))
+        if not entry.num_rows:  # the chunk came too late
+            return rows.select(names).slice(0, 0)
+        sorted_ = rows.filter(pa.compute.is_valid(rows["_at"])).sort_by(order)
+        whole = pa.concat_tables([entry.slice(0, 1), sorted_]).combine_chunks()
+        return pa.Table.from_batches(selected(iter(whole.to_batches())), rows.select(names).schema)
+
+    summaries = (
+        placed.select("_key", "_chunk", "_at", "_violent", *([tie] if tie else []))
+        .groupBy("_key", "_chunk")
+        .applyInArrow(summarise, _SUMMARY)
+    )
+    forget_after = None
+    if lateness is not None:
+        summaries = summaries.withWatermark("last", lateness)
+        forget_after = max(short, long) + chunk_length
+    entries = summaries.groupBy("camera").transformWithStateInPandas(
+        KeptTimes(forget_after), "_key string, _chunk long, _entry long", "append", "none" if lateness is None else "eventTime"
     )
+    marked = placed.withColumn("_entry", F.lit(None).cast("long")).unionByName(entries, allowMissingColumns=True)
+    return marked.groupBy("_key", "_chunk").applyInArrow(select, T.StructType(events.schema.fields))
 
 
 def throttle_batches(
