@@ -184,9 +184,8 @@ def distinct_cameras(spark, sf_dir):
     FROM (SELECT DISTINCT camera_id FROM keyed) c""",
 )
 def sort_camera(spark, sf_dir):
-    """Numbered inside id prefixes, so no task sees all cameras."""
-    ids = distinct_cameras(spark, sf_dir).withColumn("prefix", F.substring("camera_id", 1, 6))
-    return dashboard.order_rank(ids, "prefix", "camera_id").drop("prefix")
+    """Numbered by ranges of ids, so no task sees all cameras."""
+    return dashboard.order_rank(distinct_cameras(spark, sf_dir), "camera_id", "camera_id")
 
 
 @query(

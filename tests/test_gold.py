@@ -267,3 +267,10 @@ def test_order_rank(spark):
     rows = spark.createDataFrame([(2, "b"), (1, "z"), (2, "a"), (3, "c")], "t int, id string")
     ranked = {r.id: r.position for r in dashboard.order_rank(rows, "t", "id").collect()}
     assert ranked == {"z": 1, "a": 2, "b": 3, "c": 4}
+
+
+def test_order_rank_keeps_nulls_and_skewed_keys(spark):
+    rows = [(None, "n"), (None, None)] + [(7, f"camera-of-one-prefix-{n:05}") for n in range(3000)] + [(8, "z")]
+    got = dashboard.order_rank(spark.createDataFrame(rows, "t int, id string").repartition(5), "t", "id").collect()
+    assert [r.id for r in sorted(got, key=lambda r: r.position)] == [None, "n", *sorted(i for t, i in rows if t == 7), "z"]
+    assert sorted(r.position for r in got) == list(range(1, 3004))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions import keys
 from tidewatch.functions.times import before, moment
 from tidewatch.operators.ingest import prune_dates
+from tidewatch.operators.positions import with_positions
 from tidewatch.operators.star import violent_windows
 
 When = str | dt.datetime | Column | None
@@ -153,24 +154,13 @@ def incidents_of_day(fact: DataFrame, locations: DataFrame, day: str) -> DataFra
 
 
 def order_rank(rows: DataFrame, major: str, minor: str, name: str = "position") -> DataFrame:
-    """Position of each row under (major, minor), without sorting in one task.
+    """Position of each row under (major, minor), from 1; nulls come first.
 
-    Rows are counted per value of ``major``, the counts are accumulated, and rows
-    are numbered only inside their own value. The one-task window runs over the
-    distinct majors, so ``major`` has to be bounded by something other than the
-    number of rows, as window starts are by the calendar.
+    Rows are sorted by ranges, so neither a window over all rows nor one over a hot major is
+    needed. Rows that agree in both are numbered in any order.
     """
-    counts = rows.groupBy(major).agg(F.count("*").alias("_n"))
-    running = Window.orderBy(major).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        major, F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before")
-    )
-    inside = Window.partitionBy(major).orderBy(minor)
-    return (
-        rows.join(offsets, major)
-        .withColumn(name, F.col("_before") + F.row_number().over(inside))
-        .drop("_before")
-    )
+    placed = with_positions(rows, [F.asc_nulls_first(major), F.asc_nulls_first(minor)], name)
+    return placed.withColumn(name, F.col(name) + 1)
 
 
 def newest_alerts(
