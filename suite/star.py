@@ -8,6 +8,7 @@ from suite.catalog import query, rounded
 from suite.views import alerts, rollup_sql, table
 from tidewatch import schemas
 from tidewatch.operators import rollup, star
+from tidewatch.plans import increments
 from tidewatch.session import materialize, shared_dir
 
 _ROLLUP_OUT = """SELECT window_start, camera_id, city, district, ward, street, rtsp_url,
@@ -261,3 +262,33 @@ def filter_violent_windows(spark, sf_dir):
 )
 def project_rag_events(spark, sf_dir):
     return star.retrieval_events(keyed_of(spark, sf_dir))
+
+
+#: The rollup of all alerts that were not withdrawn.
+_KEPT_SQL = rollup_sql().replace("  FROM alerts\n), rollup", "  FROM alerts WHERE NOT (is_violent AND score < 0.2)\n), rollup")
+MIDDLE = "2024-01-16 00:00:00"
+
+
+def incremental_states(spark, sf_dir):
+    """Two batches in time order, then all violent alerts, late, then withdrawals, compacted up to the middle."""
+    path, bronze = shared_dir(spark, "rollup-states"), materialize(alerts(spark, sf_dir), "bronze")
+    calm = bronze.where("NOT is_violent")
+    increments.add_rows(calm.where(F.col("event_time") < MIDDLE), path, 0)
+    increments.add_rows(calm.where(F.col("event_time") >= MIDDLE), path, 1)
+    increments.add_rows(bronze.where("is_violent"), path, 2)
+    increments.add_rows(bronze.where("is_violent"), path, 2)  # a batch that runs again
+    gone = bronze.where("is_violent AND score < 0.2").select("camera_id", "event_time")
+    increments.withdraw(bronze, gone, path, 3)
+    increments.compact(spark, path, 4, MIDDLE[:10])
+    return path
+
+
+@query("rollup_incremental", _KEPT_SQL + _ROLLUP_OUT)
+def rollup_incremental(spark, sf_dir):
+    return _rollup_out(increments.current_rollup(spark, incremental_states(spark, sf_dir)))
+
+
+@query("fact_incremental", _KEPT_SQL + _FACT_OUT)
+def fact_incremental(spark, sf_dir):
+    windows = increments.current_rollup(spark, incremental_states(spark, sf_dir))
+    return _fact_out(star.fact_rows(star.with_keys(windows)))

@@ -78,21 +78,25 @@ def build_gold(
     full_grain_id: bool = False,
     work_path: str | None = None,
     retractions: DataFrame | None = None,
+    windows: DataFrame | None = None,
 ) -> bool:
     """Update the star schema from bronze; whether there was anything to do.
 
     Windows that start in the dates ``first`` to ``last`` are computed, without the
-    alerts that ``retractions`` (camera_id, event_time) withdraw. The rollup is written
+    alerts that ``retractions`` (camera_id, event_time) withdraw; ``windows`` gives them
+    instead, as :func:`tidewatch.plans.increments.current_rollup` does. The rollup is written
     once, to ``work_path`` or a shared folder that is removed at the end, and the five
     tables read their columns from it. Fact and retrieval rows replace all dates of that range, also those
     that have no rows any more, so a rerun changes nothing, late rows are taken in and
     withdrawn ones go; without a bound the range is open. ``append`` adds rows blindly
     instead. Dimensions gain the keys they lack.
     """
-    rows = bronze_of_dates(bronze, first, last, width)
-    if retractions is not None:
-        rows = soft_delete(rows, retractions)
-    windows = windows_of_dates(rollup_tumbling(rows, width), first, last)
+    if windows is None:
+        rows = bronze_of_dates(bronze, first, last, width)
+        if retractions is not None:
+            rows = soft_delete(rows, retractions)
+        windows = rollup_tumbling(rows, width)
+    windows = windows_of_dates(windows, first, last)
     work = work_path or shared_dir(spark, "rollup")
     keyed = materialize(star.with_keys(windows, full_grain_id), "rollup", work)
     bounds = [text.replace("-", "") if text else None for text in (first, last)]
