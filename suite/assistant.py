@@ -9,7 +9,7 @@ from suite.catalog import query
 from suite.star import keyed_of
 from suite.views import VECTORS_SQL, rollup_sql, table, vector_questions, vectors
 from tidewatch.functions import text as wording
-from tidewatch.operators import knn, retrieval, star
+from tidewatch.operators import knn, postings, retrieval, star
 from tidewatch.plans import assistant
 
 # Violent windows of a day; some carry notes, some another label or no score.
@@ -187,6 +187,27 @@ def knn_filtered_many_questions(spark, sf_dir):
     return found.withColumn("distance", F.round("distance", 6))
 
 
+@query("knn_filtered_postings", _FILTERED_SQL)
+def knn_filtered_postings(spark, sf_dir):
+    """The same hits; documents and questions meet on the values of the filters."""
+    found = postings.knn_postings(
+        vector_questions(spark, sf_dir), vectors(spark, sf_dir), payload=("camera_id", "date")
+    )
+    return found.withColumn("distance", F.round("distance", 6))
+
+
+@query("knn_quantised")
+def knn_quantised(spark, sf_dir):
+    """Per question how many of its six exact neighbours a search by codes finds, comparing 60 vectors."""
+    found = vectors(spark, sf_dir)
+    asked = found.select(F.col("id").alias("question_id"), "embedding")
+    exact = knn.topk_similarity(asked, found)
+    quantizer = postings.fit_quantizer(found)
+    near = postings.knn_quantised(asked, postings.add_codes(found, quantizer), quantizer)
+    both = exact.join(near.select("question_id", "id", F.lit(1).alias("hit")), ["question_id", "id"], "left")
+    return both.groupBy("question_id").agg((F.count("hit") / F.count("*")).alias("recall"))
+
+
 @query("knn_approx")
 def knn_approx(spark, sf_dir):
     """Per question how many of its six exact neighbours the probed cells hold."""
