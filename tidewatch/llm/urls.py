@@ -85,17 +85,25 @@ def viterbi(word: str, known: dict[str, float], total: float) -> list[str]:
     """The likeliest split of a run of letters.
 
     A word of count c has the probability c / total, one that is not known, of length n,
-    10 / (total * 10^n), so that it stays whole unless known words make it up.
+    10 / (total * 10^n), so that it stays whole unless known words make it up. An unknown
+    run only grows by its last letter, so work is the word's length times ``LONGEST``.
     """
-    best = [0.0] + [-math.inf] * len(word)
-    back = [0] * (len(word) + 1)
+    letter, unknown = math.log(10), math.log(10 / total)
+    best, back = [0.0], [0]
+    run, begin = -math.inf, 0  # the best split that ends in an unknown run, and where that begins
     for end in range(1, len(word) + 1):
-        for start in range(0, end):
-            piece = word[start:end]
-            count = known.get(piece) if end - start <= LONGEST else None
-            cost = math.log(count / total) if count else math.log(10 / total) - (end - start) * math.log(10)
-            if best[start] + cost > best[end] + 1e-12:
-                best[end], back[end] = best[start] + cost, start
+        opened = best[end - 1] + unknown
+        if opened > run + 1e-12:
+            run, begin = opened, end - 1
+        run -= letter
+        top, at = run, begin
+        for start in range(max(0, end - LONGEST), end):
+            if count := known.get(word[start:end]):
+                value = best[start] + math.log(count / total)
+                if value > top + 1e-12 or (start < at and value > top - 1e-12):
+                    top, at = value, start
+        best.append(top)
+        back.append(at)
     out, end = [], len(word)
     while end:
         out.append(word[back[end] : end])
