@@ -17,9 +17,6 @@ from tidewatch.session import materialize
 
 Source = str | None
 
-#: Above this many patterns the graph no longer suits the driver; mix() then raises.
-MAX_PATTERNS = 50_000
-
 #: Hex digits of the seeded hash that name a part of a pattern.
 PART_DIGITS = 3
 
@@ -113,8 +110,9 @@ def mix(
     each copy counts for), the size of each source and its target; columns named in ``also``
     are kept, others not read. The same rows and seed
     give the same choice. Documents of a pattern without words are taken once; a null or
-    empty ``sources`` belongs to no source and is not taken. Only one row per pattern
-    reaches the driver.
+    empty ``sources`` belongs to no source and is not taken; an empty table gives no rows.
+    Only one row per pattern reaches the driver, and of patterns of a single source there
+    are no more than sources. Rows of one id and size are told apart by ``also``.
 
     The order of documents in a pattern is that of a seeded hash. Its first digits name a
     part; a document's place is the size of the parts before its own and of what precedes
@@ -129,14 +127,7 @@ def mix(
         ).withColumns({"pattern": F.to_json("members"), "part": F.substring("hash", 1, PART_DIGITS)}),
         "mix-sizes",
     )
-    sums = (
-        rows.groupBy("pattern")
-        .agg(F.first("members").alias("members"), F.sum("size").alias("size"))
-        .limit(MAX_PATTERNS + 1)
-        .collect()
-    )
-    if len(sums) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
+    sums = rows.groupBy("pattern").agg(F.first("members").alias("members"), F.sum("size").alias("size")).collect()
     sizes: dict[Source, int] = {}
     for row in sums:
         for source in row.members:
@@ -162,7 +153,7 @@ def mix(
     parts = rows.groupBy("pattern", "part").agg(F.sum("size").alias("many"))
     before = Window.partitionBy("pattern").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.select("pattern", "part", F.coalesce(F.sum("many").over(before), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("pattern", "part").orderBy("hash", "doc_id", "size")
+    inside = Window.partitionBy("pattern", "part").orderBy("hash", "doc_id", "size", *also)
     placed = rows.withColumn(
         "inner", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     ).join(starts, ["pattern", "part"])
@@ -177,7 +168,7 @@ def mix(
     )
     middle = lambda n: n * F.col("whole") + F.col("at") + F.floor(F.col("size") / 2)
     chosen = (
-        placed.join(F.broadcast(routed), "pattern")  # one row per pattern, MAX_PATTERNS at most
+        placed.join(routed, "pattern")
         .withColumns({"copies": copies, "at": at})
         .withColumn("taken", F.col("copies") * F.col("size"))
         .withColumn(
