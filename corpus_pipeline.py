@@ -1,14 +1,14 @@
 """The training-data pipeline: quality rules, line dedup, near dedup, mixing, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept. All
-but the last return the columns of ``documents``, further ones too, whatever their names. Null texts have no words and fail the
-quality rules; a null id is one document; an empty table gives no rows.
+but the last return the columns of ``documents``, further ones too, whatever their names: a
+stage carries them in one struct. Null texts have no words and fail the quality rules; a null id is one document; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm import linededup, mixing, neardup, packing, quality
@@ -17,53 +17,61 @@ from tidewatch.llm.text import word_count
 from tidewatch.session import materialize
 
 
+def named(column: str) -> Column:
+    """A column by its whole name, dots and all."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def folded(docs: DataFrame) -> Column:
+    """All columns as one struct ``row``, so that none of their names can meet a stage's own."""
+    return F.struct(*[named(c).alias(c) for c in docs.columns]).alias("row")
+
+
+def unfolded(rows: DataFrame, docs: DataFrame, **new: Column) -> DataFrame:
+    return rows.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and the certified cutoffs keep."""
-    counts = quality.measure(F.col("text"))
-    measured = materialize(
-        docs.select("doc_id", quality.stratum_key(F.col("lang")).alias("stratum"), counts.alias("counts")),
-        "pipeline-counts",
+    """Documents that the base rules and the certified cutoffs keep. Texts are measured once."""
+    rows = materialize(docs.select(folded(docs), quality.measure(F.col("text")).alias("counts")), "pipeline-measured")
+    measured = rows.select(
+        F.col("row.doc_id").alias("doc_id"), quality.stratum_key(F.col("row.lang")).alias("stratum"), "counts"
     )
     cutoffs = materialize(
         quality.fit_cutoffs(measured, spark.read.parquet(f"{sf_dir}/labels.parquet")), "pipeline-cutoffs"
     )
-    rows = docs.select(F.struct(*docs.columns).alias("row"), counts.alias("counts"))
     judged = quality.judge(rows, cutoffs, counts="counts", stratum=F.col("row.lang"))
-    return judged.where("kept").select("row.*")
+    return unfolded(judged.where("kept"), docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that an earlier one holds; ``n_chars`` follows the text."""
-    kept = linededup.dedup_lines(docs.select("doc_id", "text", F.struct(*docs.columns).alias("row")))
+    kept = linededup.dedup_lines(docs.select("doc_id", "text", folded(docs)))
     new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
-    return kept.select(*[new.get(name, F.col(f"row.{name}")) for name in docs.columns])
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return unfolded(kept, docs, **new)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates, on shingles of five words."""
     found = neardup.near_duplicates(docs)
-    kept = found.where("doc = component").select(F.col("doc").alias("__kept")).distinct()
-    same = F.coalesce(F.col("doc_id").cast("long"), F.lit(neardup.NO_ID)) == F.col("__kept")
-    return docs.join(kept, same, "left_semi")
+    kept = found.where("doc = component").select(F.col("doc").alias("id")).distinct()
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(neardup.NO_ID)).alias("id"), folded(docs))
+    return unfolded(rows.join(kept, "id", "left_semi"), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, up to three times; rows of one id are told apart by a number."""
-    apart = Window.partitionBy("doc_id").orderBy("__text", "source")
-    marked = F.xxhash64("text")
-    sized = docs.select(
-        "doc_id", "source", F.array("source").alias("sources"), marked.alias("__text"), word_count(F.col("text")).alias("size")
-    ).withColumn("__row", F.row_number().over(apart))
-    chosen, _, _ = mixing.mix(sized, weights=repeating_weights, also=("__row",))
-    taken = chosen.where("copies > 0").select(F.col("doc_id").alias("__doc"), F.col("__row").alias("__of"), "copies")
-    rows = docs.withColumn("__text", marked).withColumn("__row", F.row_number().over(apart))
-    return (
-        rows.join(taken.withColumnRenamed("copies", "__copies"), F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__row") == F.col("__of")))
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        .select(*docs.columns)
+    numbered = docs.select("doc_id", "source", "text", F.xxhash64("text").alias("mark"), folded(docs)).withColumn(
+        "number", F.row_number().over(Window.partitionBy("doc_id").orderBy("mark", "source"))
     )
+    sized = numbered.select("doc_id", F.array("source").alias("sources"), word_count(F.col("text")).alias("size"), "number", "mark")
+    chosen, _, _ = mixing.mix(sized, weights=repeating_weights, also=("mark", "number"))
+    taken = chosen.where("copies > 0").select(F.col("doc_id").alias("id"), F.col("number").alias("nth"), "copies")
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("number") == F.col("nth"))
+    copied = numbered.join(taken, same).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return unfolded(copied, docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
