@@ -5,7 +5,9 @@ characters; a chunk reaches over its end by an overlap, and the chunks of a docu
 encoded in different tasks, with offsets. Two neighbours are spliced at a stable boundary in
 their overlap: a place where every tokenization of every text around it ends a token, seen
 from the two characters beside it alone, and where both encodings do end one. If an overlap
-holds none, it is doubled; if it would reach the next cut, the cut goes.
+holds none, it is doubled; if it would reach the next cut, the cut goes. That is seen from the
+text when it is cut; should two encodings still not meet, the document is encoded anew with
+wider overlaps.
 
 A place between two characters is stable if they are of different kinds (letter, digit, sign,
 white space), the first is not white space, the pair is not an apostrophe and a letter, and
@@ -118,8 +120,16 @@ class Boundaries:
         return found
 
 
-def first_cuts(length: int) -> list[tuple[int, int]]:
-    return [(at, OVERLAP) for at in range(CHUNK, length, CHUNK)]
+def first_cuts(text: str, stable: Boundaries) -> list[tuple[int, int]]:
+    """Cuts every ``CHUNK`` characters, each with the least overlap that holds a stable boundary."""
+    cuts = []
+    for at in range(CHUNK, len(text), CHUNK):
+        overlap = OVERLAP
+        while overlap < CHUNK and not stable(text, at + 1, at + overlap):
+            overlap *= 2
+        if overlap < CHUNK:
+            cuts.append((at, overlap))
+    return cuts
 
 
 def cut_text(text: str, cuts: list[tuple[int, int]]) -> list[tuple]:
@@ -153,14 +163,17 @@ def encode_chunk(tokenizer: Tokenizer, stable: Boundaries, row) -> tuple:
 def encode_chunks(texts: DataFrame, tokenizer: str) -> DataFrame:
     """Rows (key, number, last, at, overlap, total, left, right) for rows (key, text, cuts).
 
-    ``cuts`` are places and overlaps; null cuts the text every ``CHUNK`` characters.
+    ``cuts`` are places and overlaps; null leaves them to :func:`first_cuts`.
     """
 
+    _, special = byte_level(tokenizer)
+
     @F.pandas_udf(PIECES)
     def pieces(texts: pd.Series, cuts: pd.Series) -> pd.Series:
+        stable = Boundaries(special)
         return pd.Series(
             [
-                cut_text(t, first_cuts(len(t)) if c is None else [(x["at"], x["overlap"]) for x in c])
+                cut_text(t, first_cuts(t, stable) if c is None else [(x["at"], x["overlap"]) for x in c])
                 for t, c in zip(texts, cuts, strict=True)
             ]
         )
@@ -218,8 +231,8 @@ def count_huge(texts: DataFrame, tokenizer: str) -> DataFrame:
     """Rows (key, tokens) for distinct texts (key, text) that may be too long for one task.
 
     Documents in which a splice fails are encoded anew with wider overlaps, until none
-    fails: at most ``log2(CHUNK / OVERLAP)`` times for those without any boundary. Rows of
-    one key must have one text. No rows give no rows.
+    fails: at most ``log2(CHUNK / OVERLAP)`` times. Rows of one key must have one text. No
+    rows give no rows.
     """
     found, todo = None, texts.withColumn("cuts", F.lit(None).cast(CUTS))
     while True:
