@@ -41,6 +41,15 @@ def test_counts_are_the_tokenizers(spark):
     assert got == sorted(want, key=repr)
 
 
+def test_overlaps_widen_until_chunks_meet(spark, monkeypatch):
+    """With cuts that don't look at the text, splices fail and are tried again."""
+    monkeypatch.setattr(tokens, "first_cuts", lambda text, _: [(at, 256) for at in range(8192, len(text), 8192)])
+    tries, widen = [], tokens.wider
+    monkeypatch.setattr(tokens, "wider", lambda spliced: tries.append(1) or widen(spliced))
+    test_counts_are_the_tokenizers(spark)
+    assert len(tries) == 5
+
+
 def test_given_documents(spark):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     folder = "/root/testdata/sf0.01"
