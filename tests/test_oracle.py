@@ -100,7 +100,7 @@ def test_date_partitions_are_pruned(spark):
 
 
 def test_library_does_not_gather_rows():
-    """Collects are limited to bounded question lots, the commit log, dates of a run, and counts per partition."""
+    """Collects are limited to bounded question lots, the commit log, dates of a run or of withdrawals, and counts per partition."""
     import pathlib
 
     import tidewatch
@@ -112,7 +112,7 @@ def test_library_does_not_gather_rows():
         found = source.count(".collect()") + source.count(".toPandas()")
         if found:
             uses[path.name] = found
-    assert uses == {"knn.py": 2, "commits.py": 2, "gold.py": 1, "positions.py": 1, "tables.py": 1}
+    assert uses == {"knn.py": 2, "commits.py": 2, "gold.py": 1, "increments.py": 2, "positions.py": 1, "tables.py": 1}
 
 
 @pytest.mark.parametrize("name", ["soft_delete", "set_difference_ids", "ingest_incremental"])
