@@ -24,6 +24,9 @@ from tidewatch.operators.knn import _DECIMALS, _filled, _matrix, _unit
 #: Documents of a block and questions of a lot, about.
 BLOCK_DOCS, LOT_QUESTIONS = 4096, 512
 
+#: Slots of documents that questions without filters go through.
+SLOTS = 16
+
 
 def _packed(rows: DataFrame, keys: list[str], ident: str, content: str, size: int, name: str) -> DataFrame:
     """Rows (keys, ``name``): lists of (ident, content), about ``size`` of each key at a time."""
@@ -103,12 +106,15 @@ def knn_postings(
 
     found = None
     for used in product((True, False), repeat=len(filters)):
-        keys = ["_all", *(n for n, chosen in zip(filters, used, strict=True) if chosen)]
-        mine = asked.withColumn("_all", F.lit(0))
+        keys = [n for n, chosen in zip(filters, used, strict=True) if chosen]
+        mine, own = asked, held
         for name, chosen in zip(filters, used, strict=True):
             mine = mine.where(F.col(name).isNotNull() if chosen else F.col(name).isNull())
-        values = mine.select(*keys).distinct()
-        own = held.select("id", "embedding", *keys[1:]).withColumn("_all", F.lit(0)).join(values, keys, "left_semi")
+        if not keys:  # every question meets every document, in one of the slots
+            keys = ["_slot"]
+            mine = mine.withColumn("_slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLOTS - 1).cast("long"))))
+            own = own.withColumn("_slot", F.pmod(F.xxhash64("id"), F.lit(SLOTS)).cast("long"))
+        own = own.select("id", "embedding", *keys).join(mine.select(*keys).distinct(), keys, "left_semi")
         blocks = _packed(own, keys, "id", "embedding", BLOCK_DOCS, "block")
         lots = _packed(mine, keys, "question", "embedding", LOT_QUESTIONS, "lot")
         part = _meet(blocks, lots, keys, k, cosine, question_type, kinds["id"])
