@@ -17,6 +17,10 @@ from tidewatch.llm.text import word_count
 from tidewatch.session import materialize
 
 
+#: Times that the mix may take a document.
+MAX_COPIES = 3
+
+
 def named(column: str) -> Column:
     """A column by its whole name, dots and all."""
     return F.col("`" + column.replace("`", "``") + "`")
@@ -62,16 +66,29 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, up to three times; rows of one id are told apart by a number."""
-    numbered = docs.select("doc_id", "source", "text", F.xxhash64("text").alias("mark"), folded(docs)).withColumn(
-        "number", F.row_number().over(Window.partitionBy("doc_id").orderBy("mark", "source"))
+    """Documents as often as the mix takes them, up to three times.
+
+    Rows of one id, source and text are alike for the mix; it says how many of them come at
+    least once, twice and three times, and they take these places in the order of their
+    further columns. Texts are shuffled once, to meet those numbers.
+    """
+    alike = F.to_json(F.struct(F.col("doc_id"), F.col("source"), F.xxhash64("text").alias("mark")))
+    sized = docs.select(
+        "doc_id", F.array("source").alias("sources"), word_count(F.col("text")).alias("size"), alike.alias("alike")
+    )
+    chosen, _, _ = mixing.mix(sized, weights=repeating_weights, max_copies=MAX_COPIES, also=("alike",))
+    times = range(1, MAX_COPIES + 1)
+    taken = (
+        chosen.where("copies > 0")
+        .groupBy("alike")
+        .agg(F.array(*[F.count_if(F.col("copies") >= n) for n in times]).alias("many"))
     )
-    sized = numbered.select("doc_id", F.array("source").alias("sources"), word_count(F.col("text")).alias("size"), "number", "mark")
-    chosen, _, _ = mixing.mix(sized, weights=repeating_weights, also=("mark", "number"))
-    taken = chosen.where("copies > 0").select(F.col("doc_id").alias("id"), F.col("number").alias("nth"), "copies")
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("number") == F.col("nth"))
-    copied = numbered.join(taken, same).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return unfolded(copied, docs)
+    further = [named(c).alias(c) for c in docs.columns if c not in ("doc_id", "source", "text")]
+    rows = docs.select(alike.alias("alike"), F.to_json(F.struct(F.lit(0), *further)).alias("rest"), folded(docs))
+    place = F.row_number().over(Window.partitionBy("alike").orderBy("rest"))
+    met = rows.join(taken, "alike").withColumn("place", place)
+    copies = F.size(F.filter("many", lambda n: n >= F.col("place")))
+    return unfolded(met.withColumn("copy", F.explode(F.array_repeat(F.lit(1), copies))), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
