@@ -71,15 +71,20 @@ def start_bronze(
     trigger: dict | None = None,
     enforce: bool = False,
     quarantine: str | None = None,
+    writer: Callable[[DataFrame, int], None] | None = None,
     **maintenance,
 ) -> StreamingQuery:
-    """Start the stream; ``trigger={"availableNow": True}`` drains what is there and ends."""
-    parsed = ingest.parse_alert_json(messages, keep_raw=enforce).observe(
+    """Start the stream; ``trigger={"availableNow": True}`` drains what is there and ends.
+
+    A ``writer`` of its own, as ``dated.dated_writer`` gives, takes the place of
+    :func:`batch_writer`; rules and quarantine are then its own.
+    """
+    parsed = ingest.parse_alert_json(messages, keep_raw=enforce or writer is not None).observe(
         OBSERVED,
         F.count(F.lit(1)).alias("records"),
         F.max(F.unix_micros(lenient_timestamp("timestamp"))).alias("newest"),
     )
-    writer = batch_writer(table, enforce, quarantine, **maintenance)
+    writer = writer or batch_writer(table, enforce, quarantine, **maintenance)
     return (
         parsed.writeStream.queryName(f"bronze {table}")
         .foreachBatch(writer)
