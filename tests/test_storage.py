@@ -112,6 +112,16 @@ def test_registry_csv(spark, tmp_path):
     assert sorted(again.collect()) == sorted(got.values())
 
 
+def test_registry_values_may_hold_line_breaks(spark, tmp_path):
+    head = ",".join(schemas.columns(schemas.REGISTRY))
+    path = tmp_path / "registry.csv"
+    body = 'cam01,City,D,"Ward\nof two lines, ""quoted""",S,10.5,106.7,u1,high\ncam02,City,D,W,S,1,2,u2,low\n'
+    path.write_text(f"{head}\n{body}", encoding="utf-8")
+    got = {r.camera_id: r for r in registry.read_registry_csv(spark, str(path)).collect()}
+    assert set(got) == {"cam01", "cam02"}
+    assert (got["cam01"].ward, got["cam01"].latitude) == ('Ward\nof two lines, "quoted"', 10.5)
+
+
 def test_shared_dir_follows_the_session_setting(spark, monkeypatch):
     assert shared_dir(spark, "a") != shared_dir(spark, "a")
 

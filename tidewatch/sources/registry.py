@@ -9,6 +9,8 @@ from tidewatch import schemas
 from tidewatch.operators.dedupe import latest_per_key
 
 _QUOTING = {"header": "true", "quote": '"', "escape": '"'}
+# A quoted value may hold line breaks, so a file is read by one task; registries are small.
+_READING = {**_QUOTING, "multiLine": "true"}
 
 
 def read_registry_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -18,7 +20,7 @@ def read_registry_csv(spark: SparkSession, path: str) -> DataFrame:
     """
     names = schemas.columns(schemas.REGISTRY)
     text = ", ".join(f"{n} string" for n in names)
-    rows = spark.read.options(**_QUOTING).schema(text).csv(path)
+    rows = spark.read.options(**_READING).schema(text).csv(path)
     # Position in the file: split by split, then row by row inside a split.
     placed = rows.select(
         *names,
