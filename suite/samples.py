@@ -26,7 +26,7 @@ _INCREASE_SQL = f"""WITH {SAMPLES_SQL}, previous AS (
       {_DAY_FRAME}) / 86400, 9) AS rate FROM increases""",
 )
 def counter_rate(spark, sf_dir):
-    rates = series.counter_rate(samples(spark, sf_dir), width="1 day", block="1 day")
+    rates = series.counter_rate(samples(spark, sf_dir), width="1 day")
     return rates.select("event_id", "series", "ts", F.round("rate", 9).alias("rate"))
 
 
@@ -49,9 +49,7 @@ def counter_rate(spark, sf_dir):
     FROM framed f LEFT JOIN started s ON s.event_id = f.event_id""",
 )
 def counter_rate_extrapolated(spark, sf_dir):
-    rates = series.counter_rate(
-        samples(spark, sf_dir), width="1 day", block="1 day", extrapolate=True
-    )
+    rates = series.counter_rate(samples(spark, sf_dir), width="1 day", extrapolate=True)
     per_day = F.round(F.col("rate") * 86400, 7).alias("per_day")
     return rates.select("event_id", "series", "ts", per_day)
 

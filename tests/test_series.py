@@ -29,7 +29,7 @@ def test_rate_with_reset_and_single_sample(spark):
     rows = [("a", 0, 10), ("a", 30, 40), ("a", 60, 5), ("a", 600, 65), ("b", 0, 7)]
     got = {
         (r.series, seconds(r)): r.rate
-        for r in series.counter_rate(samples(spark, rows), block="1 minute").collect()
+        for r in series.counter_rate(samples(spark, rows)).collect()
     }
     assert got[("a", 0)] is None and got[("b", 0)] is None
     assert got[("a", 30)] == pytest.approx(30 / 60)
@@ -83,7 +83,7 @@ def test_extrapolated_rate(spark):
     frame = samples(spark, [("a", t, v) for t, v in points])
     got = {
         seconds(r): r.rate
-        for r in series.counter_rate(frame, block="1 minute", extrapolate=True).collect()
+        for r in series.counter_rate(frame, extrapolate=True).collect()
     }
     want = extrapolated(points, 60)
     assert {t: v is None for t, v in got.items()} == {t: v is None for t, v in want.items()}
@@ -122,3 +122,46 @@ def test_a_null_label_is_a_label(spark):
     rows = samples(spark, [(None, n * 1800, 3 * n) for n in range(6)])
     got = series.counter_increase(rows, ["series"], "1 hour").orderBy("ts").collect()
     assert [r.increase for r in got] == [None, 3.0, 3.0, 3.0, 3.0, 3.0]
+
+
+def test_rate_against_brute_force(spark):
+    """Gaps of several blocks, resets, NULL values and a NULL label; a hot series."""
+    rng = random.Random(5)
+    rows = []
+    for name, count in (("hot", 500), ("cold", 60), (None, 60), ("one", 1)):
+        clock = 0.0
+        for _ in range(count):
+            clock += rng.choice([0.25, 1, 7, 50, 61, 130, 400])
+            rows.append((name, clock, rng.choice([None, *range(30)])))
+    full = [(s, "i", "idle", T0 + dt.timedelta(seconds=t), None if v is None else float(v)) for s, t, v in rows]
+    frame = spark.createDataFrame(full, schemas.SAMPLE)
+    rises, last = {}, {}
+    for s, t, v in rows:
+        before = last.get(s)
+        rises[s, t] = None if v is None or before is None else v - before if v >= before else v
+        last[s] = v
+    got = series.counter_increase(frame, ["series"], "1 minute").collect()
+    assert {(r.series, seconds(r)): r.increase for r in got} == rises
+    for width in (10, 60, 600):
+        got = series.counter_rate(frame, width=f"{width} seconds").collect()
+        assert len(got) == len(rows)
+        for r in got:
+            here = [x for (s, t), x in rises.items() if s == r.series and seconds(r) - width < t <= seconds(r)]
+            here = [x for x in here if x is not None]
+            assert (r.rate is None) == (not here) and (not here or r.rate == pytest.approx(sum(here) / width))
+
+
+def test_rates_shuffle_samples_once(spark, tmp_path):
+    """Of the exchanges only one carries samples; the others carry a row per series and block."""
+    path = str(tmp_path / "samples")
+    samples(spark, [("a", n, n) for n in range(10)]).write.parquet(path)
+    frame = spark.read.schema(schemas.SAMPLE).parquet(path)
+    for found in (series.counter_rate(frame), series.counter_rate(frame, extrapolate=True), series.counter_increase(frame, ["series"])):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for many samples
+        try:
+            plan = found._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert plan.index("SortMergeJoin") < plan.index("Exchange")
+        sides = [line.split("Exchange")[0] for line in plan.splitlines() if "Exchange" in line]
+        assert len([before for before in sides if ":" in before]) == 1  # the join's left side: samples

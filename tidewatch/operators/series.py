@@ -19,13 +19,21 @@ def _block(position: Column, length: int) -> Column:
     return F.floor(position / length)
 
 
-def _halves(
-    samples: DataFrame,
-    series: Sequence[str],
-    width: str,
-    ts: str,
-    parts: dict[str, tuple[Callable[[Column], Column], Column]],
-) -> DataFrame:
+def _placed(samples: DataFrame, series: Sequence[str], width: str, ts: str) -> DataFrame:
+    """Each sample in its own block of ``width`` and, moved by ``width``, in the next one.
+
+    ``_of`` holds the labels as one struct: structs with equal NULL labels are equal, so it
+    can be the key of windows and joins alike and rows keep one partitioning.
+    """
+    length = micros_of(width)
+    placed = samples.withColumns(
+        {"_of": F.struct(*series), "_moved": F.explode(F.array(F.lit(0), F.lit(1)))}
+    )
+    placed = placed.withColumn("_at", F.unix_micros(ts) + F.col("_moved") * F.lit(length))
+    return placed.withColumn("_block", _block(F.col("_at"), length))
+
+
+def _halves(placed: DataFrame, parts: dict[str, tuple[Callable[[Column], Column], Column]]) -> DataFrame:
     """Aggregates of the two halves of ``(ts - width, ts]``, as ``_own_*`` and ``_prev_*``.
 
     A sliding frame is recomputed for every row, which is quadratic for dense
@@ -35,11 +43,7 @@ def _halves(
     the next one; two running aggregates, one in each direction, give both
     halves. Nothing is subtracted, so nothing cancels.
     """
-    length = micros_of(width)
-    placed = samples.withColumn("_moved", F.explode(F.array(F.lit(0), F.lit(1))))
-    placed = placed.withColumn("_at", F.unix_micros(ts) + F.col("_moved") * F.lit(length))
-    placed = placed.withColumn("_block", _block(F.col("_at"), length))
-    block = Window.partitionBy(*series, "_block")
+    block = Window.partitionBy("_of", "_block")
     up_to_here = block.orderBy(F.col("_at"), F.col("_moved").desc()).rangeBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -66,14 +70,64 @@ def trailing(
     ts: str = "ts",
 ) -> DataFrame:
     """Add ``trail_sum`` and ``trail_count`` of ``value`` over ``(ts - width, ts]``."""
+    return _trailing(samples, _placed(samples, series, width, ts), value)
+
+
+def _trailing(samples: DataFrame, placed: DataFrame, value: str) -> DataFrame:
     parts = {"sum": (F.sum, F.col(value)), "count": (F.count, F.col(value))}
-    return _halves(samples, series, width, ts, parts).select(
+    return _halves(placed, parts).select(
         *samples.columns,
         _both("count").alias("trail_count"),
         F.when(_both("count") > 0, _both("sum")).alias("trail_sum"),
     )
 
 
+def _rising(
+    samples: DataFrame,
+    placed: DataFrame,
+    series: Sequence[str],
+    length: int,
+    ts: str,
+    value: str,
+    moved: bool,
+) -> DataFrame:
+    """``placed`` with the ``increase`` of each row since the sample before it.
+
+    A group (``_of``, ``_block``) of ``placed`` holds the samples of its block and, if
+    ``moved``, of the block before. So all but its first row find their predecessor in the
+    group. The first row's comes from a summary with one row per series and block, which is
+    combined before its shuffle; it is joined by the key that the rows are partitioned by
+    already, so rows move once.
+    """
+    own = _block(F.unix_micros(ts), length).alias("_own")
+    ends = samples.groupBy(F.struct(*series).alias("_of"), own).agg(F.max(F.struct(ts, value)).alias("_end"))
+    blocks = Window.partitionBy("_of").orderBy("_own")
+    last = F.lag("_end").over(blocks).alias("_last")
+    if moved:
+        older = F.last("_end").over(blocks.rangeBetween(Window.unboundedPreceding, -2)).alias("_older")
+        ends = ends.select("_of", "_own", last, older, F.lead("_own").over(blocks).alias("_next"))
+        # A block's samples are in its group and in the next one, which may have none of its own.
+        groups = F.array(
+            F.struct(F.col("_own").alias("_block"), F.col("_older").alias("_end")),
+            F.struct((F.col("_own") + 1).alias("_block"), F.col("_last").alias("_end")),
+        )
+        carried = ends.select("_of", "_own", "_next", F.inline(groups))
+        carried = carried.where((F.col("_block") == F.col("_own")) | ~F.col("_block").eqNullSafe(F.col("_next")))
+    else:
+        carried = ends.select("_of", F.col("_own").alias("_block"), last.alias("_end"))
+    carried = carried.select("_of", "_block", F.col("_end")[value].alias("_carried"))
+    inside = Window.partitionBy("_of", "_block").orderBy(F.col("_moved").desc(), ts, value)
+    before = F.lag(F.struct(value)).over(inside)
+    joined = placed.withColumn("_before", before).join(carried, ["_of", "_block"], "left")
+    previous = F.when(F.col("_before").isNull(), F.col("_carried")).otherwise(F.col("_before")[value])
+    return joined.withColumn("_previous", previous).withColumn(
+        "increase",
+        F.when(F.col(value) >= F.col("_previous"), F.col(value) - F.col("_previous")).when(
+            F.col(value) < F.col("_previous"), F.col(value)
+        ),
+    )
+
+
 def counter_increase(
     samples: DataFrame,
     series: Sequence[str],
@@ -84,39 +138,19 @@ def counter_increase(
     """Add ``increase`` since the previous sample of the series.
 
     A fall means the counter was reset, so the whole value counts. The first
-    sample of a series has none. The previous sample of a block's first row
-    comes from a summary with one row per series and block.
+    sample of a series has none; after a NULL value there is none either.
     """
     length = micros_of(block)
-    placed = samples.withColumn("_block", _block(F.unix_micros(ts), length))
-    ends = placed.groupBy(*series, "_block").agg(F.max(F.struct(ts, value)).alias("_end"))
-    carried = ends.select(
-        *[F.col(name).alias(f"_of_{name}") for name in series],
-        F.col("_block").alias("_of_block"),
-        F.lag(F.col("_end")[value])
-        .over(Window.partitionBy(*series).orderBy("_block"))
-        .alias("_carried"),
-    )
-    inside = Window.partitionBy(*series, "_block").orderBy(ts, value)
-    # A label that is NULL is a label like others.
-    same = F.col("_block") == F.col("_of_block")
-    for name in series:
-        same &= F.col(name).eqNullSafe(F.col(f"_of_{name}"))
-    joined = placed.join(carried, same, "left")
-    previous = F.coalesce(F.lag(value).over(inside), F.col("_carried"))
-    return joined.withColumn("_previous", previous).select(
-        *samples.columns,
-        F.when(F.col(value) >= F.col("_previous"), F.col(value) - F.col("_previous"))
-        .when(F.col(value) < F.col("_previous"), F.col(value))
-        .alias("increase"),
+    placed = samples.withColumns(
+        {"_of": F.struct(*series), "_moved": F.lit(0), "_block": _block(F.unix_micros(ts), length)}
     )
+    return _rising(samples, placed, series, length, ts, value, False).select(*samples.columns, "increase")
 
 
 def counter_rate(
     samples: DataFrame,
     series: Sequence[str] = ("series",),
     width: str = "1 minute",
-    block: str = "1 hour",
     ts: str = "ts",
     value: str = "value",
     extrapolate: bool = False,
@@ -127,18 +161,21 @@ def counter_rate(
     none. With ``extrapolate`` only those between two samples of the frame do,
     and they are stretched towards the frame's start the way metric servers do;
     a frame with one sample then has no rate.
+
+    Samples are shuffled once: increases and running sums share the blocks of ``width``.
     """
-    rising = counter_increase(samples, series, block, ts, value)
+    placed = _placed(samples, series, width, ts)
+    rising = _rising(samples, placed, series, micros_of(width), ts, value, True)
     seconds = micros_of(width) / 1_000_000
     if not extrapolate:
-        return trailing(rising, series, "increase", width, ts).select(
+        return _trailing(rising, rising, "increase").select(
             *samples.columns, (F.col("trail_sum") / seconds).alias("rate")
         )
     rise = F.coalesce("increase", F.lit(0.0))
     micros = F.unix_micros(ts)
     sample = F.struct(micros.alias("at"), F.col(value).alias("value"), rise.alias("rise"))
     parts = {"sum": (F.sum, rise), "count": (F.count, micros), "first": (F.min, sample)}
-    framed = _halves(rising, series, width, ts, parts).withColumn(
+    framed = _halves(rising, parts).withColumn(
         "_first", F.coalesce("_prev_first", "_own_first")
     )
     framed = framed.withColumns(
