@@ -11,7 +11,7 @@ from suite.star import fact_of
 from suite.views import ALERTS_SQL, alerts, rollup_sql, table
 from tidewatch import schemas
 from tidewatch.lake import commits
-from tidewatch.operators import dedupe, ingest
+from tidewatch.operators import blooms, dedupe, ingest
 from tidewatch.plans.gold import GoldTables, build_gold
 from tidewatch.session import materialize, shared_dir
 from tidewatch.sources import tables
@@ -282,6 +282,22 @@ def incremental_new_events(spark, sf_dir):
     )
 
 
+@query(
+    "incremental_new_events_filter",
+    """SELECT l_orderkey AS event_id, l_linenumber FROM lineitem
+    WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""",
+)
+def incremental_new_events_filter(spark, sf_dir):
+    """The same rows by a stored filter, whose two batches came on different days."""
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("event_id"), "l_linenumber")
+    orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
+    indexed = orders.select(F.col("o_orderkey").cast("string").alias("event_id"))
+    path, early = shared_dir(spark, "filter"), F.col("o_orderdate") < "1995-01-01"
+    for batch, days in enumerate((early, ~early)):
+        blooms.append_filter(orders.where(days), "o_orderkey", path, batch)
+    return blooms.new_rows(rows, indexed, "event_id", blooms.stored_filter(spark, path))
+
+
 @query(
     "skip_empty",
     "WITH "

@@ -196,3 +196,27 @@ def tumbling_window(spark, sf_dir):
     stream = enrich.stream_enrich(reading_stream(spark, sf_dir), registry(spark, sf_dir))
     out, _ = drained(spark, rollup.stream_rollup(stream, "1 day"))
     return out.select("window_start", "camera_id", "alert_count", "max_risk_score", "evidence_url")
+
+
+def late_stream(spark, sf_dir):
+    """Readings that arrive up to three days late, by a hash of their id."""
+    delay = F.make_dt_interval(hours=F.pmod(F.xxhash64("event_id"), F.lit(73)).cast("int"))
+    rows = readings(spark, sf_dir)
+    arriving = rows.withColumn("arrival", F.col("event_time") + delay)
+    path = ordered_files(spark, arriving, "arrival", lambda part, p: write_slice(part.drop("arrival"), p))
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).parquet(path)
+
+
+@query(
+    "tumbling_window_updates",
+    rollup_sql("1 day")
+    + "SELECT window_start, camera_id, alert_count, max_risk_score, evidence_url FROM keyed",
+)
+def tumbling_window_updates(spark, sf_dir):
+    """Late rows change windows already written; all windows, open ones too."""
+    stream = enrich.stream_enrich(late_stream(spark, sf_dir), registry(spark, sf_dir))
+    path, checkpoint = shared_dir(spark, "windows"), shared_dir(spark, "checkpoint")
+    running = rollup.start_updates(stream, path, checkpoint, "1 day", "4 days", {"availableNow": True})
+    running.awaitTermination()
+    windows = rollup.current_windows(spark, path)
+    return windows.select("window_start", "camera_id", "alert_count", "max_risk_score", "evidence_url")
