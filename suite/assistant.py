@@ -246,15 +246,37 @@ def knn_approx_cells(spark, sf_dir):
     return near.select("question_id", "id", "rank")
 
 
-_CHAT_DOCS_SQL = """chat_docs AS (
-  SELECT d.doc_id AS id, d.text, v.embedding, v.camera_id, v.date
-  FROM documents d JOIN vectors v ON v.id = d.doc_id % 500
+def letter_encoder():
+    """An encoder SQL can repeat: one, and how often each letter occurs, small or capital."""
+
+    def load():
+        letters = [chr(ord("a") + n) for n in range(26)]
+
+        def encode(texts):
+            return np.array([[1.0, *[t.count(c) + t.count(c.upper()) for c in letters]] for t in texts]).reshape(-1, 27)
+
+        return encode
+
+    return load
+
+
+def _letters_sql(text: str) -> str:
+    return f"""list_prepend(1.0::DOUBLE, [CAST(length({text}) - length(replace(replace({text},
+      chr(CAST(97 + n AS INTEGER)), ''), chr(CAST(65 + n AS INTEGER)), '')) AS DOUBLE) FOR n IN range(26)])"""
+
+
+_CHAT_DOCS_SQL = f"""chat_docs AS (
+  SELECT doc_id AS id, text, {_letters_sql("coalesce(text, '')")} AS embedding,
+    concat('cam', CAST(doc_id % 10 AS VARCHAR)) AS camera_id,
+    concat('2024-01-0', CAST(doc_id // 10 % 5 + 1 AS VARCHAR)) AS date
+  FROM documents
 )"""
-_CHAT_SQL = f"""WITH {VECTORS_SQL}, {_QUESTIONS_SQL}, {_CHAT_DOCS_SQL}, asked AS (
-  SELECT q.question_id, trim(q.question, concat(' ', chr(9), chr(10), chr(13))) AS question, e.embedding,
-    nullif(regexp_extract(lower(q.question), 'cam\\d+'), '') AS camera_id,
-    nullif(regexp_extract(q.question, '\\d{{4}}-\\d{{2}}-\\d{{2}}'), '') AS date
-  FROM questions q JOIN vectors e ON e.id = q.conv_id % 500
+_CHAT_SQL = f"""WITH {_QUESTIONS_SQL}, {_CHAT_DOCS_SQL}, asked AS (
+  SELECT question_id, trim(question, concat(' ', chr(9), chr(10), chr(13))) AS question,
+    {_letters_sql("question")} AS embedding,
+    nullif(regexp_extract(lower(question), 'cam\\d+'), '') AS camera_id,
+    nullif(regexp_extract(question, '\\d{{4}}-\\d{{2}}-\\d{{2}}'), '') AS date
+  FROM questions
 ), hits AS ({_ranked_sql("asked", "q.question <> '' AND " + _MATCH, "chat_docs")}
 ), answers AS (
   SELECT h.question_id, string_agg(concat('- ', d.text), chr(10) || chr(10) ORDER BY h.rank) AS context,
@@ -264,27 +286,22 @@ _CHAT_SQL = f"""WITH {VECTORS_SQL}, {_QUESTIONS_SQL}, {_CHAT_DOCS_SQL}, asked AS
 
 
 def chat_documents(spark, sf_dir):
-    """All documents, each with one of the vectors, as an index holds them."""
-    texts = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("id"), "text", (F.col("doc_id") % 500).alias("vec_id")
-    )
-    return (
-        texts.join(vectors(spark, sf_dir).withColumnRenamed("id", "vec_id"), "vec_id")
-        .select(
-            "id",
-            "text",
-            "embedding",
-            F.struct(
-                F.col("id").cast("string").alias("event_id"), "camera_id", "date"
-            ).alias("metadata"),
-        )
+    """All documents with the vectors of their texts, as an index holds them."""
+    id_ = F.col("doc_id")
+    day = (F.floor(id_ / 10) % 5 + 1).cast("string")
+    metadata = F.struct(
+        id_.cast("string").alias("event_id"),
+        F.concat(F.lit("cam"), (id_ % 10).cast("string")).alias("camera_id"),
+        F.concat(F.lit("2024-01-0"), day).alias("date"),
     )
+    texts = table(spark, sf_dir, "documents").select(id_.alias("id"), "text", metadata.alias("metadata"))
+    return retrieval.embed_documents(texts, letter_encoder())
 
 
-def chat_questions(spark, sf_dir):
-    known = vectors(spark, sf_dir).select(F.col("id").alias("vec_id"), "embedding")
-    asked = questions(spark, sf_dir).withColumn("vec_id", F.col("conv_id") % 500)
-    return asked.join(known, "vec_id").drop("conv_id", "vec_id")
+def chat_responses(spark, sf_dir):
+    """Questions and documents are embedded by the same encoder."""
+    asked = questions(spark, sf_dir).drop("conv_id")
+    return assistant.chat_response_rows(asked, chat_documents(spark, sf_dir), load_encoder=letter_encoder())
 
 
 @query(
@@ -295,9 +312,7 @@ def chat_questions(spark, sf_dir):
     FROM asked q LEFT JOIN answers a ON a.question_id = q.question_id WHERE q.question <> ''""",
 )
 def assemble_context(spark, sf_dir):
-    responses = assistant.chat_response_rows(
-        chat_questions(spark, sf_dir), chat_documents(spark, sf_dir)
-    )
+    responses = chat_responses(spark, sf_dir)
     return responses.where("error IS NULL").select("question_id", F.md5("answer").alias("answer"))
 
 
@@ -309,9 +324,7 @@ def assemble_context(spark, sf_dir):
     FROM asked q JOIN answers a ON a.question_id = q.question_id WHERE q.question <> ''""",
 )
 def answer_prompt(spark, sf_dir):
-    responses = assistant.chat_response_rows(
-        chat_questions(spark, sf_dir), chat_documents(spark, sf_dir)
-    )
+    responses = chat_responses(spark, sf_dir)
     prompts = retrieval.answer_prompt(responses).where("prompt IS NOT NULL")
     return prompts.select("question_id", F.md5("prompt").alias("prompt"))
 
@@ -325,9 +338,7 @@ def answer_prompt(spark, sf_dir):
     FROM asked q LEFT JOIN answers a ON a.question_id = q.question_id""",
 )
 def chat_response_rows(spark, sf_dir):
-    responses = assistant.chat_response_rows(
-        chat_questions(spark, sf_dir), chat_documents(spark, sf_dir)
-    )
+    responses = chat_responses(spark, sf_dir)
     return responses.select(
         "question_id",
         "question",

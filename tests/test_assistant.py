@@ -284,3 +284,19 @@ def test_white_space_of_any_kind_is_blank(spark, blank):
     frame = spark.createDataFrame([(blank, f"{blank or ''} a b\t{blank or ''}")], "x string, y string")
     row = frame.select(text.stripped(F.coalesce("x", F.lit(""))).alias("x"), text.stripped(F.col("y")).alias("y")).first()
     assert (row.x, row.y) == ("", "a b")
+
+
+def test_hashed_vectors_by_value(spark):
+    """Counts of the words' places, scaled to length one; letters of any script, digits, repeats."""
+    from pyspark.ml.feature import HashingTF
+
+    texts = ["Fire alarm, fire!", "cam01 at 10:30", "Bạo lực ở cổng", "", None, " ... ", "long " * 5000 + "end"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
+    places = HashingTF(numFeatures=retrieval.VECTOR_SIZE)
+    for row in retrieval.embed_documents(rows).collect():
+        want = np.zeros(retrieval.VECTOR_SIZE)
+        words = "".join(c if c.isalnum() else " " for c in (texts[row.n] or "").lower()).split()
+        for word in words or [""]:
+            want[places.indexOf(word)] += 1 if word else 0
+        norm = np.linalg.norm(want)
+        assert np.allclose(row.embedding, want / norm if norm else want, atol=1e-6), texts[row.n]
