@@ -107,9 +107,11 @@ def test_near_duplicates(docs, rows, size):
     assert {r.doc: r.component for r in found} == near_groups(texts(rows), size)
 
 
-def test_near_duplicates_in_one_large_bucket(spark, monkeypatch):
+@pytest.mark.parametrize("limits", [{"BLOCK": 16}, {"BLOCK_SHINGLES": 1500}])
+def test_near_duplicates_in_one_large_bucket(spark, monkeypatch, limits):
     """Many variants of one text, most of which are too far from the first: blocks find the links."""
-    monkeypatch.setattr(neardup, "BLOCK", 16)
+    for name, value in limits.items():
+        monkeypatch.setattr(neardup, name, value)
     rng = random.Random(4)
     base = [f"w{i}" for i in range(120)]
 
@@ -125,6 +127,33 @@ def test_near_duplicates_in_one_large_bucket(spark, monkeypatch):
     assert {r.doc: r.component for r in found} == near_groups(plain, 2)
 
 
+def test_blocks_of_long_texts_are_small(spark, monkeypatch):
+    """A bucket of sets of 4,000 and of 400 shingles; no comparison gets more than some large sets."""
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 8_000)
+    seen = spark.sparkContext.accumulator(0)
+    plain_links = neardup.spanning_links
+
+    def watched(left, right, percent):
+        held = sum(len(s) // 8 for s in left["set"])
+        if held > 40_000:
+            seen.add(1)
+        return plain_links(left, right, percent)
+
+    monkeypatch.setattr(neardup, "spanning_links", watched)
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(4000)]
+    rows = []
+    for n in range(40):
+        some = list(base)
+        for _ in range(rng.randint(100, 380)):
+            some[rng.randrange(4000)] = f"v{rng.randrange(10**6)}"
+        rows.append((n, " ".join(some)))
+    rows += [(100 + n, " ".join(rows[n][1].split()[:400])) for n in range(10)]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=2).collect()
+    assert {r.doc: r.component for r in found} == near_groups(rows, 2)
+    assert seen.value == 0
+
+
 def test_quality_counts(docs, rows):
     got = {r.doc_id: tuple(r.c)[:5] for r in docs.select("doc_id", quality.measure(F.col("text")).alias("c")).collect()}
     assert got == {d: quality_counts(t) for d, t in texts(rows)}

@@ -15,7 +15,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.session import materialize
@@ -27,6 +27,9 @@ EMPTY = np.uint64(2**64 - 1)
 #: Members of a band's bucket that are compared with as many others at a time.
 BLOCK = 256
 
+#: Shingles of a block's sets, on average, where sets are large: 8 MB of hashes.
+BLOCK_SHINGLES = 1 << 20
+
 #: Stands for a null id: one document, smaller than all others.
 NO_ID = -(2**63)
 
@@ -227,7 +230,8 @@ def near_duplicates(
     2. In each bucket of a band the smallest node is compared with the others.
     3. In buckets that still hold several components, the nodes outside the smallest node's
        component are compared with all others, in blocks of ``BLOCK`` by ``BLOCK`` inside
-       tasks, which return only links that join components.
+       tasks, which return only links that join components. Blocks of large sets hold fewer,
+       ``BLOCK_SHINGLES`` shingles; a larger set than that is alone with few.
 
     So no bucket's pairs become rows, however large it is, and no pair of a bucket is left
     out unless it is in one component already.
@@ -272,7 +276,7 @@ def near_duplicates(
         .select("a", "b")
     )
     labels = components(stars, "star")
-    placed = buckets.select("key", "many", "node").join(labels, "node", "left").withColumn(
+    placed = buckets.select("key", "many", "node", "n").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node")
     )
     # Buckets of the same documents are one; of two documents all pairs are compared by now.
@@ -291,12 +295,15 @@ def near_duplicates(
         .agg(F.min(F.struct("key", "home")).alias("one"))
         .select("one.*")
     )
-    within = materialize(placed.join(open_, "key").select("key", "node", "label", "home", "many"), "open-buckets")
-    strays = within.where("label <> home").groupBy("key").agg(F.count("*").alias("strays"))
-    sized = within.join(strays, "key").select(
-        "key", "node", "label", (F.col("label") != F.col("home")).alias("stray"),
-        F.ceil(F.col("many") / BLOCK).cast("int").alias("rows"), F.ceil(F.col("strays") / BLOCK).cast("int").alias("columns"),
-    )
+    within = materialize(placed.join(open_, "key").select("key", "node", "n", "label", "home"), "open-buckets")
+    stray = F.col("label") != F.col("home")
+
+    def blocks(which: Column) -> Column:
+        few = F.greatest(F.count_if(which) / BLOCK, F.sum(F.when(which, F.col("n"))) / BLOCK_SHINGLES)
+        return F.ceil(few).cast("int")
+
+    counts = within.groupBy("key").agg(blocks(F.lit(True)).alias("rows"), blocks(stray).alias("columns"))
+    sized = within.join(counts, "key").select("key", "node", "label", stray.alias("stray"), "rows", "columns")
     own = lambda count: F.pmod(F.xxhash64("node", "key"), F.col(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
     met = (
