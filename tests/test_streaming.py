@@ -282,3 +282,14 @@ def test_state_of_silent_cameras_goes(spark, tmp_path):
     assert max(held) >= 20 and held[-1] <= 4
     # 200 comes two hours behind the stream and is left out
     assert sorted(r.n for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [*range(20), 101, 102, 103, 300]
+
+
+def test_many_cameras_share_calls(spark, tmp_path):
+    """Chunks and states of many cameras go through one call each, whatever their number."""
+    rows = [(f"c{n % 300}" if n % 300 else None, n * 0.4, n % 7 == 0) for n in range(1500)]
+    rows = [(c, T0 + dt.timedelta(seconds=s), v, n) for n, (c, s, v) in enumerate(rows)]
+    stream = sliced(spark, tmp_path / "in", rows, 2)
+    kept = throttle.stream_throttle(stream, tie="n", chunk_seconds=60, buckets=8)
+    assert {r.n for r in drain(spark, kept, tmp_path).collect()} == greedy(rows)
+    plan = kept._jdf.queryExecution().analyzed().toString()
+    assert "FlatMapGroupsInArrow [_key" not in plan and plan.count("FlatMapGroupsInArrow [_group") == 2
