@@ -8,20 +8,22 @@ questions and documents never become rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.session import materialize, shared_dir
+from tidewatch.session import materialize
 
 # Questions held by every task at once: 4096 vectors of 384 doubles are 12 MB.
 QUESTIONS_PER_PASS = 4096
-_DOCS_PER_STEP = 2048
+_DOCS_PER_STEP = 512
 # Distances are compared at this many decimals, ties go to the lower id.
 _DECIMALS = 9
 
@@ -133,26 +135,43 @@ def _search(questions: dict, k: int, filters: Sequence[str], by_cell: bool) -> C
     return run
 
 
-def _lots(questions: DataFrame, columns: list[str], bound: int) -> Iterator[DataFrame]:
-    """Questions in lots of about half the bound, by a hash of their id."""
-    chosen = questions.select(*columns)
-    lots = -(-2 * questions.count() // bound)
-    lot = F.pmod(F.xxhash64(columns[0]), F.lit(lots))
-    for number in range(lots):
-        yield chosen.where(lot == number)
-
-
 def _filled(rows: DataFrame) -> DataFrame:
     return rows.where("embedding IS NOT NULL AND size(embedding) > 0")
 
 
+@dataclass(frozen=True)
+class _Cells:
+    """Unit centres of cells, and how many of them a question probes."""
+
+    centers: np.ndarray
+    probes: int
+
+    def nearest(self, vectors: np.ndarray) -> np.ndarray:
+        return np.argsort(-(vectors @ self.centers.T), axis=1, kind="stable")[:, : self.probes]
+
+    def probe(self, vectors: np.ndarray) -> np.ndarray:
+        """Which cell (row) each question (column) probes."""
+        probed = np.zeros((len(self.centers), len(vectors)), dtype=bool)
+        probed[self.nearest(vectors).T, np.arange(len(vectors))] = True
+        return probed
+
+    def probed(self, vectors: str) -> Column:
+        """The probed cells of each vector of a column."""
+
+        @F.pandas_udf("array<int>")
+        def cells(vectors: pd.Series) -> pd.Series:
+            return pd.Series(list(self.nearest(_matrix(pa.array(vectors.tolist()), self.centers.shape[1])).astype("int32")))
+
+        return cells(vectors)
+
+
 def _search_lot(
     lot: list,
     docs: DataFrame,
     k: int,
     filters: Sequence[str],
     payload: Sequence[str],
-    probe: Callable[[np.ndarray], np.ndarray] | None,
+    cells: _Cells | None,
     question: T.StructField,
 ) -> DataFrame:
     """Hits of a lot of questions: one pass over the documents, then one over the hits'."""
@@ -169,8 +188,8 @@ def _search_lot(
     for name, wanted in packed["filters"].items():
         if all(value is not None for value in wanted):
             candidates = candidates.where(F.col(name).isin(*set(wanted)))
-    if probe is not None:
-        packed["probes"] = probe(vectors)
+    if cells is not None:
+        packed["probes"] = cells.probe(vectors)
         visited = np.flatnonzero(packed["probes"].any(axis=1))
         candidates = candidates.where(F.col("cell").isin(*visited.tolist()))
         columns.append("cell")
@@ -181,7 +200,7 @@ def _search_lot(
         .add("distance", T.DoubleType())
     )
     local = candidates.select(*columns).mapInArrow(
-        _search(packed, k, filters, probe is not None), found
+        _search(packed, k, filters, cells is not None), found
     )
     nearest = Window.partitionBy("_question").orderBy("distance", "id")
     top = local.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
@@ -202,34 +221,37 @@ def _knn(
     k: int,
     filters: Sequence[str],
     payload: Sequence[str],
-    probe: Callable[[np.ndarray], np.ndarray] | None,
+    cells: _Cells | None,
     bound: int,
     question_id: str,
 ) -> DataFrame:
-    """One lazy pass for up to ``bound`` questions. More are searched lot by lot, each
-    lot's hits being written before the next lot is read."""
+    """One lazy pass for up to ``bound`` questions, all of which go to every task. More are
+    packed into lots that meet blocks of the documents they may find, in one pass as well."""
     asked = _filled(questions)
     columns = [question_id, "embedding", *filters]
-
-    def search(lot: list) -> DataFrame:
-        return _search_lot(lot, docs, k, filters, payload, probe, questions.schema[question_id])
-
     head = asked.select(*columns).limit(bound + 1).collect()
     if 0 < len(head) <= bound:
-        return search(head)
-    out = shared_dir(questions.sparkSession, "hits")
-    layout = T.StructType([questions.schema[question_id]]).add("rank", T.IntegerType())
-    for name in ("id", *payload):
-        layout.add(docs.schema[name])
-    layout.add("distance", T.DoubleType())
+        return _search_lot(head, docs, k, filters, payload, cells, questions.schema[question_id])
     if not head:
-        return questions.sparkSession.createDataFrame([], layout)
-    asked = materialize(asked.select(*columns), "questions")  # encoded once, however many lots
-    for lot in _lots(asked, columns, bound):
-        rows = lot.collect()
-        if rows:
-            search(rows).write.mode("append").parquet(out)
-    return questions.sparkSession.read.schema(layout).parquet(out)
+        layout = T.StructType([questions.schema[question_id]]).add("rank", T.IntegerType())
+        for name in ("id", *payload):
+            layout.add(docs.schema[name])
+        return questions.sparkSession.createDataFrame([], layout.add("distance", T.DoubleType()))
+    from tidewatch.operators import postings  # which needs this module
+
+    # Encoded once, however often they are read. Ids may repeat, the numbers don't.
+    numbered = asked.select(*columns).withColumn("question", F.monotonically_increasing_id())
+    asked = materialize(numbered, "questions")
+    own = ["id", "embedding", *filters, *(["cell"] if cells else [])]
+    held = materialize(_filled(docs).where(F.col("id").isNotNull()).select(*own), "vectors")
+    visiting = asked.select("question", "embedding", *filters)
+    if cells:
+        visiting = visiting.withColumn("cell", F.explode(cells.probed("embedding")))
+    top = postings.search(visiting, held, k, filters, ["cell"] if cells else [])
+    top = top.join(asked.select("question", question_id), "question")
+    if payload:
+        top = top.join(docs.select("id", *payload), "id")
+    return top.select(question_id, "rank", "id", *payload, "distance")
 
 
 def knn_filtered(
@@ -246,10 +268,11 @@ def knn_filtered(
     ``questions`` have (question_id, embedding, filters), ``docs`` (id, embedding,
     filters, payload). A document has to equal every filter its question sets;
     NULL sets none. Vectors of another length than the question's are an error that names
-    the document; documents without an id are left out. Up to ``questions_per_pass`` questions are handed to all tasks
-    and take one pass over the documents; more take several, one lot in memory at
-    a time. Where every question of a lot sets a filter, its values are pushed
-    into the document scan.
+    the document; documents without an id are left out. Up to ``questions_per_pass`` questions are handed to all tasks;
+    where all of them set a filter, its values are pushed into the document scan. More are
+    packed into lots, whatever their number, and meet blocks of the documents with the values
+    of their filters (see :mod:`tidewatch.operators.postings`); questions and narrow documents
+    are written once for that.
     """
     return _knn(questions, docs, k, filters, payload, None, questions_per_pass, question_id)
 
@@ -300,10 +323,4 @@ def knn_approx(
     multiplied with a cell's documents; with as many probes as cells the search is exact. Recall is measured against :func:`knn_filtered`.
     """
 
-    def probe(vectors: np.ndarray) -> np.ndarray:
-        nearest = np.argsort(-(vectors @ centers.T), axis=1, kind="stable")[:, :probes]
-        probed = np.zeros((len(centers), len(vectors)), dtype=bool)
-        probed[nearest.T, np.arange(len(vectors))] = True
-        return probed
-
-    return _knn(questions, docs, k, filters, payload, probe, questions_per_pass, question_id)
+    return _knn(questions, docs, k, filters, payload, _Cells(centers, probes), questions_per_pass, question_id)

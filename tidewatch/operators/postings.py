@@ -27,13 +27,22 @@ BLOCK_DOCS, LOT_QUESTIONS = 4096, 512
 #: Slots of documents that questions without filters go through.
 SLOTS = 16
 
+#: Questions of a lot that are multiplied with a block at once: 128 x 4096 doubles are 4 MB.
+QUESTIONS_PER_STEP = 128
+
+#: Groups of questions that each read all codes.
+CODE_READERS = 64
+
+#: Cosines this close may have the same rounded distance.
+_SLACK = 2 * 10.0**-_DECIMALS
+
 
 def _packed(rows: DataFrame, keys: list[str], ident: str, content: str, size: int, name: str) -> DataFrame:
-    """Rows (keys, ``name``): lists of (ident, content), about ``size`` of each key at a time."""
+    """Rows (keys, ``name``, number): lists of (ident, content), about ``size`` of each key at a time."""
     counts = rows.groupBy(*keys).agg(F.ceil(F.count("*") / size).alias("_parts"))
     dealt = rows.join(counts, keys).withColumn("_part", F.pmod(F.xxhash64(ident), F.col("_parts")))
     pair = F.struct(F.col(ident).alias("id"), F.col(content).alias("content"))
-    return dealt.groupBy(*keys, "_part").agg(F.collect_list(pair).alias(name)).drop("_part")
+    return dealt.groupBy(*keys, "_part").agg(F.collect_list(pair).alias(name)).withColumnRenamed("_part", f"_{name}")
 
 
 def _lists(column: pa.Array) -> Iterator[tuple[pa.Array, pa.Array]]:
@@ -43,36 +52,74 @@ def _lists(column: pa.Array) -> Iterator[tuple[pa.Array, pa.Array]]:
         yield items.field("id"), items.field("content")
 
 
+class _Best:
+    """The ``k`` nearest documents of each question of a lot, over blocks that come one after the other."""
+
+    def __init__(self, asked: pa.Array, k: int, distance: Callable[[np.ndarray], np.ndarray]):
+        self._asked, self._k, self._distance = asked.take(pa.array(np.arange(len(asked)))), k, distance
+        self._floor = np.full(len(asked), -np.inf)  # what a document has to reach, once there are k
+        self._question, self._near, self._ids = np.empty(0, np.int64), np.empty(0), None
+
+    def add(self, asking: np.ndarray, near: np.ndarray, ids: pa.Array) -> None:
+        """A matrix (question, document) that grows with nearness; what isn't a number is no hit."""
+        floor, k = self._floor[asking], self._k
+        opened = np.flatnonzero(np.isneginf(floor))
+        if len(opened) and near.shape[1] > k:
+            known = np.where(np.isnan(near[opened]), -np.inf, near[opened])
+            floor[opened] = np.partition(known, -k, axis=1)[:, -k] - _SLACK
+        question, doc = np.nonzero(near >= floor[:, None])
+        if not len(question):
+            return
+        own = ids.take(pa.array(doc))
+        near = np.concatenate([self._near, near[question, doc]])
+        question = np.concatenate([self._question, asking[question]])
+        ids = own if self._ids is None else pa.concat_arrays([self._ids, own])
+        order = np.lexsort((np.asarray(ids.to_pylist()), self._distance(near), question))
+        placed = question[order]
+        order = order[np.arange(len(order)) - np.searchsorted(placed, placed) < k]
+        self._question, self._near, self._ids = question[order], near[order], ids.take(pa.array(order))
+        counts = np.bincount(self._question, minlength=len(self._floor))
+        full = counts >= k
+        self._floor[full] = self._near[np.cumsum(counts)[full] - 1] - _SLACK
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        if self._ids is not None:
+            columns = [self._asked.take(pa.array(self._question)), self._ids, pa.array(self._distance(self._near))]
+            yield pa.RecordBatch.from_arrays(columns, names=["question", "id", "distance"])
+
+
 def _meet(
     blocks: DataFrame, lots: DataFrame, keys: list[str], k: int,
-    distances: Callable[[pa.RecordBatch, int, pa.Array, pa.Array], np.ndarray], question_type: str, id_type: str,
+    nearness: Callable[[pa.RecordBatch, int, pa.Array, pa.Array], Iterator[tuple[np.ndarray, np.ndarray]]],
+    distance: Callable[[np.ndarray], np.ndarray], question_type: str, id_type: str,
 ) -> DataFrame:
-    """Rows (question, id, distance): the ``k`` nearest of each question in each block of its keys.
+    """Rows (question, id, distance): the ``k`` nearest of each question of a lot in the blocks of its keys.
 
-    ``distances`` gives the matrix (question, document) of one lot and one block.
+    ``nearness`` gives questions of a lot, by their places, and their matrix with the documents
+    of a block, a bounded number of questions at a time; ``distance`` turns its values into distances.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, current = None, None
         for batch in batches:
             pairs = zip(_lists(batch.column("block")), _lists(batch.column("lot")), strict=True)
             for row, ((ids, contents), (asked, vectors)) in enumerate(pairs):
-                distance = distances(batch, row, vectors, contents)
-                rank = np.argsort(np.argsort(np.asarray(ids.to_pylist()), kind="stable"))
-                if distance.shape[1] > k:
-                    near = np.partition(distance, k - 1, axis=1)[:, k - 1 : k]
-                    question, doc = np.nonzero(distance <= near)
-                else:
-                    question, doc = (x.ravel() for x in np.indices(distance.shape))
-                order = np.lexsort((rank[doc], distance[question, doc], question))
-                question, doc = question[order], doc[order]
-                kept = np.arange(len(question)) - np.searchsorted(question, question) < k
-                question, doc = question[kept], doc[kept]
-                yield pa.RecordBatch.from_arrays(
-                    [asked.take(pa.array(question)), ids.take(pa.array(doc)), pa.array(distance[question, doc])],
-                    names=["question", "id", "distance"],
-                )
-
-    return blocks.join(lots, keys).mapInArrow(run, f"question {question_type}, id {id_type}, distance double")
+                lot = tuple(batch.column(name)[row].as_py() for name in (*keys, "_lot"))
+                if best is None or lot != current:
+                    if best is not None:
+                        yield from best.rows()
+                    best, current = _Best(asked, k, distance), lot
+                for asking, near in nearness(batch, row, vectors, contents):
+                    best.add(asking, near, ids)
+        if best is not None:
+            yield from best.rows()
+
+    # Small partitions of a few keys are not put together: they hold the work. A merge join
+    # lays the blocks of a lot side by side.
+    tasks = int(lots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = [side.repartition(tasks, *keys) for side in (lots, blocks)]
+    met = dealt[0].hint("merge").join(dealt[1], keys)
+    return met.mapInArrow(run, f"question {question_type}, id {id_type}, distance double")
 
 
 def _nearest(found: DataFrame, k: int) -> DataFrame:
@@ -80,33 +127,28 @@ def _nearest(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
 
 
-def knn_postings(
-    questions: DataFrame,
-    docs: DataFrame,
-    k: int = 6,
-    filters: Sequence[str] = ("camera_id", "date"),
-    payload: Sequence[str] = (),
-    question_id: str = "question_id",
-) -> DataFrame:
-    """Exact neighbours as :func:`tidewatch.operators.knn.knn_filtered` gives them, multiplying allowed pairs only.
+def _cosine(batch: pa.RecordBatch, row: int, vectors: pa.Array, contents: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    wanted = _matrix(vectors)
+    held = _matrix(contents, wanted.shape[1], batch.column("block")[row].values.field("id")).T
+    for asking in np.array_split(np.arange(len(wanted)), -(-len(wanted) // QUESTIONS_PER_STEP)):
+        yield asking, wanted[asking] @ held
 
-    For each set of filters that some question sets, documents are packed by the values of
-    those filters and meet the questions of the same values. Null values of documents match
-    no filter; null ids and empty vectors are left out; question ids should be distinct.
-    """
-    kinds = {n: docs.schema[n].dataType.simpleString() for n in ("id", *filters)}
-    asked = _filled(questions).select(F.col(question_id).alias("question"), "embedding", *filters)
-    held = _filled(docs).where(F.col("id").isNotNull())
-    question_type = questions.schema[question_id].dataType.simpleString()
 
-    def cosine(batch: pa.RecordBatch, row: int, vectors: pa.Array, contents: pa.Array) -> np.ndarray:
-        wanted = _matrix(vectors)
-        ids = batch.column("block")[row].values.field("id")
-        return np.round(1.0 - wanted @ _matrix(contents, wanted.shape[1], ids).T, _DECIMALS) + 0.0
+def _distance(cosines: np.ndarray) -> np.ndarray:
+    # Adding zero turns a rounded -0.0 into 0.0.
+    return np.round(1.0 - cosines, _DECIMALS) + 0.0
+
 
+def search(asked: DataFrame, held: DataFrame, k: int, filters: Sequence[str], always: Sequence[str] = ()) -> DataFrame:
+    """Rows (question, id, distance, rank): the exact ``k`` nearest of ``held`` (id, embedding) per question of
+    ``asked`` (question, embedding), among documents that equal it in ``always`` and in every filter it sets.
+
+    Questions are distinct, but for ``always``, where one may have several values.
+    """
+    kinds = asked.schema["question"].dataType.simpleString(), held.schema["id"].dataType.simpleString()
     found = None
     for used in product((True, False), repeat=len(filters)):
-        keys = [n for n, chosen in zip(filters, used, strict=True) if chosen]
+        keys = [*always, *[n for n, chosen in zip(filters, used, strict=True) if chosen]]
         mine, own = asked, held
         for name, chosen in zip(filters, used, strict=True):
             mine = mine.where(F.col(name).isNotNull() if chosen else F.col(name).isNull())
@@ -117,9 +159,27 @@ def knn_postings(
         own = own.select("id", "embedding", *keys).join(mine.select(*keys).distinct(), keys, "left_semi")
         blocks = _packed(own, keys, "id", "embedding", BLOCK_DOCS, "block")
         lots = _packed(mine, keys, "question", "embedding", LOT_QUESTIONS, "lot")
-        part = _meet(blocks, lots, keys, k, cosine, question_type, kinds["id"])
+        part = _meet(blocks, lots, keys, k, _cosine, _distance, *kinds)
         found = part if found is None else found.unionByName(part)
-    top = _nearest(found, k)
+    return _nearest(found, k)
+
+
+def knn_postings(
+    questions: DataFrame,
+    docs: DataFrame,
+    k: int = 6,
+    filters: Sequence[str] = ("camera_id", "date"),
+    payload: Sequence[str] = (),
+    question_id: str = "question_id",
+) -> DataFrame:
+    """Exact neighbours as :func:`tidewatch.operators.knn.knn_filtered` gives them, multiplying allowed pairs only.
+
+    For each set of filters that some question sets, documents are packed by the values of
+    those filters and meet the questions of the same values. Null values of documents match
+    no filter; null ids and empty vectors are left out; question ids should be distinct.
+    """
+    asked = _filled(questions).select(F.col(question_id).alias("question"), "embedding", *filters)
+    top = search(asked, _filled(docs).where(F.col("id").isNotNull()), k, filters)
     if payload:
         top = top.join(docs.select("id", *payload), "id")
     return top.select(F.col("question").alias(question_id), "rank", "id", *payload, "distance")
@@ -220,15 +280,31 @@ def knn_quantised(
         a, b = (_matrix(pa.array(x.tolist()), size) for x in (left, right))
         return pd.Series(np.round(1.0 - (a * b).sum(axis=1), _DECIMALS) + 0.0)
 
-    def by_tables(batch: pa.RecordBatch, row: int, vectors: pa.Array, contents: pa.Array) -> np.ndarray:
-        codes = np.frombuffer(b"".join(contents.to_pylist()), np.uint8).reshape(len(contents), -1)
-        return -quantizer.scores(_matrix(vectors, size), batch.column("cell")[row].as_py(), codes)
+    def by_tables(batch: pa.RecordBatch, row: int, asked: pa.Array, contents: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        cell = batch.column("cell")[row].as_py()
+        visits = asked.field("probed")
+        places = np.repeat(np.arange(len(visits)), visits.value_lengths().to_numpy(zero_copy_only=False))
+        asking = places[visits.flatten().to_numpy(zero_copy_only=False) == cell]
+        if len(asking):
+            codes = np.frombuffer(b"".join(contents.to_pylist()), np.uint8).reshape(len(contents), -1)
+            wanted = _matrix(asked.field("embedding").take(pa.array(asking)), size)
+            for part in np.array_split(np.arange(len(asking)), -(-len(asking) // QUESTIONS_PER_STEP)):
+                yield asking[part], quantizer.scores(wanted[part], cell, codes)
 
     asked = _filled(questions).select(F.col(question_id).alias("question"), "embedding")
     held = index.where(F.col("id").isNotNull())
+    # Codes are small: each group of questions gets those of all cells, so that a question's
+    # best are found in one place and only they are shuffled.
     blocks = _packed(held.select("cell", "id", "code"), ["cell"], "id", "code", BLOCK_DOCS, "block")
-    lots = _packed(asked.withColumn("cell", F.explode(probed("embedding"))), ["cell"], "question", "embedding", LOT_QUESTIONS, "lot")
-    best = _nearest(_meet(blocks, lots, ["cell"], compared, by_tables, *kinds), compared).select("question", "id")
+    readers = F.sequence(F.lit(0).cast("long"), F.lit(CODE_READERS - 1).cast("long"))
+    visiting = asked.select(
+        "question",
+        F.struct("embedding", probed("embedding").alias("probed")).alias("visit"),
+        F.pmod(F.xxhash64("question"), F.lit(CODE_READERS)).cast("long").alias("_reader"),
+    )
+    lots = _packed(visiting, ["_reader"], "question", "visit", LOT_QUESTIONS, "lot")
+    near = _meet(blocks.withColumn("_reader", F.explode(readers)), lots, ["_reader"], compared, by_tables, np.negative, *kinds)
+    best = _nearest(near, compared).select("question", "id")
     exact = best.join(asked, "question").join(held.select("id", F.col("embedding").alias("vector")), "id")
     top = _nearest(exact.select("question", "id", distance("embedding", "vector").alias("distance")), k)
     return top.select(F.col("question").alias(question_id), "rank", "id", "distance")
