@@ -92,3 +92,48 @@ def test_quantised_is_exact_when_everything_is_compared(spark, small):
     quantizer = postings.fit_quantizer(held, cells=5, parts=3, levels=10)
     got = postings.knn_quantised(asked, postings.add_codes(docs, quantizer), quantizer, k=4, probes=5, compared=800)
     assert listed(got) == listed(knn.topk_similarity(asked, held, k=4))
+
+
+def test_many_questions_read_the_documents_once(spark):
+    """However many lots the questions would be, a document is embedded once, and none is multiplied twice."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<double>")
+    def encode(n):
+        seen.add(1)
+        return [1.0, float(n)]
+
+    docs = spark.range(100).select("id", encode("id").alias("embedding"))
+    asked = spark.createDataFrame([(n, [1.0, float(n)]) for n in range(100)], "question_id long, embedding array<double>")
+    found = knn.knn_filtered(asked, docs, 1, (), questions_per_pass=20)
+    assert all(r.question_id == r.id for r in found.collect())
+    assert seen.value <= 200  # filtered and written
+
+
+def test_questions_that_repeat_keep_hits_of_their_own(spark):
+    asked, docs = sides(spark)
+    twice = asked.unionByName(asked)
+    want = knn.knn_filtered(twice, docs, k=3, payload=("camera_id",))
+    assert listed(knn.knn_filtered(twice, docs, k=3, payload=("camera_id",), questions_per_pass=20)) == listed(want)
+
+
+def test_the_best_of_a_lot_are_kept_over_its_blocks(spark, small, monkeypatch):
+    """What leaves a task is bounded by the questions, however many cells and blocks they meet."""
+    met, meet = [], postings._meet
+    monkeypatch.setattr(postings, "_meet", lambda *given: met.append(meet(*given)) or met[-1])
+    asked, docs = sides(spark)
+    held = docs.where("id IS NOT NULL AND size(embedding) > 0")
+    quantizer = postings.fit_quantizer(held, cells=5, parts=3, levels=10)
+    postings.knn_quantised(asked, postings.add_codes(held, quantizer), quantizer, k=4, probes=5, compared=7)
+    assert met[0].count() == 7 * asked.where("size(embedding) > 0").count()
+
+
+def test_a_step_multiplies_a_bounded_number_of_questions():
+    import pyarrow as pa
+
+    vectors = pa.array([[1.0, float(n)] for n in range(postings.QUESTIONS_PER_STEP * 5 // 2)])
+    block = pa.array([[{"id": 1, "content": [1.0, 0.0]}]])
+    batch = pa.RecordBatch.from_arrays([block], names=["block"])
+    steps = list(postings._cosine(batch, 0, vectors, block[0].values.field("content")))
+    assert max(len(asking) for asking, _ in steps) <= postings.QUESTIONS_PER_STEP
+    assert sum(len(asking) for asking, _ in steps) == len(vectors)
