@@ -20,6 +20,9 @@ HOUR = 3600.0
 #: Files of a slice of readings, and of a micro-batch.
 FILES = 8
 
+#: Most files of a slice of messages: micro-batches take three, however the slice was joined.
+MESSAGE_FILES = 15
+
 
 def ordered_files(spark, rows, time, write):
     """Five slices of rows in time order, written one slice after the other."""
@@ -67,7 +70,7 @@ def message_stream(spark, sf_dir):
         spark,
         messages(spark, sf_dir),
         "timestamp",
-        lambda df, p: alert_io.write_alert_json(df, "text", options={"path": p}),
+        lambda df, p: alert_io.write_alert_json(df.coalesce(MESSAGE_FILES), "text", options={"path": p}),
     )
     return alert_io.alert_stream(spark, "text", options={"path": path, "maxFilesPerTrigger": "3"})
 

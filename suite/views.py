@@ -16,6 +16,10 @@ AS_OF = "2024-01-21 00:00:00"
 WEEK_START = "2024-01-14 00:00:00"
 DAY_START = "2024-01-20 00:00:00"
 
+#: Cameras are broadcast up to this size of the customers' file. Their rows are some ten times
+#: larger, and queries that write slices send them to the driver for every slice.
+CAMERA_BYTES = 2 << 20
+
 
 # Layouts of the test tables: a given schema spares the job that would infer it.
 LAYOUTS = {
@@ -119,7 +123,7 @@ def alerts(
     place = cameras(spark, sf_dir).drop("camera_id")
     # Three joined tables look larger to the planner than they are; a camera is a
     # customer, so the size of that file decides.
-    if fits_broadcast(table(spark, sf_dir, "customer")):
+    if fits_broadcast(table(spark, sf_dir, "customer"), CAMERA_BYTES):
         place = F.broadcast(place)
     return readings(spark, sf_dir, since, until).join(place, "user_id").drop("user_id")
 
