@@ -58,7 +58,8 @@ class _Best:
     def __init__(self, asked: pa.Array, k: int, distance: Callable[[np.ndarray], np.ndarray]):
         self._asked, self._k, self._distance = asked.take(pa.array(np.arange(len(asked)))), k, distance
         self._floor = np.full(len(asked), -np.inf)  # what a document has to reach, once there are k
-        self._question, self._near, self._ids = np.empty(0, np.int64), np.empty(0), None
+        self._found: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []  # the first is sorted and cut to k
+        self._waiting = 0
 
     def add(self, asking: np.ndarray, near: np.ndarray, ids: pa.Array) -> None:
         """A matrix (question, document) that grows with nearness; what isn't a number is no hit."""
@@ -67,24 +68,31 @@ class _Best:
         if len(opened) and near.shape[1] > k:
             known = np.where(np.isnan(near[opened]), -np.inf, near[opened])
             floor[opened] = np.partition(known, -k, axis=1)[:, -k] - _SLACK
+            self._floor[asking] = floor
         question, doc = np.nonzero(near >= floor[:, None])
-        if not len(question):
-            return
-        own = ids.take(pa.array(doc))
-        near = np.concatenate([self._near, near[question, doc]])
-        question = np.concatenate([self._question, asking[question]])
-        ids = own if self._ids is None else pa.concat_arrays([self._ids, own])
-        order = np.lexsort((np.asarray(ids.to_pylist()), self._distance(near), question))
+        self._found.append((asking[question], near[question, doc], ids.take(pa.array(doc))))
+        self._waiting += len(question)
+        if self._waiting > 4 * k * len(self._floor):
+            self._cut()
+
+    def _cut(self) -> None:
+        question, near = (np.concatenate([found[n] for found in self._found]) for n in (0, 1))
+        ids = pa.concat_arrays([found[2] for found in self._found])
+        values = ids.to_numpy(zero_copy_only=False) if pa.types.is_integer(ids.type) else np.asarray(ids.to_pylist())
+        order = np.lexsort((values, self._distance(near), question))
         placed = question[order]
-        order = order[np.arange(len(order)) - np.searchsorted(placed, placed) < k]
-        self._question, self._near, self._ids = question[order], near[order], ids.take(pa.array(order))
-        counts = np.bincount(self._question, minlength=len(self._floor))
-        full = counts >= k
-        self._floor[full] = self._near[np.cumsum(counts)[full] - 1] - _SLACK
+        order = order[np.arange(len(order)) - np.searchsorted(placed, placed) < self._k]
+        question, near = question[order], near[order]
+        self._found, self._waiting = [(question, near, ids.take(pa.array(order)))], 0
+        counts = np.bincount(question, minlength=len(self._floor))
+        full = counts >= self._k
+        self._floor[full] = np.maximum(self._floor[full], near[np.cumsum(counts)[full] - 1] - _SLACK)
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        if self._ids is not None:
-            columns = [self._asked.take(pa.array(self._question)), self._ids, pa.array(self._distance(self._near))]
+        if self._found:
+            self._cut()
+            question, near, ids = self._found[0]
+            columns = [self._asked.take(pa.array(question)), ids, pa.array(self._distance(near))]
             yield pa.RecordBatch.from_arrays(columns, names=["question", "id", "distance"])
 
 
