@@ -3,6 +3,7 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from brute import BASE, base_spans, line_dedup, near_groups, pieces, quality_counts, shingles, words
 from pyspark.sql import functions as F
@@ -284,6 +285,52 @@ def test_word_ids_at_random():
         assert ids_of(text) == b"".join(i.to_bytes(4, "little") for i in ids)
 
 
+def test_words_of_a_batch_are_learned_once(monkeypatch):
+    """However often they occur, and even if there are more than a worker remembers."""
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 10)
+    ids_of = packing.WordIds(TOKENIZER)
+    asked, model = [], ids_of._model
+    ids_of._model = lambda letters: asked.append(letters) or model(letters)
+    words = [a + b + c for a in "abcde" for b in "xyz" for c in "kl"]
+    text = " ".join(words * 20)
+    ids = Tokenizer.from_file(TOKENIZER).encode(text, add_special_tokens=False).ids
+    assert ids_of(text) == b"".join(i.to_bytes(4, "little") for i in ids)
+    assert sorted(asked) == sorted(words)
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_word_ids_of_many_texts(monkeypatch, kind):
+    """Batches of few bytes and a single one; texts that are null, empty, all blanks, or larger than a batch."""
+    encode = Tokenizer.from_file(TOKENIZER).encode
+    parts = "a|B|é|É|e\u0301|\u0301|İ|ß|Σ|'s|1|!|...|\t|\x1c|\x85|\u3000|\u180e|日本|क़|<|endoftext|>|Straße.|éa\u2028é|x?*".split("|")
+    parts, rng = [*parts, " ", " ", "\n"], random.Random(3)
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(600)]
+    texts[::7] = [rng.choice([None, "", " ", "\n \n", " ".join(["Éa Éa, éb."] * 40)]) for _ in texts[::7]]
+    want = [b"".join(i.to_bytes(4, "little") for i in encode(t or "", add_special_tokens=False).ids) for t in texts]
+    for size in (1 << 25, 100):
+        monkeypatch.setattr(packing, "BATCH_BYTES", size)
+        assert list(packing.WordIds(TOKENIZER).many(pa.array(texts, kind))) == want
+        assert list(packing.WordIds(TOKENIZER).many(pa.array(texts, kind).slice(50, 90))) == want[50:140]
+    assert list(packing.WordIds(TOKENIZER).many(pa.array([], kind))) == []
+
+
+@pytest.mark.parametrize("kind", ["int", "long", "string", "double", "date", "decimal(9,2)", "timestamp"])
+def test_pieces_keep_ids(spark, kind):
+    """Ids of any type pass through, null ones and repeated ones too."""
+    rows = spark.range(4).select(
+        F.when(F.col("id") > 0, F.expr("date'2024-02-03'") if kind in ("date", "timestamp") else F.lit("3"))
+        .cast(kind).alias("doc_id"),
+        F.when(F.col("id") != 2, F.lit("a b " * 5)).alias("text"),
+    )
+    made = packing.token_pieces(rows.coalesce(1), TOKENIZER, capacity=8)
+    assert made.schema["doc_id"].dataType == rows.schema["doc_id"].dataType
+    one = rows.where("doc_id IS NOT NULL").first().doc_id
+    assert sorted(((r.doc_id, r.piece, r.start, r.length) for r in made.collect()), key=str) == sorted(
+        [(d, p, 8 * p, n) for d, t in [(None, 1), (one, 1), (one, 0), (one, 1)] for p, n in ([(0, 8), (1, 3)] if t else [(0, 1)])],
+        key=str,
+    )
+
+
 def check_packed(packed, capacity):
     places = {}
     for r in packed:

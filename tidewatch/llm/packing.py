@@ -10,8 +10,11 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -22,9 +25,12 @@ from tidewatch.session import materialize
 #: of all pieces share is still dealt over many tasks.
 RANK_PARTS = 1024
 
-#: Words whose ids a worker remembers before it starts afresh.
+#: Words whose ids a worker remembers; once there are as many, it forgets those that the next batch of texts lacks.
 KNOWN_WORDS = 250_000
 
+#: Bytes of texts whose words are looked up together, beside one that is longer.
+BATCH_BYTES = 1 << 23
+
 PLAN = "length int, first long, last long, sequence long, each long, offset long"
 
 
@@ -36,13 +42,14 @@ def _byte_letters() -> list[str]:
 
 
 class WordIds:
-    """Ids of a text as little-endian 32-bit numbers, word by word.
+    """Ids of texts as little-endian 32-bit numbers, word by word.
 
     For tokenizers that drop white space, split words into runs of letters and of other
-    signs, and write bytes as letters; then a text has the ids of its words, and those of a
-    word are found once. Signs at the end of a word are split off first: there are far
-    fewer words without them. Runs of letters go to the vocabulary's model; everything else
-    is left to the tokenizer itself.
+    signs, and write bytes as letters; then a text has the ids of its words. Arrow splits the
+    texts of a batch and numbers their words, so that Python sees each different word once;
+    its ids are then dealt to all its places. Signs at the end of a word are split off first:
+    there are far fewer words without them. Runs of letters go to the vocabulary's model;
+    everything else is left to the tokenizer itself.
     """
 
     TAIL = ".,!?;:*&%$#"
@@ -56,9 +63,7 @@ class WordIds:
         self._known: dict[str, bytes] = {}
 
     def _keep(self, key: str, packed: bytes) -> bytes:
-        if len(key) <= 64:
-            if len(self._known) >= KNOWN_WORDS:
-                self._known.clear()
+        if len(key) <= 64 and len(self._known) < KNOWN_WORDS:
             self._known[key] = packed
         return packed
 
@@ -66,16 +71,23 @@ class WordIds:
         ids = self._encode(part, add_special_tokens=False).ids
         return self._keep(part, struct.pack(f"<{len(ids)}I", *ids))
 
-    def _learn(self, word: str) -> bytes:
+    def _normalized(self, heads: list[str]) -> list[str]:
+        """Heads as the tokenizer normalizes them; those of letters alone many in a call, kept apart by blanks."""
+        odd = {h for h in heads if not h.isascii()}
+        found = {h: self._normal(h) for h in odd if not h.isalpha()}
+        joint = [h for h in odd if h not in found]
+        for at in range(0, len(joint), 256):
+            part = joint[at : at + 256]
+            found.update(zip(part, self._normal(" ".join(part)).split(" "), strict=True))
+        return [h.lower() if h.isascii() else found[h] for h in heads]
+
+    def _learn(self, word: str, head: str, run: str) -> bytes:
         """Ids of a word that is not known; it and its parts are, from now on."""
-        head = word.rstrip(self.TAIL)
-        plain = head.isascii()
-        run = head.lower() if plain else self._normal(head)
         if not run.isalpha():  # other signs inside, or nothing else
             return self._whole(word)
         packed = self._known.get(run)
         if packed is None:
-            letters = run if plain else "".join([self._letters[b] for b in run.encode()])
+            letters = run if run.isascii() else "".join([self._letters[b] for b in run.encode()])
             ids = [t.id for t in self._model(letters)]
             packed = self._keep(run, struct.pack(f"<{len(ids)}I", *ids))
         if len(head) < len(word):
@@ -83,11 +95,34 @@ class WordIds:
             packed += self._known.get(tail) or self._whole(tail)
         return packed if word == run else self._keep(word, packed)
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of different words. If not all can be remembered, the first are: they tend to be the frequent ones."""
+        known = self._known
+        if len(known) >= KNOWN_WORDS:
+            self._known = known = {w: known[w] for w in words if w in known}
+        new = [w for w in words if w not in known]
+        heads = [w.rstrip(self.TAIL) for w in new]
+        learned = dict(zip(new, map(self._learn, new, heads, self._normalized(heads)), strict=True))
+        return [learned[w] if w in learned else known[w] for w in words]
+
+    def _batch(self, texts: pa.Array) -> pa.Array:
+        split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        starts, words = split.offsets, split.values.dictionary_encode()
+        del split  # as large as the texts
+        learned = self._words(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        dealt = pa.array(learned, pa.large_binary()).take(words.indices)
+        return pc.binary_join(pa.ListArray.from_arrays(starts, dealt), pa.scalar(b"", pa.large_binary()))
+
+    def many(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each text, none for null ones."""
+        behind = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype="int64")
+        cuts = np.flatnonzero(np.diff(behind // BATCH_BYTES)) + 1
+        for start, end in pairwise([0, *cuts.tolist(), len(texts)]):
+            for ids in self._batch(texts.slice(start, end - start)):
+                yield ids.as_py()
+
     def __call__(self, text: str) -> bytes:
-        known, learn = self._known, self._learn
-        return b"".join(
-            [known[w] if w in known else learn(w) for line in text.split("\n") for w in line.split(" ") if w]
-        )
+        return next(self.many(pa.array([text], pa.string())))
 
 
 def token_pieces(
@@ -107,28 +142,26 @@ def token_pieces(
     their own, other columns are not read.
     """
     size = 4 * capacity
-    kind = docs.schema[id_col].dataType.simpleString()
+    chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    numbers = {"piece": pa.int32(), "start": pa.int64(), "length": pa.int32(), "ids_crc32": pa.int64()}
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = WordIds(tokenizer)
         tail = end_id.to_bytes(4, "little")
-        for frame in frames:
-            rows = []
-            for doc, text in zip(frame["doc_id"], frame["text"], strict=True):
-                data = (ids_of(text) if text else b"") + tail
+        for batch in batches:
+            places, rows = [], []
+            for place, ids in enumerate(ids_of.many(batch["text"])):
+                data = ids + tail
                 for number, at in enumerate(range(0, len(data), size)):
                     part = data[at : at + size]
-                    rows.append((doc, number, at // 4, len(part) // 4, zlib.crc32(part)))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield out.astype({"doc_id": frame["doc_id"].dtype}) if len(out) else out
-
-    chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    if kind in ("tinyint", "smallint", "int", "bigint"):  # as text, lest a null turn the ids of a batch to floats
-        chosen = chosen.withColumn("doc_id", F.col("doc_id").cast("string"))
-    made = chosen.mapInPandas(
-        cut, f"doc_id {chosen.schema['doc_id'].dataType.simpleString()}, piece int, start long, length int, ids_crc32 long"
-    )
-    return made.withColumn("doc_id", F.col("doc_id").cast(kind))
+                    places.append(place)
+                    rows.append((number, at // 4, len(part) // 4, zlib.crc32(part)))
+            owners = batch["doc_id"].take(pa.array(places, pa.int64()))
+            columns = zip(zip(*rows, strict=True) if rows else [()] * len(numbers), numbers.values(), strict=True)
+            yield pa.RecordBatch.from_arrays([owners, *(pa.array(c, t) for c, t in columns)], ["doc_id", *numbers])
+
+    kind = chosen.schema["doc_id"].dataType.simpleString()
+    return chosen.mapInArrow(cut, f"doc_id {kind}, piece int, start long, length int, ids_crc32 long")
 
 
 def plan_slots(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
