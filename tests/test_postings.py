@@ -137,3 +137,79 @@ def test_a_step_multiplies_a_bounded_number_of_questions():
     steps = list(postings._cosine(batch, 0, vectors, block[0].values.field("content")))
     assert max(len(asking) for asking, _ in steps) <= postings.QUESTIONS_PER_STEP
     assert sum(len(asking) for asking, _ in steps) == len(vectors)
+
+
+def nearest_by_sorting(questions, docs, ids, k):
+    """Places of questions and ids, by rounded cosines; what isn't a number is no hit."""
+    cosines = questions @ docs.T
+    out = []
+    for place, row in enumerate(cosines):
+        known = np.flatnonzero(~np.isnan(row))
+        order = known[np.lexsort((ids[known], postings._distance(row[known])))][:k]
+        out += [(place, int(ids[n])) for n in order]
+    return out
+
+
+def test_few_pairs_are_multiplied_in_double_precision(monkeypatch):
+    """All pairs in single precision, a few again; ties, vectors of zeros and of no numbers, and a block's last documents too."""
+    import pyarrow as pa
+
+    done, exact = [], postings._Products.exact
+    monkeypatch.setattr(postings._Products, "exact", lambda self, question, doc: done.append(len(question)) or exact(self, question, doc))
+    rng = np.random.default_rng(7)
+    plain = knn._unit(rng.normal(size=(9000, 12)))
+    odd = plain.copy()
+    odd[rng.permutation(9000)[:900]] = odd[5]  # equal
+    odd[17:9000:500] = 0.0
+    odd[::1000] = np.nan
+    odd[rng.permutation(9000)[:300]] += 1e-8  # equal in single precision
+    for vectors, k in ((plain, 6), (plain, 60), (odd, 1), (odd, 6), (odd, 60)):
+        questions, ids = vectors[:300], rng.permutation(9000)
+        best = postings._Best(pa.array(np.arange(300)), k, postings._distance)
+        done.clear()
+        begin = 0
+        for size in (2, 37, 100, 3001, 1, 2900, 2959):
+            block = slice(begin, begin + size)
+            for asking, near in postings._products(questions, vectors[block]):
+                best.add(asking, near, pa.array(ids[block]))
+            begin += size
+        got = [(n, i) for batch in best.rows() for n, i in zip(*(batch.column(c).to_pylist() for c in ("question", "id")))]
+        assert got == nearest_by_sorting(questions, vectors, ids, k)
+        if vectors is plain:
+            assert sum(done) < 300 * 9000 / 10
+
+
+def test_products_of_decoded_vectors_are_table_sums():
+    rng = np.random.default_rng(3)
+    quantizer = postings.Quantizer(knn._unit(rng.normal(size=(4, 10))), [rng.normal(size=(7, n)) for n in (4, 3, 3)])
+    codes, questions = rng.integers(7, size=(50, 3)).astype(np.uint8), knn._unit(rng.normal(size=(20, 10)))
+    sums = (questions @ quantizer.centers[2])[:, None] + sum(
+        (part @ book.T)[:, codes[:, n]] for n, (part, book) in enumerate(zip(np.split(questions, [4, 7], axis=1), quantizer.books))
+    )
+    assert np.allclose(questions @ quantizer.decode(2, codes).T, sums, atol=1e-12)
+
+
+def test_parts_of_a_search_without_filters_are_even(spark, monkeypatch):
+    """Blocks of a slot and lots of a group are bounded, however many there are, and many tasks share the pairs."""
+    monkeypatch.setattr(postings, "BLOCK_DOCS", 32)
+    monkeypatch.setattr(postings, "LOT_QUESTIONS", 32)
+    met, meet = [], postings._meet
+    monkeypatch.setattr(postings, "_meet", lambda blocks, lots, *rest: met.append((blocks, lots)) or meet(blocks, lots, *rest))
+    docs = spark.range(4000).select("id", F.array(F.lit(1.0), F.rand(1), F.rand(2)).alias("embedding"))
+    asked = docs.select(F.col("id").alias("question"), "embedding")
+    found = postings.search(asked, docs, 2, ())
+    for side, name in zip(met[0], ("block", "lot")):
+        assert side.agg(F.max(F.size(name))).first()[0] < 32 * 2.5
+    assert found.count() == 2 * 4000
+    keys = [c for c in met[0][0].columns if c in met[0][1].columns]
+    pairs = met[0][0].join(met[0][1], keys).groupBy(*keys).agg(F.sum(F.size("block") * F.size("lot")).alias("pairs"))
+    assert pairs.count() == 64 and pairs.agg(F.sum("pairs")).first()[0] == 4000**2
+
+
+def test_of_equal_codes_the_lower_ids_are_compared(spark, small):
+    docs = spark.createDataFrame([(n, [1.0, float(n % 3)]) for n in range(300)], "id long, embedding array<double>")
+    asked = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0])], "question_id long, embedding array<double>")
+    quantizer = postings.fit_quantizer(docs, cells=2, parts=2, levels=4)
+    found = postings.knn_quantised(asked, postings.add_codes(docs, quantizer), quantizer, k=5, probes=2, compared=9)
+    got = [(r.question_id, r.id) for r in found.orderBy("question_id", "rank").collect()]
+    assert got == [(n, n + 3 * m) for n in range(2) for m in range(5)]
