@@ -38,6 +38,9 @@ GROUP_DOCS = 16
 #: Groups of questions that each read all codes.
 CODE_READERS = 64
 
+#: Codes that are packed in place of a vector: a lot is sent along with each block.
+CODES_PER_VECTOR = 4
+
 #: Decimals at which table sums of codes are compared.
 _CODE_DECIMALS = 12
 
@@ -395,7 +398,7 @@ def knn_quantised(
     held = index.where(F.col("id").isNotNull())
     # Codes are small: each group of questions gets those of all cells, so that a question's
     # best are found in one place and only they are shuffled.
-    blocks = _packed(held.select("cell", "id", "code"), ["cell"], "id", "code", BLOCK_DOCS, "block")
+    blocks = _packed(held.select("cell", "id", "code"), ["cell"], "id", "code", CODES_PER_VECTOR * BLOCK_DOCS, "block")
     visiting = asked.select(
         "question",
         F.struct("embedding", probed("embedding").alias("probed")).alias("visit"),
